@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -38,9 +38,15 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def row_key() -> tuple:
-    """Identity of a row for joins back: two rows that share both parts are equal and get equal results."""
-    return F.col("doc_id"), F.xxhash64("text").alias("text_key")
+def kept_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text", once: bool = True) -> DataFrame:
+    """Rows of docs whose id and text are among kept's (doc_id, text_key); once: of rows that repeat both, one."""
+    own = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    keys = kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"))
+    out = own.join(keys, own[id_col].eqNullSafe(keys["__id"]) & (own["__key"] == keys["__text"]), "left_semi")
+    if once:
+        w = Window.partitionBy(id_col, "__key").orderBy(F.lit(0))
+        out = out.withColumn("__row", F.row_number().over(w)).where("__row = 1").drop("__row")
+    return out.drop("__key")
 
 
 def byte_slices(batch: pa.RecordBatch, column: str = "text", most: int = 16 << 20):

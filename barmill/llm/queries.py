@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmill.llm import bpe
+from barmill.llm import bpe, decontaminate, exact_dedup, token_counts
 from barmill.llm.common import documents
 
 QUERIES: dict = {}
@@ -35,3 +35,58 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
     )
+
+
+@_query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document."""
+    return token_counts.count_tokens(documents(spark, sf_dir), tokenizer(), limit=512)
+
+
+@_query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the benchmark occurs in every document."""
+    found = decontaminate.find_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10)
+    n_hit = F.aggregate("hit", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join("items", ","), "utf-8"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLES["op7_decontaminate"] = f"""
+WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT item_id, least(len(w), 10) AS m, unnest([array_to_string(w[i : i + least(len(w), 10) - 1], ' ') for i in range(1, len(w) - least(len(w), 10) + 2)]) AS s
+  FROM item WHERE len(w) > 0),
+doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+place AS (SELECT doc_id, m, unnest(range(1, len(w) - m + 2)) AS i, w FROM doc, (SELECT DISTINCT m FROM win)),
+hit AS (
+  SELECT p.doc_id, p.m, p.i, win.item_id FROM (SELECT doc_id, m, i, array_to_string(w[i : i + m - 1], ' ') AS s FROM place) p JOIN win USING (m, s)),
+pos AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM hit) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, cast(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, cast(coalesce(n_hit, 0) AS BIGINT) AS n_hit, cast(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@_query
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of every document."""
+    return exact_dedup.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLES["op9_exact_dedup"] = """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)
+"""
