@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmill.llm import bpe, decontaminate, exact_dedup, token_counts
+from barmill.llm import bpe, decontaminate, exact_dedup, token_counts, token_shards
 from barmill.llm.common import documents
 
 QUERIES: dict = {}
@@ -43,6 +43,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer(), limit=512)
 
 
+@_query
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the written shards hold of every document."""
+    manifest = token_shards.write_shards(documents(spark, sf_dir), tokenizer(), end_id=0)
+    return token_shards.read_shards(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @_query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of the benchmark occurs in every document."""
