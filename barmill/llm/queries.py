@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmill.llm import bpe, decontaminate, exact_dedup, token_counts, token_shards
+from barmill.llm import bpe, decontaminate, exact_dedup, pii, spans, token_counts, token_shards
 from barmill.llm.common import documents
 
 QUERIES: dict = {}
@@ -43,6 +43,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer(), limit=512)
 
 
+@_query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of personal data in every document."""
+    base = F.col("base")
+    return pii.find_pii(documents(spark, sf_dir)).select(
+        "doc_id", *(spans.count(base, k).alias(f"n_{k}") for k in pii.KINDS), F.sha2(spans.joined(base), 256).alias("base_sha256"), spans.joined(pii.all_spans()).alias("spans")
+    )
+
+
 @_query
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the written shards hold of every document."""
