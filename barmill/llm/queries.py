@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmill.llm import bpe, decontaminate, exact_dedup, pii, spans, token_counts, token_shards
+from barmill.llm import bpe, decontaminate, exact_dedup, pii, secrets_scan, spans, token_counts, token_shards
 from barmill.llm.common import documents
 
 QUERIES: dict = {}
@@ -52,6 +52,22 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of secrets in every document; a source is an owner, its part in one language a repository."""
+    source = F.col("source")
+    found = secrets_scan.find_secrets(documents(spark, sf_dir), repo=F.concat_ws("/", source, F.col("lang")), owner=source)
+    base = F.col("base")
+    return found.select(
+        "doc_id",
+        *(spans.count(base, k).alias(f"n_{k}") for k in secrets_scan.KINDS),
+        F.sha2(spans.joined(base), 256).alias("base_sha256"),
+        spans.joined(secrets_scan.in_order(F.concat("base", "added"))).alias("spans"),
+        "n_live",
+        "n_example",
+    )
+
+
 @_query
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the written shards hold of every document."""
