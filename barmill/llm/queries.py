@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmill.llm import bpe, decontaminate, exact_dedup, pii, secrets_scan, spans, token_counts, token_shards
+from barmill.llm import bpe, decontaminate, exact_dedup, pii, quality, secrets_scan, spans, token_counts, token_shards
 from barmill.llm.common import documents
 
 QUERIES: dict = {}
@@ -75,6 +75,13 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.read_shards(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@_query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labelled ones that aren't held out."""
+    found = quality.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 @_query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of the benchmark occurs in every document."""
