@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmill.llm import bpe, decontaminate, exact_dedup, pii, quality, secrets_scan, simhash, spans, token_counts, token_shards
+from barmill.llm import bpe, decontaminate, exact_dedup, lm_scoring, pii, quality, secrets_scan, simhash, spans, token_counts, token_shards
 from barmill.llm.common import documents
 
 QUERIES: dict = {}
@@ -117,6 +117,12 @@ FROM doc LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@_query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model score and smoothed word-share score of every document."""
+    return lm_scoring.score(documents(spark, sf_dir), tokenizer())
+
+
 @_query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of every document."""
