@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import byte_slices, ragged, string_bytes, string_offsets, text_rows, written
+from barmill.llm.common import byte_slices, kept_rows, ragged, string_bytes, string_offsets, text_rows, written
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _LANES = np.uint64(0x0101010101010101)
@@ -309,3 +309,144 @@ def near_groups(docs: DataFrame, shingle: int = 3, tau: int = 2, id_col: str = "
     member = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(member.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "text_key", "fp", "component_id")
+
+
+#: Lanes of 64 bits of a wide fingerprint, and how many of them a candidate pair is first compared on.
+LANES, FIRST = 16, 2
+
+
+def wide_fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, fp) for every row; fp: LANES fingerprints, each by another mix of the shingles' hashes, in a binary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).tolist()
+        for batch in batches:
+            for part in byte_slices(batch, most=4 << 20):
+                offsets = string_offsets(part.column(2))
+                data = bytes(string_bytes(part.column(2))[int(offsets[0]) : int(offsets[-1])]).translate(_LOWER)
+                cuts = (offsets - offsets[0]).tolist()
+                each = [hashes(data[a:b], shingle) for a, b in zip(cuts, cuts[1:])]
+                number = np.fromiter(map(len, each), np.int64, len(each))
+                h = np.concatenate(each)
+                out = np.empty((len(number), LANES), np.uint64)
+                for k, seed in enumerate(seeds):
+                    mixed = (h ^ np.uint64(seed)) * np.uint64(0xBF58476D1CE4E5B9)
+                    out[:, k] = majority(mixed ^ (mixed >> np.uint64(31)), number)
+                raw = out.astype("<u8").tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([raw[8 * LANES * k : 8 * LANES * (k + 1)] for k in range(len(number))], pa.binary())], names=["doc_id", "text_key", "fp"]
+                )
+
+    rows = text_rows(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, fp binary")
+
+
+def differing_bits(similarity: float, bits: int, slack: float) -> int:
+    """How many of so many bits differ for texts whose shingle sets have this Jaccard similarity, and `slack` standard deviations more."""
+    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return int(bits * p + slack * np.sqrt(bits * p * (1 - p)))
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, LANES)
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, component_id) for every row; texts link if their wide fingerprints show this similarity of shingle sets.
+
+    The bits of the wide fingerprint are dealt into m parts that are probed with threshold zero: pairs that differ in
+    fewer than m bits always meet, others by the chance that some part agrees (0.99 at a similarity of 0.8 and up to
+    some million texts; a part's width follows the number of texts, so that few unrelated texts meet). Candidates are
+    compared on FIRST lanes, the links that span a group on all of them. Texts with equal fingerprints are one node.
+    Null, empty and repeated rows are treated as in near_groups().
+    """
+    rows = written(wide_fingerprints(docs, shingle, id_col, text_col).withColumn("node", F.xxhash64("fp")), "fingerprints")
+    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp")), "nodes")
+    width = int(np.clip(np.ceil(np.log2(max(nodes.count(), 2))) - 3, 12, 32))
+    parts = [list(range(k, k + width)) for k in range(0, 64 * LANES - width + 1, width)]
+    loose, strict = differing_bits(similarity, 64 * FIRST, 3.0), differing_bits(similarity, 64 * LANES, 1.7)
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = np.uint64(1) << np.arange(width, dtype=np.uint64)
+        for batch in batches:
+            for at in range(0, len(batch), 4096):
+                part = batch.slice(at, 4096)
+                fp = _matrix(part.column(1))
+                bits = np.unpackbits(fp.view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
+                first = pa.array([x[: 8 * FIRST] for x in part.column(1).to_pylist()], pa.binary())
+                for k, own in enumerate(parts):
+                    key = (bits[:, own[0] : own[-1] + 1] @ weight) ^ np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column(0), first], names=["key", "node", "first"])
+
+    def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by key; the last group of a batch waits for the next one."""
+        key, node, first = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, FIRST), np.uint64)
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                key, node = np.concatenate([key, batch.column(0).to_numpy()]), np.concatenate([node, batch.column(1).to_numpy()])
+                first = np.concatenate([first, np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u8").reshape(-1, FIRST)])
+                end = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            else:
+                end = len(key)
+            a, b = _near_links(key[:end], node[:end], first[:end], loose)
+            key, node, first = key[end:], node[end:], first[end:]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["u", "v"])
+
+    def agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = np.bitwise_count(_matrix(batch.column(2)) ^ _matrix(batch.column(3))).sum(axis=1) <= strict
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(near)), batch.column(1).filter(pa.array(near))], names=["u", "v"])
+
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = nodes.select("node", "fp").mapInArrow(probe, "key long, node long, first binary").repartition(n, "key").sortWithinPartitions("key")
+    pairs = met.mapInArrow(spanning, "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    left, right = (nodes.select(F.col("node").alias(c), F.col("fp").alias(f"{c}_fp")) for c in "uv")
+    found = components(pairs.join(left, "u").join(right, "v").select("u", "v", "u_fp", "v_fp").mapInArrow(agreed, "u long, v long"))
+    member = nodes.select("node", "least").join(found.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.select("doc_id", "text_key", "node").join(member.join(ids, "root").select("node", "component_id"), "node").select("doc_id", "text_key", "component_id")
+
+
+def _near_links(key: np.ndarray, node: np.ndarray, first: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span each run of equal keys under "differ in at most tau bits of the first lanes".
+
+    Small runs give all their links. In a large one each text that isn't linked yet gathers those near to it, from
+    texts in an order that differs by key, so that each run gives other links.
+    """
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    if len(key):
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(starts, len(key)))
+        group = np.repeat(np.arange(len(size)), size)
+        small = np.flatnonzero(size[group] <= 64)
+        for d in range(1, 64):
+            at = small[:-d]
+            at = at[(small[d:] - at == d) & (group[small[d:]] == group[at])]
+            if not len(at):
+                break
+            near = np.bitwise_count(first[at] ^ first[at + d]).sum(axis=1) <= tau
+            out.append((node[at[near]], node[at[near] + d]))
+        for k in np.flatnonzero(size > 64).tolist():
+            own = np.arange(starts[k], starts[k] + size[k])
+            own = own[np.argsort((node[own] ^ key[own]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
+            while len(own) > 1:
+                root, own, todo = own[0], own[1:], [own[0]]
+                while todo and len(own):
+                    head = todo.pop()
+                    near = np.bitwise_count(first[own] ^ first[head]).sum(axis=1) <= tau
+                    if near.any():
+                        out.append((np.full(int(near.sum()), node[head]), node[own[near]]))
+                        todo += own[near].tolist()
+                        own = own[~near]
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
+
+
+def drop_similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each group of similar_groups(), the one of smallest id, all columns kept.
+
+    Of rows that repeat an id, those that share the kept id stay, each text once.
+    """
+    groups = similar_groups(docs, shingle, similarity, id_col, text_col)
+    return kept_rows(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), id_col, text_col)
