@@ -364,7 +364,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
     nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp")), "nodes")
     width = int(np.clip(np.ceil(np.log2(max(nodes.count(), 2))) - 3, 12, 32))
     parts = [list(range(k, k + width)) for k in range(0, 64 * LANES - width + 1, width)]
-    loose, strict = differing_bits(similarity, 64 * FIRST, 3.0), differing_bits(similarity, 64 * LANES, 1.7)
+    loose, strict = differing_bits(similarity, 64 * FIRST, 3.0), differing_bits(similarity, 64 * LANES, 2.2)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.uint64(1) << np.arange(width, dtype=np.uint64)
