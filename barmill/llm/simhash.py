@@ -313,6 +313,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, tau: int = 2, id_col: str = "
 
 #: Lanes of 64 bits of a wide fingerprint, and how many of them a candidate pair is first compared on.
 LANES, FIRST = 16, 2
+ORDERS = 4
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -410,8 +411,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
 def _near_links(key: np.ndarray, node: np.ndarray, first: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that span each run of equal keys under "differ in at most tau bits of the first lanes".
 
-    Small runs give all their links. In a large one each text that isn't linked yet gathers those near to it, from
-    texts in an order that differs by key, so that each run gives other links.
+    Small runs give all their links. In a large one each text that isn't linked yet gathers those near to it, in one of
+    ORDERS orders of the texts: more than one, lest a link that the other lanes refuse part a group; few, so that the
+    runs of one group mostly give the same links.
     """
     out: list[tuple[np.ndarray, np.ndarray]] = []
     if len(key):
@@ -428,7 +430,7 @@ def _near_links(key: np.ndarray, node: np.ndarray, first: np.ndarray, tau: int)
             out.append((node[at[near]], node[at[near] + d]))
         for k in np.flatnonzero(size > 64).tolist():
             own = np.arange(starts[k], starts[k] + size[k])
-            own = own[np.argsort((node[own] ^ key[own]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
+            own = own[np.argsort((node[own] ^ (key[own] & (ORDERS - 1))).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
             while len(own) > 1:
                 root, own, todo = own[0], own[1:], [own[0]]
                 while todo and len(own):
