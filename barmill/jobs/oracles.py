@@ -98,11 +98,16 @@ def _trailing(n: int, at: str = "latest") -> str:
     return f"(arg_max(close, date) - {base}) / {base} * 100"
 
 
+def _unsigned(x: str) -> str:
+    """A zero without a sign."""
+    return f"CASE WHEN {x} = 0 THEN 0 ELSE {x} END"
+
+
 _EXCESS = "(wr - 0.065::DOUBLE / 252 * 100)"
 BY_METRIC = {
-    "beta": "CASE WHEN count(ps) >= 60 AND var_samp(pm) <> 0 THEN round(covar_samp(ps, pm) / var_samp(pm), 3) END",
+    "beta": "CASE WHEN count(ps) >= 60 AND var_samp(pm) <> 0 THEN " + _unsigned("round(covar_samp(ps, pm) / var_samp(pm), 3)") + " END",
     "slope": "CASE WHEN count(ps) >= 60 THEN round(regr_slope(ps, pm), 6) END",
-    "correlation": "CASE WHEN count(ps) >= 60 THEN round(corr(ps, pm), 3) END",
+    "correlation": "CASE WHEN count(ps) >= 60 THEN " + _unsigned("round(corr(ps, pm), 3)") + " END",
     "sharpe_ratio": f"CASE WHEN count(wr) >= 60 AND stddev_samp(wr) <> 0 THEN round(avg({_EXCESS}) / stddev_samp({_EXCESS}) * sqrt(252), 3) END",
     "annual_volatility_pct": "CASE WHEN count(wr) >= 60 THEN round(stddev_samp(wr) * sqrt(252), 2) END",
     "max_drawdown_pct": "round(min(dd), 2)",
