@@ -228,7 +228,7 @@ def _metric(name: str, columns: dict[str, str]):
 
 
 def _by_ticker(spark, d, *aggregates) -> DataFrame:
-    return M.with_latest(M.with_drawdown(M.with_market(stored(spark, d)).repartition("ticker"))).groupBy("ticker").agg(*aggregates)
+    return M.with_latest(M.with_drawdown(M.with_market(stored(spark, d)))).groupBy("ticker").agg(*aggregates)
 
 
 @_metric("AGG1", {"beta": "beta"})

@@ -69,7 +69,7 @@ def rolling_indicators(bars: DataFrame) -> DataFrame:
 
 def unrounded_indicators(bars: DataFrame) -> DataFrame:
     """Repair, then every indicator of the repaired closes."""
-    return recursive_indicators(rolling_indicators(repair_bad_ticks(bars.repartition("ticker"))))
+    return recursive_indicators(rolling_indicators(repair_bad_ticks(bars)))
 
 
 def add_indicators(bars: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def _return(months: int) -> Column:
 def prices(bars: DataFrame) -> DataFrame:
     """Latest, previous, 52-week, period and year-to-date figures of each ticker, the benchmark included."""
     back = F.row_number().over(Window.partitionBy("ticker").orderBy(F.desc("date")))
-    rows = with_latest(bars.repartition("ticker")).withColumn("__back", back)
+    rows = with_latest(bars).withColumn("__back", back)
     last = lambda c: F.max_by(c, "date")
     year = F.date_sub(F.col("__latest"), 365)
     base = F.max_by("close", F.when(F.col("date") < F.trunc("__latest", "YEAR"), F.col("date")))

@@ -82,7 +82,7 @@ def trailing_return(months: int) -> Column:
 
 def ticker_metrics(bars: DataFrame) -> DataFrame:
     """Every metric, one row a stock that has bars; reads the stored, rounded columns."""
-    rows = with_latest(with_drawdown(with_market(bars).repartition("ticker")))
+    rows = with_latest(with_drawdown(with_market(bars)))
     return rows.groupBy("ticker").agg(
         beta().alias("beta"),
         sharpe().alias("sharpe_ratio"),

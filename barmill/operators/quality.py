@@ -90,7 +90,7 @@ def copy_parity(a: DataFrame, b: DataFrame) -> DataFrame:
 def indicator_recheck(bars: DataFrame) -> DataFrame:
     """By ticker, whether stored indicators agree with those computed anew from the stored close; pairs with a null are passed over."""
     again = {"r": I.daily_return(), "m20": I.moving_average(20), "m50": I.moving_average(50), "m200": I.moving_average(200), "up": I.bollinger()["bb_upper"], "down": I.bollinger()["bb_lower"]}
-    rows = bars.repartition("ticker").withColumns({f"__{k}": v for k, v in again.items()})
+    rows = bars.withColumns({f"__{k}": v for k, v in again.items()})
     ok = lambda stored, new, rtol, atol: F.coalesce(F.bool_and(close_to(F.col(stored), F.col(new), rtol, atol)), F.lit(True))
     # rolling columns were made of unrounded, repaired closes, so the tolerance is the rounding's
     return rows.groupBy("ticker").agg(
@@ -100,7 +100,7 @@ def indicator_recheck(bars: DataFrame) -> DataFrame:
 
 def metric_recheck(bars: DataFrame, metrics: DataFrame) -> DataFrame:
     """By ticker, whether beta by slope, Sharpe and drawdown agree with the stored ones, all over the benchmark window."""
-    rows = M.with_drawdown(M.with_market(bars).repartition("ticker"))
+    rows = M.with_drawdown(M.with_market(bars))
     new = rows.groupBy("ticker").agg(M.beta_by_slope().alias("b"), M.sharpe().alias("s"), F.min("drawdown").alias("d"))
     near = lambda stored, again, tol: F.coalesce(F.abs(F.col(stored) - F.col(again)) <= tol, F.col(stored).isNull() & F.col(again).isNull())
     return metrics.select("ticker", "beta", "sharpe_ratio", "max_drawdown_pct").join(new, "ticker").select("ticker", near("beta", "b", 0.01).alias("beta_ok"), near("sharpe_ratio", "s", 0.01).alias("sharpe_ok"), near("max_drawdown_pct", "d", 0.05).alias("drawdown_ok"))
