@@ -314,6 +314,8 @@ def near_groups(docs: DataFrame, shingle: int = 3, tau: int = 2, id_col: str = "
 #: Lanes of 64 bits of a wide fingerprint, and how many of them a candidate pair is first compared on.
 LANES, FIRST = 16, 2
 ORDERS = 4
+#: Parts that are probed first; what they join needs no more links from the others.
+FIRST_PARTS = 12
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -367,51 +369,71 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
     parts = [list(range(k, k + width)) for k in range(0, 64 * LANES - width + 1, width)]
     loose, strict = differing_bits(similarity, 64 * FIRST, 3.0), differing_bits(similarity, 64 * LANES, 2.2)
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = np.uint64(1) << np.arange(width, dtype=np.uint64)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (nodes.select(F.col("node").alias(c), F.col("fp").alias(f"{c}_fp")) for c in "uv")
+
+    def agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = pa.array(np.bitwise_count(_matrix(batch.column(2)) ^ _matrix(batch.column(3))).sum(axis=1) <= strict)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["u", "v"])
+
+    def linked(rooted: DataFrame, own: list[int]) -> DataFrame:
+        """Verified links that the parts of these numbers find between nodes of different roots."""
+        met = rooted.select("node", "root", "fp").mapInArrow(_probe(parts, own), "key long, node long, root long, first binary").repartition(n, "key").sortWithinPartitions("key")
+        pairs = met.mapInArrow(_spanning(loose), "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        return pairs.join(left, "u").join(right, "v").select("u", "v", "u_fp", "v_fp").mapInArrow(agreed, "u long, v long")
+
+    # A group that the first parts have joined needs no more links: the others only join it with what they find beyond it.
+    first = components(linked(nodes.withColumn("root", F.col("node")), list(range(FIRST_PARTS)))).withColumnRenamed("node", "n")
+    rooted = written(nodes.join(first, F.col("node") == F.col("n"), "left").select("node", "fp", F.coalesce("root", "node").alias("root")), "rooted")
+    more = linked(rooted, list(range(FIRST_PARTS, len(parts))))
+    found = components(rooted.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+    member = nodes.select("node", "least").join(found.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.select("doc_id", "text_key", "node").join(member.join(ids, "root").select("node", "component_id"), "node").select("doc_id", "text_key", "component_id")
+
+
+def _probe(parts: list[list[int]], own: list[int]):
+    """The values of some parts of each wide fingerprint, with its first lanes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = np.uint64(1) << np.arange(len(parts[0]), dtype=np.uint64)
         for batch in batches:
             for at in range(0, len(batch), 4096):
                 part = batch.slice(at, 4096)
-                fp = _matrix(part.column(1))
+                fp = _matrix(part.column(2))
                 bits = np.unpackbits(fp.view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
-                first = pa.array([x[: 8 * FIRST] for x in part.column(1).to_pylist()], pa.binary())
-                for k, own in enumerate(parts):
-                    key = (bits[:, own[0] : own[-1] + 1] @ weight) ^ np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column(0), first], names=["key", "node", "first"])
-
-    def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key; the last group of a batch waits for the next one."""
-        key, node, first = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, FIRST), np.uint64)
+                first = pa.array([x[: 8 * FIRST] for x in part.column(2).to_pylist()], pa.binary())
+                for k in own:
+                    key = (bits[:, parts[k][0] : parts[k][-1] + 1] @ weight) ^ np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column(0), part.column(1), first], names=["key", "node", "root", "first"])
+
+    return run
+
+
+def _spanning(tau: int):
+    """Links within runs of equal keys; the last run of a batch waits for the next one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, node, root, first = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, FIRST), np.uint64)
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
-                key, node = np.concatenate([key, batch.column(0).to_numpy()]), np.concatenate([node, batch.column(1).to_numpy()])
-                first = np.concatenate([first, np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u8").reshape(-1, FIRST)])
+                key, node, root = (np.concatenate([x, batch.column(k).to_numpy()]) for k, x in enumerate((key, node, root)))
+                first = np.concatenate([first, np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u8").reshape(-1, FIRST)])
                 end = int(np.searchsorted(key, key[-1])) if len(key) else 0
             else:
                 end = len(key)
-            a, b = _near_links(key[:end], node[:end], first[:end], loose)
-            key, node, first = key[end:], node[end:], first[end:]
+            a, b = _near_links(key[:end], node[:end], root[:end], first[:end], tau)
+            key, node, root, first = key[end:], node[end:], root[end:], first[end:]
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["u", "v"])
 
-    def agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = np.bitwise_count(_matrix(batch.column(2)) ^ _matrix(batch.column(3))).sum(axis=1) <= strict
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(near)), batch.column(1).filter(pa.array(near))], names=["u", "v"])
-
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = nodes.select("node", "fp").mapInArrow(probe, "key long, node long, first binary").repartition(n, "key").sortWithinPartitions("key")
-    pairs = met.mapInArrow(spanning, "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    left, right = (nodes.select(F.col("node").alias(c), F.col("fp").alias(f"{c}_fp")) for c in "uv")
-    found = components(pairs.join(left, "u").join(right, "v").select("u", "v", "u_fp", "v_fp").mapInArrow(agreed, "u long, v long"))
-    member = nodes.select("node", "least").join(found.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select("doc_id", "text_key", "node").join(member.join(ids, "root").select("node", "component_id"), "node").select("doc_id", "text_key", "component_id")
+    return run
 
 
-def _near_links(key: np.ndarray, node: np.ndarray, first: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that span each run of equal keys under "differ in at most tau bits of the first lanes".
+def _near_links(key: np.ndarray, node: np.ndarray, root: np.ndarray, first: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between different roots that span each run of equal keys under "differ in at most tau bits of the first lanes".
 
-    Small runs give all their links. In a large one each text that isn't linked yet gathers those near to it, in one of
+    Small runs give all such links. In a large one each text that isn't linked yet gathers those near to it, in one of
     ORDERS orders of the texts: more than one, lest a link that the other lanes refuse part a group; few, so that the
     runs of one group mostly give the same links.
     """
@@ -426,19 +448,21 @@ def _near_links(key: np.ndarray, node: np.ndarray, first: np.ndarray, tau: int)
             at = at[(small[d:] - at == d) & (group[small[d:]] == group[at])]
             if not len(at):
                 break
-            near = np.bitwise_count(first[at] ^ first[at + d]).sum(axis=1) <= tau
+            near = (root[at] != root[at + d]) & (np.bitwise_count(first[at] ^ first[at + d]).sum(axis=1) <= tau)
             out.append((node[at[near]], node[at[near] + d]))
         for k in np.flatnonzero(size > 64).tolist():
             own = np.arange(starts[k], starts[k] + size[k])
             own = own[np.argsort((node[own] ^ (key[own] & (ORDERS - 1))).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
             while len(own) > 1:
-                root, own, todo = own[0], own[1:], [own[0]]
+                todo, own = [own[0]], own[1:]
                 while todo and len(own):
                     head = todo.pop()
                     near = np.bitwise_count(first[own] ^ first[head]).sum(axis=1) <= tau
                     if near.any():
-                        out.append((np.full(int(near.sum()), node[head]), node[own[near]]))
-                        todo += own[near].tolist()
+                        new = own[near]
+                        fresh = new[root[new] != root[head]]
+                        out.append((np.full(len(fresh), node[head]), node[fresh]))
+                        todo += new.tolist()
                         own = own[~near]
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
