@@ -315,7 +315,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, tau: int = 2, id_col: str = "
 LANES, FIRST = 16, 2
 ORDERS = 4
 #: Parts that are probed first; what they join needs no more links from the others.
-FIRST_PARTS = 12
+FIRST_PARTS = 6
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
