@@ -312,10 +312,11 @@ def near_groups(docs: DataFrame, shingle: int = 3, tau: int = 2, id_col: str = "
 
 
 #: Lanes of 64 bits of a wide fingerprint, and how many of them a candidate pair is first compared on.
-LANES, FIRST = 16, 2
-ORDERS = 4
+LANES, FIRST = 16, 4
 #: Parts that are probed first; what they join needs no more links from the others.
-FIRST_PARTS = 6
+FIRST_PARTS = 4
+#: Candidates that a text is tried with in a run of the second round, and how many times more in each further one.
+TRIED, MORE = 4, 16
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -377,18 +378,32 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
             near = pa.array(np.bitwise_count(_matrix(batch.column(2)) ^ _matrix(batch.column(3))).sum(axis=1) <= strict)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["u", "v"])
 
-    def linked(rooted: DataFrame, own: list[int]) -> DataFrame:
-        """Verified links that the parts of these numbers find between nodes of different roots."""
-        met = rooted.select("node", "root", "fp").mapInArrow(_probe(parts, own), "key long, node long, root long, first binary").repartition(n, "key").sortWithinPartitions("key")
-        pairs = met.mapInArrow(_spanning(loose), "u long, v long").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    def verified(pairs: DataFrame) -> DataFrame:
         return pairs.join(left, "u").join(right, "v").select("u", "v", "u_fp", "v_fp").mapInArrow(agreed, "u long, v long")
 
+    def candidates(rooted: DataFrame, own: list[int], most: int, keys: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """Pairs of different roots to verify, from the runs of these parts (and keys), and the keys of runs with more of them."""
+        met = rooted.select("node", "root", "fp").mapInArrow(_probe(parts, own), "key long, node long, root long, first binary")
+        met = (met if keys is None else met.join(keys, "key", "left_semi")).repartition(n, "key").sortWithinPartitions("key")
+        found = written(met.mapInArrow(_spanning(loose, most), "u long, v long, key long"), "candidates")
+        pairs = found.where("key is null").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        return pairs, found.where("key is not null").select("key").distinct()
+
+    def joined(rooted: DataFrame, more: DataFrame) -> DataFrame:
+        found = components(rooted.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)).withColumnRenamed("node", "n")
+        return written(nodes.join(found, F.col("node") == F.col("n"), "left").select("node", "least", "fp", F.coalesce("root", "node").alias("root")), "rooted")
+
     # A group that the first parts have joined needs no more links: the others only join it with what they find beyond it.
-    first = components(linked(nodes.withColumn("root", F.col("node")), list(range(FIRST_PARTS)))).withColumnRenamed("node", "n")
-    rooted = written(nodes.join(first, F.col("node") == F.col("n"), "left").select("node", "fp", F.coalesce("root", "node").alias("root")), "rooted")
-    more = linked(rooted, list(range(FIRST_PARTS, len(parts))))
-    found = components(rooted.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
-    member = nodes.select("node", "least").join(found.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    rooted = nodes.withColumn("root", F.col("node"))
+    rooted = joined(rooted, verified(candidates(rooted, list(range(FIRST_PARTS)), 1, None)[0]))
+    most, keys = TRIED, None
+    while True:  # until each pair that met, of different roots to the end, was verified
+        pairs, left_over = candidates(rooted, list(range(len(parts))), most, keys)
+        rooted = joined(rooted, verified(pairs))
+        if left_over.isEmpty():
+            break
+        most, keys = most * MORE, left_over
+    member = rooted.select("node", "least", "root")
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.select("doc_id", "text_key", "node").join(member.join(ids, "root").select("node", "component_id"), "node").select("doc_id", "text_key", "component_id")
 
@@ -411,8 +426,8 @@ def _probe(parts: list[list[int]], own: list[int]):
     return run
 
 
-def _spanning(tau: int):
-    """Links within runs of equal keys; the last run of a batch waits for the next one."""
+def _spanning(tau: int, most: int):
+    """(u, v) of candidates within runs of equal keys, and the keys of runs that hold more; a batch's last run waits for the next one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, node, root, first = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, FIRST), np.uint64)
@@ -423,50 +438,43 @@ def _spanning(tau: int):
                 end = int(np.searchsorted(key, key[-1])) if len(key) else 0
             else:
                 end = len(key)
-            a, b = _near_links(key[:end], node[:end], root[:end], first[:end], tau)
+            u, v, cut = _near_links(key[:end], node[:end], root[:end], first[:end], tau, most)
             key, node, root, first = key[end:], node[end:], root[end:], first[end:]
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["u", "v"])
+            none = np.arange(len(u) + len(cut)) >= len(u)
+            u, v, k = np.append(u, cut), np.append(v, cut), np.append(u, cut)
+            yield pa.RecordBatch.from_arrays([pa.array(u, mask=none), pa.array(v, mask=none), pa.array(k, mask=~none)], names=["u", "v", "key"])
 
     return run
 
 
-def _near_links(key: np.ndarray, node: np.ndarray, root: np.ndarray, first: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between different roots that span each run of equal keys under "differ in at most tau bits of the first lanes".
+def _near_links(key: np.ndarray, node: np.ndarray, root: np.ndarray, first: np.ndarray, tau: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of different roots within each run of equal keys that differ in at most tau bits of the first lanes, and the keys of runs that hold more.
 
-    Small runs give all such links. In a large one each text that isn't linked yet gathers those near to it, in one of
-    ORDERS orders of the texts: more than one, lest a link that the other lanes refuse part a group; few, so that the
-    runs of one group mostly give the same links.
+    Runs are ordered by a mix of the root. Each text is compared with those before its own root, the last one first,
+    until it has found `most`: no text leaves a run for a pair that the shingles may refuse later.
     """
-    out: list[tuple[np.ndarray, np.ndarray]] = []
-    if len(key):
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(starts, len(key)))
-        group = np.repeat(np.arange(len(size)), size)
-        small = np.flatnonzero(size[group] <= 64)
-        for d in range(1, 64):
-            at = small[:-d]
-            at = at[(small[d:] - at == d) & (group[small[d:]] == group[at])]
-            if not len(at):
-                break
-            near = (root[at] != root[at + d]) & (np.bitwise_count(first[at] ^ first[at + d]).sum(axis=1) <= tau)
-            out.append((node[at[near]], node[at[near] + d]))
-        for k in np.flatnonzero(size > 64).tolist():
-            own = np.arange(starts[k], starts[k] + size[k])
-            own = own[np.argsort((node[own] ^ (key[own] & (ORDERS - 1))).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
-            while len(own) > 1:
-                todo, own = [own[0]], own[1:]
-                while todo and len(own):
-                    head = todo.pop()
-                    near = np.bitwise_count(first[own] ^ first[head]).sum(axis=1) <= tau
-                    if near.any():
-                        new = own[near]
-                        fresh = new[root[new] != root[head]]
-                        out.append((np.full(len(fresh), node[head]), node[fresh]))
-                        todo += new.tolist()
-                        own = own[~near]
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
+    if not len(key):
+        return key, key, key
+    mixed = root.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    order = np.lexsort((node, mixed, key))
+    key, node, root, first = key[order], node[order], root[order], first[order]
+    at = np.arange(len(key))
+    opens = np.append(True, key[1:] != key[:-1])
+    begin = np.maximum.accumulate(np.where(opens, at, 0))
+    own = np.maximum.accumulate(np.where(opens | np.append(True, root[1:] != root[:-1]), at, 0))
+    who = np.flatnonzero(own > begin)
+    place, free = own[who] - 1, np.full(len(who), most)
+    left, right, cut = [key[:0]], [key[:0]], [key[:0]]
+    while len(who):
+        near = np.bitwise_count(first[who] ^ first[place]).sum(axis=1) <= tau
+        left.append(node[who[near]])
+        right.append(node[place[near]])
+        free -= near
+        more = place > begin[who]
+        cut.append(key[who[more & (free == 0)]])
+        more &= free > 0
+        who, place, free = who[more], place[more] - 1, free[more]
+    return np.concatenate(left), np.concatenate(right), np.unique(np.concatenate(cut))
 
 
 def drop_similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -480,6 +480,18 @@ def test_similar_texts_group_and_others_stay(spark):
     assert kept == sorted([10 * k for k in range(60)] + [5])
 
 
+def test_refused_candidates_leave_no_run():
+    rng = np.random.default_rng(9)
+    n = 200
+    node = np.arange(n)
+    first = np.repeat(rng.integers(0, 2**62, (1, simhash.FIRST)).astype(np.uint64), n, axis=0)
+    u, v, cut = simhash._near_links(np.zeros(n, np.int64), node, node, first, 10, n)
+    assert len(set(zip(np.minimum(u, v).tolist(), np.maximum(u, v).tolist()))) == n * (n - 1) // 2 and not len(cut)
+    u, v, cut = simhash._near_links(np.zeros(n, np.int64), node, node, first, 10, 1)
+    assert len(u) == n - 1 and cut.tolist() == [0]
+    assert not len(simhash._near_links(np.zeros(n, np.int64), node, node * 0, first, 10, 1)[0])
+
+
 # --- empty tables
 
 
