@@ -315,12 +315,19 @@ def near_groups(docs: DataFrame, shingle: int = 3, tau: int = 2, id_col: str = "
 LANES, FIRST = 16, 4
 #: Parts that are probed first; what they join needs no more links from the others.
 FIRST_PARTS = 4
+#: Chance that a pair at the limit of similarity meets in some part, whatever the number of texts.
+RECALL = 0.999
+#: Texts of this many shingles at most, whose bits are too few sums to follow a formula, also meet by their least shingles, without fail.
+FEW = 16
 #: Candidates that a text is tried with in a run of the second round, and how many times more in each further one.
 TRIED, MORE = 4, 16
 
 
-def wide_fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, fp) for every row; fp: LANES fingerprints, each by another mix of the shingles' hashes, in a binary."""
+def wide_fingerprints(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, fp, few) for every row; fp: LANES fingerprints, each by another mix of the shingles' hashes, in a binary.
+
+    few: of texts of FEW shingles at most the least of them, of which two texts of this similarity have one in common.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).tolist()
@@ -337,12 +344,12 @@ def wide_fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id",
                     mixed = (h ^ np.uint64(seed)) * np.uint64(0xBF58476D1CE4E5B9)
                     out[:, k] = majority(mixed ^ (mixed >> np.uint64(31)), number)
                 raw = out.astype("<u8").tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([raw[8 * LANES * k : 8 * LANES * (k + 1)] for k in range(len(number))], pa.binary())], names=["doc_id", "text_key", "fp"]
-                )
+                fp = pa.array([raw[8 * LANES * k : 8 * LANES * (k + 1)] for k in range(len(number))], pa.binary())
+                few = [np.unique(x)[: len(np.unique(x)) - int(np.ceil(similarity * len(np.unique(x)) - 1e-9)) + 1].tobytes() if 0 < len(np.unique(x)) <= FEW else b"" for x in each]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), fp, pa.array(few, pa.binary())], names=["doc_id", "text_key", "fp", "few"])
 
     rows = text_rows(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, fp binary")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, fp binary, few binary")
 
 
 def differing_bits(similarity: float, bits: int, slack: float) -> int:
@@ -351,6 +358,21 @@ def differing_bits(similarity: float, bits: int, slack: float) -> int:
     return int(bits * p + slack * np.sqrt(bits * p * (1 - p)))
 
 
+def drawn_parts(n: int, similarity: float) -> list[np.ndarray]:
+    """Parts of the wide fingerprint's bits, drawn from as many permutations of them as a recall of RECALL takes.
+
+    The width grows with the number of texts, so that few unrelated ones meet in a part, and with it the number of parts.
+    """
+    width = int(np.clip(np.ceil(np.log2(max(n, 2))) - 6, 10, 32))
+    agree = 1 - float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    number = int(np.ceil(np.log(1 - RECALL) / np.log1p(-(agree**width))))
+    rng, parts = np.random.default_rng(1), []
+    while len(parts) < number:
+        order = rng.permutation(64 * LANES)
+        parts += [np.sort(order[k : k + width]) for k in range(0, 64 * LANES - width + 1, width)]
+    return parts[:number]
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, LANES)
 
@@ -358,17 +380,17 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key, component_id) for every row; texts link if their wide fingerprints show this similarity of shingle sets.
 
-    The bits of the wide fingerprint are dealt into m parts that are probed with threshold zero: pairs that differ in
-    fewer than m bits always meet, others by the chance that some part agrees (0.99 at a similarity of 0.8 and up to
-    some million texts; a part's width follows the number of texts, so that few unrelated texts meet). Candidates are
-    compared on FIRST lanes, the links that span a group on all of them. Texts with equal fingerprints are one node.
+    The parts that drawn_parts() takes of the wide fingerprint's bits are probed with threshold zero: a pair of this
+    similarity meets with a chance of RECALL for every number of texts, a more similar one with a higher one, and texts
+    of few shingles always. Candidates are compared on FIRST lanes, then on all of them. Texts with equal fingerprints
+    are one node.
     Null, empty and repeated rows are treated as in near_groups().
     """
-    rows = written(wide_fingerprints(docs, shingle, id_col, text_col).withColumn("node", F.xxhash64("fp")), "fingerprints")
-    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp")), "nodes")
-    width = int(np.clip(np.ceil(np.log2(max(nodes.count(), 2))) - 3, 12, 32))
-    parts = [list(range(k, k + width)) for k in range(0, 64 * LANES - width + 1, width)]
-    loose, strict = differing_bits(similarity, 64 * FIRST, 3.0), differing_bits(similarity, 64 * LANES, 2.2)
+    rows = written(wide_fingerprints(docs, shingle, similarity, id_col, text_col).withColumn("node", F.xxhash64("fp")), "fingerprints")
+    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("few").alias("few")), "nodes")
+    parts = drawn_parts(nodes.count(), similarity)
+    # five of its deviations leave three to texts of four and five shingles, whose bits differ by 3/16
+    loose, strict = differing_bits(similarity, 64 * FIRST, 5.0), differing_bits(similarity, 64 * LANES, 2.2)
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left, right = (nodes.select(F.col("node").alias(c), F.col("fp").alias(f"{c}_fp")) for c in "uv")
@@ -383,7 +405,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
 
     def candidates(rooted: DataFrame, own: list[int], most: int, keys: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """Pairs of different roots to verify, from the runs of these parts (and keys), and the keys of runs with more of them."""
-        met = rooted.select("node", "root", "fp").mapInArrow(_probe(parts, own), "key long, node long, root long, first binary")
+        met = rooted.select("node", "root", "fp", "few").mapInArrow(_probe(parts, own), "key long, node long, root long, first binary")
         met = (met if keys is None else met.join(keys, "key", "left_semi")).repartition(n, "key").sortWithinPartitions("key")
         found = written(met.mapInArrow(_spanning(loose, most), "u long, v long, key long"), "candidates")
         pairs = found.where("key is null").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
@@ -391,7 +413,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
 
     def joined(rooted: DataFrame, more: DataFrame) -> DataFrame:
         found = components(rooted.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)).withColumnRenamed("node", "n")
-        return written(nodes.join(found, F.col("node") == F.col("n"), "left").select("node", "least", "fp", F.coalesce("root", "node").alias("root")), "rooted")
+        return written(nodes.join(found, F.col("node") == F.col("n"), "left").select("node", "least", "fp", "few", F.coalesce("root", "node").alias("root")), "rooted")
 
     # A group that the first parts have joined needs no more links: the others only join it with what they find beyond it.
     rooted = nodes.withColumn("root", F.col("node"))
@@ -408,8 +430,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
     return rows.select("doc_id", "text_key", "node").join(member.join(ids, "root").select("node", "component_id"), "node").select("doc_id", "text_key", "component_id")
 
 
-def _probe(parts: list[list[int]], own: list[int]):
-    """The values of some parts of each wide fingerprint, with its first lanes."""
+def _probe(parts: list[np.ndarray], own: list[int]):
+    """The values of some parts of each wide fingerprint, and the least shingles of short texts, with its first lanes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.uint64(1) << np.arange(len(parts[0]), dtype=np.uint64)
@@ -420,8 +442,11 @@ def _probe(parts: list[list[int]], own: list[int]):
                 bits = np.unpackbits(fp.view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
                 first = pa.array([x[: 8 * FIRST] for x in part.column(2).to_pylist()], pa.binary())
                 for k in own:
-                    key = (bits[:, parts[k][0] : parts[k][-1] + 1] @ weight) ^ np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
+                    key = (bits[:, parts[k]] @ weight) ^ np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column(0), part.column(1), first], names=["key", "node", "root", "first"])
+                few = part.column(3).to_pylist()
+                row = pa.array(np.repeat(np.arange(len(few)), [len(x) // 8 for x in few]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(few), "<i8")), part.column(0).take(row), part.column(1).take(row), first.take(row)], names=["key", "node", "root", "first"])
 
     return run
 

@@ -492,6 +492,16 @@ def test_refused_candidates_leave_no_run():
     assert not len(simhash._near_links(np.zeros(n, np.int64), node, node * 0, first, 10, 1)[0])
 
 
+@pytest.mark.parametrize("n", [1, 10**4, 10**6, 13 * 10**6, 10**9])
+def test_recall_of_the_parts_does_not_fall_with_the_number_of_texts(n):
+    parts = simhash.drawn_parts(n, 0.8)
+    agree = 1 - math.acos(1.6 / 1.8) / math.pi
+    assert 1 - (1 - agree ** len(parts[0])) ** len(parts) >= simhash.RECALL - 1e-9
+    rng = np.random.default_rng(n % 97)
+    differ = rng.random((4000, 64 * simhash.LANES)) > agree
+    assert np.any([~differ[:, p].any(axis=1) for p in parts], axis=0).mean() > 0.98
+
+
 # --- empty tables
 
 
