@@ -324,20 +324,25 @@ TRIED, MORE = 4, 16
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, fp, few) for every row; fp: LANES fingerprints, each by another mix of the shingles' hashes, in a binary.
+    """(doc_id, text_key, node, fp, few) for every row; fp: LANES fingerprints, each by another mix of the distinct shingles' hashes, in a binary.
+
+    node: a hash of the set of shingles, so texts of one set share it.
 
     few: of texts of FEW shingles at most the least of them, of which two texts of this similarity have one in common.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
         seeds = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).tolist()
         for batch in batches:
             for part in byte_slices(batch, most=4 << 20):
                 offsets = string_offsets(part.column(2))
                 data = bytes(string_bytes(part.column(2))[int(offsets[0]) : int(offsets[-1])]).translate(_LOWER)
                 cuts = (offsets - offsets[0]).tolist()
-                each = [hashes(data[a:b], shingle) for a, b in zip(cuts, cuts[1:])]
+                each = [np.unique(hashes(data[a:b], shingle)) for a, b in zip(cuts, cuts[1:])]
                 number = np.fromiter(map(len, each), np.int64, len(each))
+                node = np.fromiter((xxh64_intdigest(x.tobytes()) for x in each), np.uint64, len(each)).view(np.int64)
                 h = np.concatenate(each)
                 out = np.empty((len(number), LANES), np.uint64)
                 for k, seed in enumerate(seeds):
@@ -345,11 +350,32 @@ def wide_fingerprints(docs: DataFrame, shingle: int = 5, similarity: float = 0.8
                     out[:, k] = majority(mixed ^ (mixed >> np.uint64(31)), number)
                 raw = out.astype("<u8").tobytes()
                 fp = pa.array([raw[8 * LANES * k : 8 * LANES * (k + 1)] for k in range(len(number))], pa.binary())
-                few = [np.unique(x)[: len(np.unique(x)) - int(np.ceil(similarity * len(np.unique(x)) - 1e-9)) + 1].tobytes() if 0 < len(np.unique(x)) <= FEW else b"" for x in each]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), fp, pa.array(few, pa.binary())], names=["doc_id", "text_key", "fp", "few"])
+                few = [x[: len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1].tobytes() if 0 < len(x) <= FEW else b"" for x in each]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(node), fp, pa.array(few, pa.binary())], names=["doc_id", "text_key", "node", "fp", "few"])
 
     rows = text_rows(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, fp binary, few binary")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, node long, fp binary, few binary")
+
+
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) for (node, text): the distinct hashes of the shingles in ascending order, in a binary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in byte_slices(batch, most=4 << 20):
+                sets = [np.unique(hashes(x.encode().translate(_LOWER), shingle)).tobytes() for x in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def jaccard(a: bytes, b: bytes) -> float:
+    """Of two sets of shingle_sets()."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return both / (len(x) + len(y) - both)
 
 
 def differing_bits(similarity: float, bits: int, slack: float) -> int:
@@ -378,19 +404,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, component_id) for every row; texts link if their wide fingerprints show this similarity of shingle sets.
+    """(doc_id, text_key, component_id) for every row; texts link if their sets of shingles have this similarity.
 
     The parts that drawn_parts() takes of the wide fingerprint's bits are probed with threshold zero: a pair of this
     similarity meets with a chance of RECALL for every number of texts, a more similar one with a higher one, and texts
-    of few shingles always. Candidates are compared on FIRST lanes, then on all of them. Texts with equal fingerprints
-    are one node.
+    of few shingles always. Candidates are compared on FIRST lanes, then on all of them, both with a limit
+    that hardly refuses a pair of this similarity; those left link if the Jaccard index of their sets of shingle hashes
+    is this similarity or more. Texts with equal sets are one node.
     Null, empty and repeated rows are treated as in near_groups().
     """
-    rows = written(wide_fingerprints(docs, shingle, similarity, id_col, text_col).withColumn("node", F.xxhash64("fp")), "fingerprints")
-    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("few").alias("few")), "nodes")
+    rows = written(wide_fingerprints(docs, shingle, similarity, id_col, text_col), "fingerprints")
+    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("text_key").alias("text_key"), F.first("fp").alias("fp"), F.first("few").alias("few")), "nodes")
     parts = drawn_parts(nodes.count(), similarity)
-    # five of its deviations leave three to texts of four and five shingles, whose bits differ by 3/16
-    loose, strict = differing_bits(similarity, 64 * FIRST, 5.0), differing_bits(similarity, 64 * LANES, 2.2)
+    # five and seven of its deviations leave three to texts of four and five shingles, whose bits differ by 3/16
+    loose, strict = differing_bits(similarity, 64 * FIRST, 5.0), differing_bits(similarity, 64 * LANES, 7.0)
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left, right = (nodes.select(F.col("node").alias(c), F.col("fp").alias(f"{c}_fp")) for c in "uv")
@@ -400,8 +427,20 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
             near = pa.array(np.bitwise_count(_matrix(batch.column(2)) ^ _matrix(batch.column(3))).sum(axis=1) <= strict)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["u", "v"])
 
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = pa.array([jaccard(a, b) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["u", "v"])
+
     def verified(pairs: DataFrame) -> DataFrame:
-        return pairs.join(left, "u").join(right, "v").select("u", "v", "u_fp", "v_fp").mapInArrow(agreed, "u long, v long")
+        """The pairs whose sets of shingles have the similarity; only texts of pairs that the bits let pass are read again."""
+        near = written(pairs.join(left, "u").join(right, "v").select("u", "v", "u_fp", "v_fp").mapInArrow(agreed, "u long, v long"), "near")
+        asked = near.select(F.col("u").alias("node")).unionByName(near.select(F.col("v").alias("node"))).distinct()
+        texts = text_rows(docs, id_col, text_col).select(F.xxhash64("text").alias("text_key"), "text")
+        own = texts.join(nodes.select("node", "text_key").join(asked, "node"), "text_key").dropDuplicates(["node"])
+        sets = written(shingle_sets(own, shingle), "shingle-sets")
+        of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
+        return near.join(of("u"), "u").join(of("v"), "v").select("u", "v", "u_set", "v_set").mapInArrow(alike, "u long, v long")
 
     def candidates(rooted: DataFrame, own: list[int], most: int, keys: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """Pairs of different roots to verify, from the runs of these parts (and keys), and the keys of runs with more of them."""
@@ -413,7 +452,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
 
     def joined(rooted: DataFrame, more: DataFrame) -> DataFrame:
         found = components(rooted.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)).withColumnRenamed("node", "n")
-        return written(nodes.join(found, F.col("node") == F.col("n"), "left").select("node", "least", "fp", "few", F.coalesce("root", "node").alias("root")), "rooted")
+        return written(nodes.join(found, F.col("node") == F.col("n"), "left").select("node", "least", "text_key", "fp", "few", F.coalesce("root", "node").alias("root")), "rooted")
 
     # A group that the first parts have joined needs no more links: the others only join it with what they find beyond it.
     rooted = nodes.withColumn("root", F.col("node"))

@@ -480,6 +480,45 @@ def test_similar_texts_group_and_others_stay(spark):
     assert kept == sorted([10 * k for k in range(60)] + [5])
 
 
+def words_of(t):
+    return frozenset(tuple(w[k : k + 5]) for w in [t.split()] for k in range(max(1, len(w) - 4)))
+
+
+def plain_similar(texts, least=0.8):
+    """Kept ids by the exact components of texts by id."""
+    ids, sets = sorted(texts), {i: words_of(t) for i, t in texts.items()}
+    root = {i: i for i in ids}
+    for a in ids:
+        for b in ids:
+            if a < b and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]) and root[a] != root[b]:
+                x, y = sorted((root[a], root[b]))
+                root = {i: x if r == y else r for i, r in root.items()}
+    return sorted(set(root.values()))
+
+
+def test_planted_pairs_of_a_template_family_are_found(spark):
+    rng = np.random.default_rng(8)
+    template, texts = [f"t{k}" for k in range(170)], {}
+    for k in range(400):  # any two similar at 0.65
+        texts[k] = " ".join([*template, *(f"w{x}" for x in rng.integers(0, 10**6, 44))])
+    for k in range(0, 400, 8):
+        texts[1000 + k] = texts[k] + " more words at the end"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert sorted(r["doc_id"] for r in simhash.drop_similar(docs).collect()) == plain_similar(texts) == list(range(400))
+
+
+def test_similarity_is_that_of_shingle_sets(spark):
+    rng = np.random.default_rng(11)
+    own = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    line, base = own(5) * 400, own(200)
+    texts = {1: [*line, *own(150)], 2: [*line, *own(150)], 3: base, 4: base + own(5) * 100, 5: base[:180] + own(60)}
+    texts = {k: " ".join(t) for k, t in texts.items()}
+    for k, (a, b) in enumerate([("a b c d e f g h", "a b c d e f g h i"), ("p q r s t u v", "p q r s t u v w x")]):
+        texts |= {10 + 2 * k: a, 11 + 2 * k: b}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.drop_similar(docs).collect()) == plain_similar(texts) == [1, 2, 3, 5, 10, 12, 13]
+
+
 def test_refused_candidates_leave_no_run():
     rng = np.random.default_rng(9)
     n = 200
