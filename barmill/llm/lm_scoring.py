@@ -5,8 +5,8 @@ since each has at least a set share of all tokens); the others are looked up by
 
 Subwords are those of a public byte-level BPE with its first merges only, so every text has ids and the model gives
 every text a probability. The corpus-wide subword counts, from the word counts, fix the classes and first biases of the
-model. Spans of words from all places of all training documents, in a fixed share, are dealt to trainers that start
-each round from the same weights; these are averaged by the tokens seen.
+model. All spans of words of all training documents are dealt to trainers that start each round from the same weights;
+these are averaged by the tokens seen. The first round takes a fixed share of the spans, the second all others.
 
 A token attends to itself and to what precedes it in its own block of tokens and in the block before: windows of two
 blocks that overlap by one, each scoring the tokens of its last block, all blocks of a batch at a time under one mask.
@@ -36,7 +36,7 @@ MERGES = GROUPS * GROUPS - 257
 END = GROUPS * GROUPS - 1
 #: Tokens of a block; width of the model and of its hidden layer.
 BLOCK, WIDTH, HIDDEN = 16, 16, 32
-#: Words of a training span, and one of how many spans is trained on, by a hash of its place.
+#: Words of a training span, and one of how many spans the first round takes, by a hash of its place; the second takes all others.
 SPAN, SHARE = 64, 16
 ROUNDS, BATCH, RATE = 2, 512, 0.01
 #: Trainers of a round at most: each sends its weights (0.6 MB) to the driver.
@@ -346,8 +346,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def train(rows: DataFrame, counts: DataFrame, tokenizer: str, rounds: int = ROUNDS) -> Weights:
-    """rows: (doc_id, text) to learn from; counts: their word counts."""
+def train(rows: DataFrame, counts: DataFrame, tokenizer: str) -> Weights:
+    """rows: (doc_id, text) to learn from, each span in one of the rounds; counts: their word counts."""
 
     def subword_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = Subwords(tokenizer), np.zeros(GROUPS * GROUPS)
@@ -367,20 +367,22 @@ def train(rows: DataFrame, counts: DataFrame, tokenizer: str, rounds: int = ROUN
         own = Subwords(tokenizer)
         for batch in batches:
             for part in byte_slices(batch, most=8 << 20):
-                chosen = []
+                texts, place = [], [np.zeros(0, np.uint64)]
                 for words, key in zip(_words(part.column(1)), part.column(0).to_pylist()):
                     k = np.arange(-(-len(words) // SPAN), dtype=np.uint64)
-                    mixed = (k * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(key & (2**64 - 1))
-                    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-                    chosen += [b" " + b" ".join(words[j * SPAN : (j + 1) * SPAN]) for j in np.flatnonzero((mixed >> np.uint64(33)) % np.uint64(SHARE) == 0).tolist()]
-                ids, count = own.encode(chosen)
+                    place.append((k * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(key & (2**64 - 1)))
+                    texts += [b" " + b" ".join(words[j * SPAN : (j + 1) * SPAN]) for j in range(len(k))]
+                mixed = np.concatenate(place)
+                mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+                number = ((mixed >> np.uint64(33)) % np.uint64(SHARE) != 0).astype(np.int32)
+                ids, count = own.encode(texts)
                 cuts = np.concatenate([[0], np.cumsum(count)]) * 2
                 raw = ids.astype("<u2").tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([raw[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())], pa.binary())], names=["ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array([raw[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())], pa.binary())], names=["round", "ids"])
 
     spark = rows.sparkSession
     trainers = min(TRAINERS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    table = written(rows.select(F.xxhash64("doc_id", "text"), "text").mapInArrow(spans, "ids binary").repartition(trainers), "lm-spans")
+    table = written(rows.select(F.xxhash64("doc_id", "text"), "text").mapInArrow(spans, "round int, ids binary").repartition(trainers), "lm-spans")
     weights = Weights.start(counted)
 
     def fitted(shared):
@@ -403,10 +405,11 @@ def train(rows: DataFrame, counts: DataFrame, tokenizer: str, rounds: int = ROUN
 
         return run
 
-    for _ in range(rounds):
-        got = table.mapInArrow(fitted(spark.sparkContext.broadcast(weights)), "seen long, weights binary").collect()  # a row a trainer, TRAINERS at most
+    for k in range(ROUNDS):
+        own = table.where(F.col("round") == k).select("ids").coalesce(trainers)  # a large table is read in more tasks
+        got = own.mapInArrow(fitted(spark.sparkContext.broadcast(weights)), "seen long, weights binary").collect()  # a row a trainer, TRAINERS at most
         if not got:
-            break
+            continue
         seen = sum(r["seen"] for r in got)
         mean = sum(np.frombuffer(r["weights"], "<f4") * (r["seen"] / seen) for r in got)
         at, values = 0, {}

@@ -325,6 +325,15 @@ def test_training_lowers_the_loss():
     assert lm_scoring.gradients(new, source, target, has, valid)[0] < 0.5 * lm_scoring.gradients(w, source, target, has, valid)[0]
 
 
+def test_every_training_text_is_learnt_from(spark, tokenizer):
+    texts = [chr(c) for c in range(33, 49)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = lm_scoring.train(rows, lm_scoring.word_counts(rows), tokenizer)
+    ids, _ = lm_scoring.Subwords(tokenizer).encode([b" " + t.encode() for t in texts])
+    moved = (new["embed"] != lm_scoring.Weights.start(np.ones(lm_scoring.END + 1))["embed"]).any(axis=1)  # a subword that no span holds keeps its row
+    assert moved[ids].all()
+
+
 # --- 9: exact dedup
 
 
