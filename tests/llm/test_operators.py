@@ -163,6 +163,14 @@ def test_ownership_parts_examples_from_live_values(spark):
             assert not r["added"] and r["n_example"] == 1
 
 
+def test_long_unnamed_credentials_are_candidates(spark):
+    rng = np.random.default_rng(12)
+    long = "".join(rng.choice(list("abcXYZ0189+/fGhJ"), 5000))
+    rows = [(1, f"key {long} end", "s1"), (2, "x " + "aB1" * 200, "s2"), (3, "y " + long[:201], "s3"), (4, "y " + long[:200], "s4")]
+    got = secrets_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string"), repo=F.col("source"), owner=F.col("source")).collect()
+    assert {r["doc_id"]: [(x["start"], x["end"]) for x in r["added"]] for r in got} == {1: [(4, 5004)], 2: [], 3: [(2, 203)], 4: [(2, 202)]}
+
+
 # --- 5: shards
 
 
