@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,10 +18,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared folder (spark.checkpoint.dir).
 
-    Only where that setting is unset, as in local tests, a temporary folder is taken.
+    Only where that setting is unset and Spark runs in one process, as in tests, a temporary folder is taken.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not re.match(r"local($|\[)", master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -40,13 +44,22 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def kept_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text", once: bool = True) -> DataFrame:
     """Rows of docs whose id and text are among kept's (doc_id, text_key); once: of rows that repeat both, one."""
-    own = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    keys = kept.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"))
-    out = own.join(keys, own[id_col].eqNullSafe(keys["__id"]) & (own["__key"] == keys["__text"]), "left_semi")
+    key, row, own_id, own_key = (_unused(docs, c) for c in ("__key", "__row", "__id", "__text"))
+    own = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    keys = kept.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
+    out = own.join(keys, own[id_col].eqNullSafe(keys[own_id]) & (own[key] == keys[own_key]), "left_semi")
     if once:
-        w = Window.partitionBy(id_col, "__key").orderBy(F.lit(0))
-        out = out.withColumn("__row", F.row_number().over(w)).where("__row = 1").drop("__row")
-    return out.drop("__key")
+        w = Window.partitionBy(id_col, key).orderBy(F.lit(0))
+        out = out.withColumn(row, F.row_number().over(w)).where(F.col(row) == 1).drop(row)
+    return out.drop(key)
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    """name, with further underscores if df has such a column."""
+    have = {c.lower() for c in df.columns}
+    while name in have:
+        name += "_"
+    return name
 
 
 def byte_slices(batch: pa.RecordBatch, column: str = "text", most: int = 16 << 20):

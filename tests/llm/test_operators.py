@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tests.llm.conftest import TEXTS
 
-from barmill.llm import bpe, decontaminate, exact_dedup, lm_scoring, pii, quality, secrets_scan, simhash, spans, token_counts, token_shards
+from barmill.llm import bpe, decontaminate, exact_dedup, lm_scoring, pii, quality, secrets_scan, similar, simhash, spans, token_counts, token_shards
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -493,7 +493,7 @@ def test_similar_texts_group_and_others_stay(spark):
             near[rng.choice(300, 4, replace=False)] = "changed"
             rows.append((10 * k + 1, " ".join(near)))
     docs = spark.createDataFrame([*rows, (5, None), (6, ""), (5, None)], "doc_id long, text string")
-    kept = sorted(r["doc_id"] for r in simhash.drop_similar(docs).collect())
+    kept = sorted(r["doc_id"] for r in similar.drop_similar(docs).collect())
     assert kept == sorted([10 * k for k in range(60)] + [5])
 
 
@@ -521,7 +521,7 @@ def test_planted_pairs_of_a_template_family_are_found(spark):
     for k in range(0, 400, 8):
         texts[1000 + k] = texts[k] + " more words at the end"
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
-    assert sorted(r["doc_id"] for r in simhash.drop_similar(docs).collect()) == plain_similar(texts) == list(range(400))
+    assert sorted(r["doc_id"] for r in similar.drop_similar(docs).collect()) == plain_similar(texts) == list(range(400))
 
 
 def test_similarity_is_that_of_shingle_sets(spark):
@@ -533,29 +533,81 @@ def test_similarity_is_that_of_shingle_sets(spark):
     for k, (a, b) in enumerate([("a b c d e f g h", "a b c d e f g h i"), ("p q r s t u v", "p q r s t u v w x")]):
         texts |= {10 + 2 * k: a, 11 + 2 * k: b}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert sorted(r["doc_id"] for r in simhash.drop_similar(docs).collect()) == plain_similar(texts) == [1, 2, 3, 5, 10, 12, 13]
-
+    assert sorted(r["doc_id"] for r in similar.drop_similar(docs).collect()) == plain_similar(texts) == [1, 2, 3, 5, 10, 12, 13]
+
+
+@pytest.mark.parametrize("rows, size", [(similar.RUN_ROWS, similar.RUN_BYTES), (10, 4000)])
+def test_large_groups_lose_no_link(spark, rows, size):
+    """Groups of more texts than a run holds, with pairs at the limit; runs in one piece and in blocks."""
+    rng = np.random.default_rng(13)
+    texts = {}
+    for g in range(2):
+        base = [f"b{g}x{k}" for k in range(160)]
+        for k in range(150):  # from hardly changed to a fifth of the shingles gone
+            own = list(base)
+            for at in rng.choice(160, k % 9, replace=False):
+                own[at] = f"c{rng.integers(10**6)}"
+            texts[1000 * g + k] = " ".join(own)
+    docs = spark.createDataFrame([*texts.items(), (5000, None), (5001, "")], "doc_id long, text string").repartition(3)
+    got = similar.similar_groups(docs, run_rows=rows, run_bytes=size).collect()
+    assert sorted({r["component_id"] for r in got}) == [*plain_similar(texts), 5000]
+
+
+def test_similar_rows_of_any_kind(docs):
+    got = similar.similar_groups(docs).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in TEXTS)
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] in (1, 2, 3, 4, 5, 6, 7)} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3, 6: 6, 7: 7}
+    left = similar.drop_similar(docs)
+    assert left.columns == docs.columns and Counter(r["doc_id"] for r in left.collect()) == {1: 1, 3: 1, 6: 1, 7: 1, 8: 2, None: 1}
+
+
+@pytest.mark.parametrize("a, b, c", [(18, 17, 16), (9, 8, 8), (40, 36, 34), (300, 270, 254)])
+def test_bits_differ_as_often_as_stated(a, b, c):
+    rng = np.random.default_rng(a)
+    at, total = similar.worst_differ(0.8), 0
+    for _ in range(40):
+        h = rng.integers(0, 2**64, a + b - c, dtype=np.uint64)
+        seeds = rng.integers(0, 2**64, 16, dtype=np.uint64)
+        mix = lambda x: np.concatenate([((x ^ s) * np.uint64(0xBF58476D1CE4E5B9)) ^ (((x ^ s) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(31)) for s in seeds])
+        x, y = (simhash.majority(mix(own), np.full(16, len(own))) for own in (h[:a], h[a - c :]))
+        total += int(np.bitwise_count(x ^ y).sum())
+    assert total / (40 * 1024) <= at[min(a, similar.MANY)] + 0.01 and abs(total / (40 * 1024) - (similar._differ(a, b, c) if a <= similar.MANY else math.acos(c / math.sqrt(a * b)) / math.pi)) < 0.01
+
+
+def test_cheapest_options_reach_the_gain():
+    import itertools
 
-def test_refused_candidates_leave_no_run():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        options = [[(0.0, 0.0), (x, 1.0), (x + y, 2.0)] for x, y in rng.uniform(1, 9, (5, 2))]
+        got = similar.cheapest(options, 4.0, steps=4)
+        want = min(sum(o[k][0] for o, k in zip(options, c)) for c in itertools.product(range(3), repeat=5) if sum(o[k][1] for o, k in zip(options, c)) >= 4)
+        assert sum(o[k][1] for o, k in zip(options, got)) >= 4 and math.isclose(sum(o[k][0] for o, k in zip(options, got)), want)
+
+
+def test_plan_keeps_the_recall(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"w{(k * 7 + j) % 997}" for j in range(60))) for k in range(300)], "doc_id long, text string")
+    nodes = similar.fingerprints(docs).select("node", "fp", "size", "few").cache()
+    for n in (300, 10**6, 10**9):
+        parts, _ = similar.plan(nodes, n, 0.8)
+        differ = similar.worst_differ(0.8)[similar.FEW + 1 :].max()
+        missed = np.prod([1 - sum(math.comb(len(b), k) * differ**k * (1 - differ) ** (len(b) - k) for k in range(t + 1)) for b, t in zip(parts.bits, parts.thresholds)])
+        assert 1 - missed >= similar.RECALL - 1e-9
+        rng = np.random.default_rng(n % 97)
+        apart = rng.random((2000, similar.WIDE)) < differ
+        assert np.any([apart[:, b].sum(axis=1) <= t for b, t in zip(parts.bits, parts.thresholds)], axis=0).mean() > 0.985
+
+
+def test_suspects_are_those_with_a_near_one_of_another_root():
     rng = np.random.default_rng(9)
-    n = 200
-    node = np.arange(n)
-    first = np.repeat(rng.integers(0, 2**62, (1, simhash.FIRST)).astype(np.uint64), n, axis=0)
-    u, v, cut = simhash._near_links(np.zeros(n, np.int64), node, node, first, 10, n)
-    assert len(set(zip(np.minimum(u, v).tolist(), np.maximum(u, v).tolist()))) == n * (n - 1) // 2 and not len(cut)
-    u, v, cut = simhash._near_links(np.zeros(n, np.int64), node, node, first, 10, 1)
-    assert len(u) == n - 1 and cut.tolist() == [0]
-    assert not len(simhash._near_links(np.zeros(n, np.int64), node, node * 0, first, 10, 1)[0])
-
-
-@pytest.mark.parametrize("n", [1, 10**4, 10**6, 13 * 10**6, 10**9])
-def test_recall_of_the_parts_does_not_fall_with_the_number_of_texts(n):
-    parts = simhash.drawn_parts(n, 0.8)
-    agree = 1 - math.acos(1.6 / 1.8) / math.pi
-    assert 1 - (1 - agree ** len(parts[0])) ** len(parts) >= simhash.RECALL - 1e-9
-    rng = np.random.default_rng(n % 97)
-    differ = rng.random((4000, 64 * simhash.LANES)) > agree
-    assert np.any([~differ[:, p].any(axis=1) for p in parts], axis=0).mean() > 0.98
+    n = 120
+    run, root, block = rng.integers(0, 12, n), rng.integers(0, 40, n), rng.integers(0, 2, n)
+    block[run < 6] = 0
+    size, first = rng.integers(1, similar.MANY + 1, n), rng.integers(0, 2, (n, similar.FIRST)).astype(np.uint64) * np.uint64(2**20 - 1)
+    limit = np.arange(similar.MANY + 1) // 4
+    two = {r for r in range(12) if len(set(block[run == r])) > 1}
+    want = [any(run[b] == run[a] and root[a] != root[b] and (run[a] not in two or block[a] != block[b]) and int(np.bitwise_count(first[a] ^ first[b]).sum()) <= limit[max(size[a], size[b])] for b in range(n)) for a in range(n)]
+    assert similar.near_others(run, block, root, size, first, limit).tolist() == want and any(want) and not all(want)
 
 
 # --- empty tables
@@ -576,6 +628,6 @@ def test_empty_table(spark, empty, tokenizer, name):
         "lm": lambda: lm_scoring.score(empty, tokenizer),
         "exact": lambda: exact_dedup.exact_groups(empty),
         "near": lambda: simhash.near_groups(empty),
-        "similar": lambda: simhash.drop_similar(empty),
+        "similar": lambda: similar.drop_similar(empty),
     }[name]
     assert run().count() == 0
