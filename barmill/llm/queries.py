@@ -70,9 +70,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the written shards hold of every document."""
-    manifest = token_shards.write_shards(documents(spark, sf_dir), tokenizer(), end_id=0)
-    return token_shards.read_shards(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    """What the written shards hold of every document, each found by its key through the shards' indexes."""
+    docs = documents(spark, sf_dir)
+    manifest = token_shards.write_shards(docs, tokenizer(), end_id=0)
+    return token_shards.lookup(manifest, docs).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 @_query

@@ -177,7 +177,7 @@ def test_long_unnamed_credentials_are_candidates(spark):
 def test_shards_hold_every_row_in_order(docs, tokenizer):
     lib = library(tokenizer)
     manifest = token_shards.write_shards(docs, tokenizer)
-    rows = token_shards.read_shards(manifest).orderBy("start").collect()
+    rows = token_shards.lookup(manifest, docs).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == sorted((i for i, _ in TEXTS), key=lambda i: (i is not None, i))
     assert Counter((r["doc_id"], r["ids"]) for r in rows) == Counter((i, np.array([*lib.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes()) for i, t in TEXTS)
     assert [r["start"] for r in rows] == np.cumsum([0] + [r["n_tokens"] for r in rows])[:-1].tolist()
@@ -185,8 +185,36 @@ def test_shards_hold_every_row_in_order(docs, tokenizer):
 
 def test_keyed_lookup(spark, docs, tokenizer):
     manifest = token_shards.write_shards(docs, tokenizer)
-    keys = spark.createDataFrame([(8,), (1,), (77,), (None,)], "doc_id long")
+    keys = spark.createDataFrame([(8,), (1,), (77,), (1,)], "doc_id long")
     assert Counter(r["doc_id"] for r in token_shards.lookup(manifest, keys).collect()) == {8: 2, 1: 2}
+    assert [r["doc_id"] for r in token_shards.lookup(manifest, keys.where("doc_id is null").union(spark.sql("select cast(null as bigint)"))).collect()] == [None]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoding_by_the_library_on_chunks(name):
+    import public_tokenizers
+    import pyarrow as pa
+
+    from barmill.llm import library as L
+
+    path = public_tokenizers.path(name)
+    lib, own, rng = library(path), L.load(path), np.random.default_rng(2)
+    letters = list("aab 'st\n\t .,1é×ÿß数 \xa0　<|") + ["<|endoftext|>", " the", "'re", "\x1c", "\x85", "x" * 30]
+    for _ in range(3):  # later batches find chunks of earlier ones
+        texts = ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(200)]
+        ids, count = own.encode_column(pa.array(texts))
+        ends = np.cumsum(count)
+        for t, a, b in zip(texts, ends - count, ends):
+            assert ids[a:b].tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+    assert not len(own.encode_column(pa.array([], pa.string()))[0])
+
+
+class _File:
+    def __init__(self, raw):
+        self.raw = raw
+
+    def read_at(self, n, at):
+        return self.raw[at : at + n]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 100, 20_000])
@@ -194,12 +222,37 @@ def test_perfect_hash(n):
     keys = np.random.default_rng(n).choice(10 * n + 1, n, replace=False).astype(np.int64)
     made = token_shards.PerfectHash.build(keys)
     assert sorted(made.slots(keys).tolist()) == list(range(n))
-    index = token_shards.Index.load(token_shards.Index.build(np.sort(keys), 0, np.arange(n + 1)).dump())
+    index = token_shards.Index(_File(token_shards.index_bytes(np.sort(keys), 0, np.arange(n + 1))))
     row, rows = index.find(np.sort(keys))
     assert row.tolist() == list(range(n)) and (rows == 1).all()
+    assert index.take("offsets", np.arange(n + 1)).tolist() == list(range(n + 1))
     assert (index.find(np.arange(20 * n, 21 * n + 50))[1] > 0).mean() < 0.01
 
 
+def test_a_lookup_reads_little_of_a_large_index():
+    keys = np.arange(0, 3_000_000, 10)
+    raw = token_shards.index_bytes(keys, 0, np.arange(len(keys) + 1))
+    for key in (0, 1_234_560, 2_999_990, 5):
+        index = token_shards.Index(_File(raw))
+        row, rows = index.find(np.array([key]))
+        assert (row[0], rows[0]) == ((key // 10, 1) if key % 10 == 0 else (-1, 0))
+        assert index.bytes_read <= 4096 + 30 * token_shards.PAGE < len(raw) / 4
+
+
+def test_texts_are_cut_where_no_token_spans(tokenizer):
+    import public_tokenizers
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("ab 'st .,1éß数  X\n"), 3000)) + " a b c d" for _ in range(3)] + [""]
+    for name in ("word_bpe_49k.json", "piece_bpe_32k.model"):
+        count, apart = token_counts._tokenizer(public_tokenizers.path(name))
+        each = [token_counts.pieces(t, 50) for t in texts]
+        assert apart and len(each[0]) > 20 and each[3] == [""]
+        assert [sum(count(own)) for own in each] == count(texts)
+    assert token_counts._counted(count, texts * 3).tolist() == count(texts * 3)
+
+
 # --- 6: quality
 
 
@@ -622,7 +675,7 @@ def test_empty_table(spark, empty, tokenizer, name):
         "counts": lambda: token_counts.count_tokens(empty, tokenizer),
         "pii": lambda: pii.find_pii(empty),
         "secrets": lambda: secrets_scan.find_secrets(empty),
-        "shards": lambda: token_shards.read_shards(token_shards.write_shards(empty, tokenizer)),
+        "shards": lambda: token_shards.lookup(token_shards.write_shards(empty, tokenizer), empty),
         "quality": lambda: quality.score(empty, labels),
         "contamination": lambda: decontaminate.find_contamination(empty, bench),
         "lm": lambda: lm_scoring.score(empty, tokenizer),
