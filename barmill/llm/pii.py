@@ -2,12 +2,16 @@
 
 Base detectors give the spans that the stated patterns match. High-recall generators propose further, overlapping
 candidates (groups of digits inside a longer run, numbers without a country code, obscured addresses). Each candidate
-has a few small-valued features of its format and context. Boosted trees learn from distant labels: a candidate that
-lies on a base span of its kind is positive. What decides a base match as such (the plus sign, the run's whole extent)
-is no feature, so the trees go by format and context. All candidates of the corpus are counted by feature vector; the
-number of vectors is bounded by the features' values, whatever the corpus, and the trees are fitted on these counts.
-For each kind the lowest score at which labelled candidates reach the wanted precision is the threshold; candidates
-that reach it and lie on no base span are added.
+has a few small-valued features of its format and context. What decides a base match as such (the plus sign, the run's
+whole extent) is no feature, so the trees go by format and context.
+
+Labels: a candidate on a base span of its kind is positive; one off them is negative if it fails its kind's check (check
+sum, octets, domain) or follows a word that names something else (order, version). All others, which are what could be
+added, have no label and teach nothing. Labelled candidates of the whole corpus are counted by feature vector and by one
+of FOLDS parts of the texts; the number of vectors is bounded by the features' values, whatever the corpus. Boosted
+trees are fitted on these counts. Each fold is scored by trees that haven't seen it, and for each kind the lowest score
+at which these held-out candidates reach the wanted precision is the threshold. Candidates that reach it and lie on no
+base span are added.
 """
 
 from __future__ import annotations
@@ -50,7 +54,17 @@ _WORDS = {
     "phone": r"(?i)(tel|phone|call|mobile|fax|telefon|tél)\W*$",
 }
 
+#: Words that name another kind of number.
+_OTHER = {
+    "email": r"(?!)",
+    "ip": r"(?i)(version|release|section|chapter|\bv)\W*$",
+    "card": r"(?i)(order|isbn|serial|tracking|invoice|part)\W*$",
+    "phone": r"(?i)(order|isbn|serial|tracking|invoice|part)\W*$",
+}
+
 FEATURES = ("digits", "shape", "checksum", "word", "before", "after")
+#: Parts of the texts; each is scored by trees that haven't seen it to set the thresholds.
+FOLDS = 5
 #: Each feature has fewer values than this.
 MOST_VALUES = 8
 
@@ -95,19 +109,37 @@ def candidates(text: Column) -> Column:
     return F.concat(*(F.when(text.rlike(may), S.located(k, text, pattern)).otherwise(S.none()) for k, (may, pattern) in _WIDER.items()))
 
 
+def _by_kind(kind: Column, values: dict[str, Column]) -> Column:
+    out = F.lit(None)
+    for k, value in values.items():
+        out = F.when(kind == k, value).otherwise(out)
+    return out
+
+
+def _checked(x: Column) -> Column:
+    """Whether a candidate passes its kind's check; phones have none."""
+    value = x["value"]
+    return _by_kind(x["kind"], {"card": luhn(_digits(value)), "ip": value.rlike(_OCTETS), "email": value.rlike(r"[A-Za-z]{2,}$"), "phone": F.lit(True)})
+
+
+def _label(x: Column, base: str = "base") -> Column:
+    """1, 0, or null where nothing tells."""
+    on = F.exists(base, lambda b: (b["kind"] == x["kind"]) & (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    other = _by_kind(x["kind"], {k: x["near"].rlike(p) for k, p in _OTHER.items()})
+    return F.when(on, 1).when(~_checked(x) | other, 0)
+
+
 def _features(x: Column) -> dict[str, Column]:
     """Small integers that describe a candidate; each is below MOST_VALUES."""
     value, kind, near = x["value"], x["kind"], x["near"]
     digits = _digits(value)
     n = F.length(digits)
     side = lambda c: F.when(c == "", 0).when(c.rlike("[0-9]"), 1).when(c.rlike(r"[A-Za-z\x{C0}-\x{24F}]"), 2).when(c.rlike(r"\s"), 3).when(c.rlike("[.,;:!?)]"), 4).otherwise(5)
-    word = F.lit(False)
-    for k, pattern in _WORDS.items():
-        word = F.when(kind == k, near.rlike(pattern)).otherwise(word)
+    word = _by_kind(kind, {k: near.rlike(pattern) for k, pattern in _WORDS.items()})
     return {
         "digits": F.when(n == 0, 0).when(n < 7, 1).when(n < 9, 2).when(n < 11, 3).when(n < 13, 4).when(n == 16, 6).when(n <= 19, 5).otherwise(7),
         "shape": F.when(value.contains("@"), 1).when(value.rlike("[(]"), 2).when(value.contains("."), 3).when(value.contains("-"), 4).when(value.contains(" "), 5).otherwise(0),
-        "checksum": F.when(kind == "card", luhn(digits).cast("int")).when(kind == "ip", value.rlike(_OCTETS).cast("int")).when(kind == "email", value.rlike("[.][A-Za-z]{2,}$").cast("int")).otherwise(0),
+        "checksum": _checked(x).cast("int"),
         "word": word.cast("int"),
         "before": side(F.right(near, F.lit(1))),
         "after": side(x["after"]),
@@ -122,27 +154,41 @@ class Model(NamedTuple):
 
 
 def fit(counts: list[tuple], rounds: int = 12, depth: int = 2, rate: float = 0.5, precision: float = 0.98) -> Model:
-    """counts: (kind, *feature values, candidates, positives), at most one for each feature vector."""
+    """counts: (kind, *feature values, fold, candidates, positives), at most one for each feature vector and fold."""
     trees, thresholds = {}, {}
     for kind in KINDS:
-        rows = [(r[1:-2], float(r[-2]), float(r[-1])) for r in counts if r[0] == kind]
-        trees[kind], scores = [], [0.0] * len(rows)
-        for _ in range(rounds if rows else 0):
-            p = [1 / (1 + math.exp(-s)) for s in scores]
-            gradient = [y - n * q for (_, n, y), q in zip(rows, p)]
-            curvature = [n * q * (1 - q) for (_, n, _), q in zip(rows, p)]
-            tree = _grow(rows, gradient, curvature, list(range(len(rows))), depth, rate)
-            trees[kind].append(tree)
-            scores = [s + _value(tree, x) for s, (x, _, _) in zip(scores, rows)]
+        rows = [(r[1:-3], r[-3], float(r[-2]), float(r[-1])) for r in counts if r[0] == kind]
+        trees[kind] = _boosted([(x, n, y) for x, _, n, y in rows], rounds, depth, rate)
+        scored: dict[float, list[float]] = {}
+        for fold in sorted({f for _, f, _, _ in rows}):
+            rest = [(x, n, y) for x, f, n, y in rows if f != fold]
+            unseen = _boosted(rest, rounds, depth, rate)
+            for x, f, n, y in rows if rest else []:
+                if f == fold:
+                    own = scored.setdefault(round(sum(_value(t, x) for t in unseen), 9), [0.0, 0.0])
+                    own[0] += n
+                    own[1] += y
         best, n, y = math.inf, 0.0, 0.0
-        for s, (_, a, b) in sorted(zip(scores, rows), key=lambda t: -t[0]):
-            n, y = n + a, y + b
+        for s in sorted(scored, reverse=True):
+            n, y = n + scored[s][0], y + scored[s][1]
             if y >= precision * n:
                 best = s
         thresholds[kind] = best
     return Model(trees, thresholds)
 
 
+def _boosted(rows: list[tuple], rounds: int, depth: int, rate: float) -> list:
+    """Trees for (feature values, candidates, positives) by Newton steps on the logistic loss."""
+    trees, scores = [], [0.0] * len(rows)
+    for _ in range(rounds if rows else 0):
+        p = [1 / (1 + math.exp(-s)) for s in scores]
+        gradient = [y - n * q for (_, n, y), q in zip(rows, p)]
+        curvature = [n * q * (1 - q) for (_, n, _), q in zip(rows, p)]
+        trees.append(_grow(rows, gradient, curvature, list(range(len(rows))), depth, rate))
+        scores = [s + _value(trees[-1], x) for s, (x, _, _) in zip(scores, rows)]
+    return trees
+
+
 def _grow(rows: list, g: list[float], h: list[float], at: list[int], depth: int, rate: float):
     gain = lambda own: (sum(g[k] for k in own) ** 2) / (sum(h[k] for k in own) + 1)
     best = (1e-9, None, None, None)
@@ -186,25 +232,22 @@ def _staged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> Model:
-    """Counts the feature vectors of all candidates, with how many lie on a base span of their kind, and fits on them."""
+    """Counts the feature vectors of all labelled candidates, and fits on them. Copies of a text share a fold."""
     seen = _staged(docs, id_col, text_col).where("size(wider) > 0")
     labelled = F.transform(
         "wider",
-        lambda x: F.struct(
-            x["kind"].alias("kind"),
-            *(v.alias(k) for k, v in _features(x).items()),
-            F.exists("base", lambda b: (b["kind"] == x["kind"]) & (b["start"] < x["end"]) & (x["start"] < b["end"])).cast("long").alias("label"),
-        ),
+        lambda x: F.struct(x["kind"].alias("kind"), *(v.alias(k) for k, v in _features(x).items()), F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"), _label(x).cast("long").alias("label")),
     )
-    counts = seen.select(F.explode(labelled).alias("x")).select("x.*").groupBy("kind", *FEATURES).agg(F.count("*").alias("n"), F.sum("label").alias("positive"))
-    return fit([tuple(r) for r in counts.orderBy("kind", *FEATURES).collect()], **params)  # at most 4 * MOST_VALUES ** 6 rows, by the features' values
+    each = seen.select(F.explode(labelled).alias("x")).select("x.*").where("label is not null")
+    counts = each.groupBy("kind", *FEATURES, "fold").agg(F.count("*").alias("n"), F.sum("label").alias("positive"))
+    return fit([tuple(r) for r in counts.orderBy("kind", *FEATURES, "fold").collect()], **params)  # at most 4 * FOLDS * MOST_VALUES ** 6 rows, by the features' values
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
     """(doc_id, text, base, added) for every row: arrays of spans by kind as listed, then start; added ones lie on no base span.
 
     Without a model one is fitted on docs. A null text counts as empty and has no spans; without candidates nothing is
-    added. Rows are treated one by one, also repeated ones; further columns are left out.
+    added. Rows are treated one by one, also repeated ones; further columns are left out. An empty table gives an empty one.
     """
     model = model or train(docs, id_col, text_col)
     scored = _staged(docs, id_col, text_col)
@@ -230,7 +273,7 @@ def all_spans(base: str = "base", added: str = "added") -> Column:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
-    """(doc_id, text) with every span replaced by its kind in brackets; where spans overlap, the first one's name stands for both."""
+    """(doc_id, text) with every span replaced by its kind in brackets; where spans overlap, the first one's name stands for both; a null text becomes empty."""
     found = find_pii(docs, id_col, text_col, model).withColumn("__spans", F.array_sort(F.transform(all_spans(), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))))
     piece = lambda a, b: F.substr(F.col("text"), (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))
     text = F.aggregate(
