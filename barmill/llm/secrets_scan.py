@@ -2,9 +2,10 @@
 
 Base detectors give the spans of the stated patterns; a generator of mixed high-variety strings adds candidates that
 no pattern names. Values are hashed, and every hash is counted by distinct repositories and owners over the whole
-corpus: a value that many owners carry is a copied example, one that a single owner carries may be a live credential.
-Counts are pre-aggregated by (hash, repository, owner), so a value that fills a third of all rows meets in one task
-with a row for each repository at most; only candidates are shuffled, never texts.
+corpus: a value that many owners carry, or many repositories whoever owns them, is a copied example; one that a single
+owner carries in few repositories may be a live credential. Texts are scanned once, into a table of spans. Counts are
+pre-aggregated by (hash, repository, owner), so a value that fills a third of all rows meets in one task with a row for
+each repository at most, and its occurrences are joined with their counts under SALTS different keys.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barmill.llm import spans as S
+from barmill.llm.common import written
 
 KINDS = ("assign", "access", "hex")
 
@@ -24,6 +26,8 @@ _NAMES = r"(?i:passw|secret|token|api_?key)"
 #: Further candidates: runs of 20 characters or more with lower case, upper case and digits.
 _MIXED = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 _LONG = "[A-Za-z0-9+/_=-]{20}"
+#: Keys that the occurrences of one value are dealt to.
+SALTS = 16
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 
@@ -55,15 +59,24 @@ def _variety(x: Column) -> Column:
 
 
 def find_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None, most_owners: int = 1, example_owners: int = 3
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    repo: Column | None = None,
+    owner: Column | None = None,
+    most_owners: int = 1,
+    most_repos: int = 2,
+    example_owners: int = 3,
+    example_repos: int = 4,
 ) -> DataFrame:
     """(doc_id, base, added, n_live, n_example) for every row.
 
-    base: base spans by start, then kind; added: spans of kind mixed that overlap no base span and whose value at most
-    `most_owners` owners carry. n_live counts the distinct values of the row, base and added, that at most `most_owners`
-    owners carry; n_example those that `example_owners` or more carry. repo and owner are columns of docs; without them
-    all rows belong to one. A null text counts as empty, a null repository or owner is one of its own. Rows that repeat
-    id and text get equal results; without candidates the arrays are empty.
+    A value is live-looking if at most `most_owners` owners carry it in at most `most_repos` repositories; an example if
+    `example_owners` owners or `example_repos` repositories carry it. base: base spans by start, then kind; added: spans
+    of kind mixed that overlap no base span and whose value is live-looking. n_live and n_example count the distinct
+    values of the row, base and added, of each sort. repo and owner are columns of docs; without them all rows belong to
+    one. A null text counts as empty, a null repository or owner is one of its own. Rows that repeat id and text get
+    equal results; without candidates the arrays are empty. An empty table gives an empty one; further columns are left out.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     known = lambda c: F.lit("") if c is None else F.coalesce(c.cast("string"), F.lit("\0"))
@@ -71,13 +84,17 @@ def find_secrets(
     rows = rows.withColumn("base", base_spans(F.col("text")))
     wider = F.when(F.col("text").rlike(_LONG), S.located("mixed", F.col("text"), _MIXED)).otherwise(S.none())
     rows = rows.withColumn("wider", wider).withColumn("wider", F.filter("wider", lambda x: _variety(x) & ~S.overlaps(x, F.col("base")))).drop("text")
+    rows = written(rows, "secret-spans")
 
     each = rows.where("size(base) + size(wider) > 0").select("doc_id", "text_key", "repo", "owner", F.explode(F.concat("base", "wider")).alias("span"))
     each = each.withColumn("hash", F.xxhash64("span.value"))
     owned = each.groupBy("hash", "repo", "owner").agg(F.count("*").alias("n"))
     ownership = owned.groupBy("hash").agg(F.count_distinct("repo").alias("repos"), F.count_distinct("owner").alias("owners"))
-    judged = each.select("doc_id", "text_key", "span", "hash").join(ownership, "hash")
-    live, example = F.col("owners") <= most_owners, F.col("owners") >= example_owners
+    ownership = ownership.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = each.select("doc_id", "text_key", "span", "hash", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)).cast("int").alias("salt"))
+    judged = salted.join(ownership, ["hash", "salt"])
+    live = (F.col("owners") <= most_owners) & (F.col("repos") <= most_repos)
+    example = (F.col("owners") >= example_owners) | (F.col("repos") >= example_repos)
     found = judged.groupBy("doc_id", "text_key").agg(
         F.array_sort(F.collect_set(F.when(live & (F.col("span.kind") == "mixed"), F.col("span")))).alias("added"),
         F.count_distinct(F.when(live, F.col("hash"))).alias("n_live"),
