@@ -13,14 +13,24 @@ from barmill.operators import cleaning, measures, quality
 from barmill.operators import indicators as I
 from barmill.operators import metrics as M
 from barmill.sources import bars as B
+from barmill.sources.shared import shared_dir
 
 
 def bars(spark, d) -> DataFrame:
     return B.derived_bars(spark, d)
 
 
+_FACTS: dict[tuple[str, str], str] = {}
+
+
 def stored(spark, d) -> DataFrame:
-    return I.add_indicators(bars(spark, d))
+    """The fact table of these inputs: bars with all indicators, written once in an application and read by every metric and measure."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FACTS:
+        path = shared_dir(spark, "fact")
+        B.write_fact(I.add_indicators(bars(spark, d)), path)
+        _FACTS[key] = path
+    return spark.read.parquet(_FACTS[key])
 
 
 def metrics(spark, d) -> DataFrame:
@@ -38,16 +48,28 @@ def _r6(*columns: str) -> str:
 OHLC = "ticker, date, open, high, low, close, volume"
 
 
+def _landed(spark, d) -> DataFrame:
+    return bars(spark, d).select(*(F.col(f.name).cast("string").alias(f.name) for f in B.LANDED_BARS))
+
+
+def _land(rows: DataFrame, path: str) -> None:
+    """CSV files of a ticker each."""
+    rows.withColumn("own", F.col("ticker")).repartition("own").write.mode("append").partitionBy("own").csv(path, header=True)
+
+
 @query("SRC1", O.BARS, f"SELECT {OHLC} FROM bars")
 def src1(spark, d):
-    """Bar files of text columns, as landed, read back into one long table."""
-    landed = bars(spark, d).select(*(F.col(f.name).cast("string").alias(f.name) for f in B.LANDED_BARS))
-    return B.normalise(landed).select("ticker", "date", *B.PRICES, "volume")
+    """A file of bars a ticker, read into one long table."""
+    path = shared_dir(spark, "landed")
+    _land(_landed(spark, d), path)
+    return B.normalise(B.read_bar_files(spark, path)).select("ticker", "date", *B.PRICES, "volume")
 
 
 @query("SRC2", O.DIM, "SELECT * FROM dim")
 def src2(spark, d):
-    return B.dimension(spark, d)
+    path = shared_dir(spark, "dimension")
+    B.dimension(spark, d).write.csv(path, header=True)
+    return B.read_dimension(spark, path)
 
 
 @query("SRC3", O.BARS, "SELECT ticker, max(date) AS latest FROM bars GROUP BY ticker")
@@ -66,20 +88,26 @@ def src4(spark, d):
     return B.fresh_since(all_bars, all_bars.where("date < DATE '2000-06-01'")).select("ticker", "date", *B.PRICES, "volume")
 
 
-@query("SRC5", O.BARS, "SELECT ticker, 'dates do not parse' AS reason, count(*) AS n_rows FROM bars WHERE ticker LIKE 'NATION_1%' GROUP BY ticker UNION ALL SELECT 'kept', '', count(*) FROM bars WHERE ticker NOT LIKE 'NATION_1%'")
+@query(
+    "SRC5",
+    O.BARS,
+    "SELECT ticker, CASE WHEN ticker = 'NATION_2' THEN 'missing columns: close' ELSE 'dates do not parse' END AS reason, count(*) AS n_rows FROM bars WHERE ticker LIKE 'NATION_1%' OR ticker = 'NATION_2' GROUP BY ticker "
+    "UNION ALL SELECT 'kept', '', count(*) FROM bars WHERE ticker NOT LIKE 'NATION_1%' AND ticker <> 'NATION_2'",
+)
 def src5(spark, d):
-    """Some tickers have a date that doesn't parse on some days."""
-    landed = bars(spark, d).select(*(F.col(f.name).cast("string").alias(f.name) for f in B.LANDED_BARS))
+    """Some tickers have a date that doesn't parse on some days, the file of another lacks a column."""
+    landed, path = _landed(spark, d), shared_dir(spark, "landed")
     faulty = landed.withColumn("date", F.when(F.col("ticker").startswith("NATION_1") & F.col("date").endswith("-01"), F.lit("01.01.2000")).otherwise(F.col("date")))
-    good, bad = B.quarantine(faulty)
-    return faulty.join(bad, "ticker").groupBy("ticker", "reason").agg(F.count("*").alias("n_rows")).unionByName(good.select(F.lit("kept").alias("ticker"), F.lit("").alias("reason")).groupBy("ticker", "reason").agg(F.count("*").alias("n_rows")))
+    _land(faulty.where("ticker <> 'NATION_2'"), path)
+    _land(faulty.where("ticker = 'NATION_2'").drop("close"), path)
+    files = B.read_bar_files(spark, path)
+    good, bad = B.quarantine(files)
+    kept = good.select(F.lit("kept").alias("ticker"), F.lit("").alias("reason")).groupBy("ticker", "reason").agg(F.count("*").alias("n_rows"))
+    return files.join(bad, "ticker").groupBy("ticker", "reason").agg(F.count("*").alias("n_rows")).unionByName(kept)
 
 
 def _written(spark, name: str, write) -> DataFrame:
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/barmill"
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_dir(spark, name)
     write(path)
     return spark.read.parquet(path)
 
@@ -98,7 +126,7 @@ def snk1(spark, d):
 
 @query("SNK2", O.STORED, "SELECT ticker, date, close, price_repaired FROM stored")
 def snk2(spark, d):
-    return _written(spark, "fact", lambda p: B.write_fact(cleaning.fact_columns(stored(spark, d)), p)).select("ticker", "date", "close", "price_repaired")
+    return _written(spark, "fact", lambda p: B.write_fact(cleaning.fact_columns(I.add_indicators(bars(spark, d))), p)).select("ticker", "date", "close", "price_repaired")
 
 
 @query("SNK3", O.METRICS, "SELECT ticker, beta, data_points FROM metrics")

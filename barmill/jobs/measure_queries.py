@@ -96,12 +96,13 @@ def stg7(spark, d):
     return snapshot(spark, d).select("ticker", "company", "sector", "latest_date", "price", "previous_close", "high_52w", "low_52w", "beta", "sharpe_ratio", "rsi", *r6(*_NUMBERS), *texts)
 
 
-@query("AGG20", O.METRICS, f"SELECT {O.SHARPE} AS sharpe_label, count(*) AS stocks, any_value(q) AS median FROM metrics, (SELECT quantile_cont(sharpe_ratio, 0.5) AS q FROM metrics) GROUP BY 1")
+@query("AGG20", O.METRICS, f"SELECT {O.SHARPE} AS sharpe_label, count(*) AS stocks, any_value(q[1]) AS lower, any_value(q[2]) AS median, any_value(q[3]) AS upper FROM metrics, (SELECT quantile_cont(sharpe_ratio, [0.25, 0.5, 0.75]) AS q FROM metrics) GROUP BY 1")
 def agg20(spark, d):
-    """Stocks per label, beside the median that the thresholds are tuned to."""
+    """Stocks per label, beside the quartiles that the thresholds are tuned to."""
     own = metrics(spark, d)
-    middle = own.agg(F.percentile("sharpe_ratio", F.lit(0.5)).alias("median"))  # one row
-    return own.groupBy(L.sharpe_label(F.col("sharpe_ratio")).alias("sharpe_label")).agg(F.count("*").alias("stocks")).crossJoin(F.broadcast(middle))
+    quartiles = own.agg(F.percentile("sharpe_ratio", F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("q"))  # one row
+    quartiles = quartiles.select(*(F.col("q")[k].alias(c) for k, c in enumerate(("lower", "median", "upper"))))
+    return own.groupBy(L.sharpe_label(F.col("sharpe_ratio")).alias("sharpe_label")).agg(F.count("*").alias("stocks")).crossJoin(F.broadcast(quartiles))
 
 
 def _spent(spark, d) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +11,7 @@ from barmill.jobs.registry import query
 from barmill.operators import cleaning, monitoring, quality
 from barmill.operators import metrics as M
 from barmill.sources import bars as B
+from barmill.sources.shared import shared_dir
 from barmill.streaming import bars as S
 
 _LATEST = O.BARS + ", latest AS (SELECT ticker, max(date) AS latest FROM bars GROUP BY ticker), mid AS (SELECT quantile_disc(latest, 0.5) AS expected FROM latest)"
@@ -98,14 +97,13 @@ def agg22(spark, d):
 @query("AGG23", O.BARS, "SELECT newest, cast((SELECT count(*) FROM (SELECT unnest(range(1, 15)) AS i) WHERE newest + cast(i AS INT) <= newest + 11 AND isodow(newest + cast(i AS INT)) <= 5) AS BIGINT) AS weekdays_missed, true AS alert FROM (SELECT max(date) AS newest FROM bars)")
 def agg23(spark, d):
     """As of eleven days after the newest bar."""
-    own = bars(spark, d)
-    as_of = own.agg(F.date_add(F.max("date"), 11)).first()[0]
-    return monitoring.staleness(own, F.lit(as_of))
+    return monitoring.staleness(bars(spark, d), F.date_add("newest", 11))
 
 
 @query("AGG24", O.METRICS, "SELECT ticker, data_points FROM metrics WHERE coalesce(data_points, 0) < 1500")
 def agg24(spark, d):
-    return metrics(spark, d).where("coalesce(data_points, 0) < 1500").select("ticker", "data_points")
+    """At a bound that some of the test tables' stocks fall below."""
+    return quality.little_history(metrics(spark, d), least=1500).select("ticker", "data_points")
 
 
 @query("AGG25", O.BARS, "SELECT (SELECT count(*) FROM bars) AS rows_a, (SELECT count(DISTINCT ticker) FROM bars) AS tickers_a, (SELECT max(date) FROM bars) AS newest_a, count(*) AS rows_b, count(DISTINCT ticker) AS tickers_b, max(date) AS newest_b, false AS same FROM bars WHERE ticker <> 'INDEX'")
@@ -114,12 +112,46 @@ def agg25(spark, d):
     return quality.copy_parity(own, own.where(F.col("ticker") != B.BENCHMARK))
 
 
-@query("AGG26", O.BARS, "SELECT DISTINCT ticker, true AS return_ok, true AS ma20_ok, true AS ma50_ok, true AS ma200_ok, true AS bands_ok FROM bars")
+def _near(new: str, old: str, rtol: str, atol: str) -> str:
+    return f"coalesce(bool_and(abs({new} - {old}) <= {atol}::DOUBLE + {rtol}::DOUBLE * abs({old})), true)"
+
+
+_RECHECK = (
+    O.STORED
+    + f""",
+kept AS (SELECT ticker, date, close, ret, rsi_14, ma20, ma50, ma200, {O.sig6('(ma20_ + 2 * s20)')} AS bb_upper, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn FROM stored),
+anew AS (SELECT *, close - lag(close) OVER (PARTITION BY ticker ORDER BY date) AS ch, (close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1) * 100 AS r2, """
+    + ", ".join(f"CASE WHEN count(close) OVER {O._frame(n)} = {n} THEN avg(close) OVER {O._frame(n)} END AS m{n}" for n in (20, 50, 200))
+    + f""", CASE WHEN count(close) OVER {O._frame(20)} = 20 THEN avg(close) OVER {O._frame(20)} + 2 * stddev_samp(close) OVER {O._frame(20)} END AS up FROM kept),
+seed2 AS (SELECT ticker, avg(greatest(ch, 0)) AS g, avg(greatest(-ch, 0)) AS l FROM anew WHERE rn BETWEEN 2 AND 15 GROUP BY ticker HAVING count(*) = 14),
+wilder2 AS (
+  SELECT ticker, 15::BIGINT AS rn, g, l FROM seed2
+  UNION ALL
+  SELECT m.ticker, m.rn, (w.g * 13 + greatest(m.ch, 0)) / 14, (w.l * 13 + greatest(-m.ch, 0)) / 14 FROM wilder2 w JOIN anew m ON m.ticker = w.ticker AND m.rn = w.rn + 1),
+rechecked AS (SELECT a.*, CASE WHEN w.l = 0 THEN 100 ELSE 100 - 100 / (1 + w.g / w.l) END AS rsi2 FROM anew a LEFT JOIN wilder2 w USING (ticker, rn))"""
+)
+
+
+@query(
+    "AGG26",
+    _RECHECK,
+    f"SELECT ticker, {_near('r2', 'ret', '1e-5', '1e-3')} AS return_ok, "
+    + ", ".join(f"{_near(f'm{n}', f'ma{n}', '1e-4', '1e-8')} AS ma{n}_ok" for n in (20, 50, 200))
+    + f", {_near('rsi2', 'rsi_14', '1e-5', '1e-2')} AS rsi_ok, {_near('up', 'bb_upper', '1e-4', '1e-8')} AS bands_ok FROM rechecked GROUP BY ticker",
+)
 def agg26(spark, d):
     return quality.indicator_recheck(stored(spark, d))
 
 
-@query("AGG27", O.BARS, "SELECT DISTINCT ticker, true AS beta_ok, true AS sharpe_ok, true AS drawdown_ok FROM bars WHERE ticker <> 'INDEX'")
+_SLOPE = "CASE WHEN count(ps) >= 60 THEN regr_slope(ps, pm) END"
+_SAME = "coalesce(abs({a} - {b}) <= {tol}::DOUBLE, {a} IS NULL AND {b} IS NULL)"
+
+
+@query(
+    "AGG27",
+    O.MARKET + f", both_ AS (SELECT ticker, {O.BY_METRIC['beta']} AS beta, {_SLOPE} AS slope, {O.BY_METRIC['sharpe_ratio']} AS sharpe, {O.BY_METRIC['sharpe_ratio'].replace('round(', '(').replace(', 3)', ')')} AS sharpe2, {O.BY_METRIC['max_drawdown_pct']} AS down, min(dd) AS down2 FROM peaked GROUP BY ticker)",
+    "SELECT ticker, " + ", ".join(f"{_SAME.format(a=a, b=b, tol=tol)} AS {name}" for a, b, tol, name in (("beta", "slope", "0.01", "beta_ok"), ("sharpe", "sharpe2", "0.01", "sharpe_ok"), ("down", "down2", "0.05", "drawdown_ok"))) + " FROM both_",
+)
 def agg27(spark, d):
     own = stored(spark, d)
     return quality.metric_recheck(own, M.ticker_metrics(own))
@@ -150,24 +182,21 @@ def top4(spark, d):
     return own.join(F.broadcast(sample), "ticker", "left_semi").groupBy("ticker").agg(F.count("*").alias("n_rows"))
 
 
-def _scratch(spark, name: str) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/barmill"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-@query("STR1", O.DIRTY, "SELECT ticker, date, open, high, low, close, volume FROM dirty QUALIFY row_number() OVER (PARTITION BY ticker, date ORDER BY source_rank DESC, seq DESC) = 1")
+@query("STR1", O.STORED, "SELECT ticker, date, open, high, low, close, volume, ret AS daily_return_pct, rsi_14, price_repaired FROM stored")
 def str1(spark, d):
-    """First versions land, the stream runs, second versions land, it runs again."""
-    landed, table, checkpoint = (_scratch(spark, n) for n in ("landed", "upserted", "progress"))
-    rows = B.dirty_bars(bars(spark, d))
-    for k in (0, 1):
-        rows.where(F.col("source_rank") == k).write.mode("append").parquet(landed)
-        S.upsert_landed(spark, landed, rows.schema, table, checkpoint)
-    return spark.read.parquet(table).select("ticker", "date", *B.PRICES, "volume")
+    """Bars up to 2000 land, some of them not final, and the stream runs; then their final versions and the later bars, and it runs again."""
+    landed, table, checkpoint = (shared_dir(spark, n) for n in ("landed", "upserted", "progress"))
+    final, open_ = bars(spark, d), (F.dayofmonth("date") == 21) & (F.col("date") < "2001-01-01")
+    first = final.where("date < DATE '2001-01-01'").withColumns({"close": F.when(open_, F.col("close") + 1).otherwise(F.col("close")), "source_rank": F.lit(0), "seq": F.lit(0)})
+    second = final.where(open_ | (F.col("date") >= "2001-01-01")).withColumns({"source_rank": F.lit(1), "seq": F.lit(1)})
+    for rows in (first, second):
+        rows.write.mode("append").parquet(landed)
+        S.upsert_landed(spark, landed, first.schema, table, checkpoint)
+    return S.current(spark, table, "indicators").select("ticker", "date", *B.PRICES, "volume", "daily_return_pct", "rsi_14", "price_repaired")
 
 
 def _final(spark, d) -> DataFrame:
-    out, checkpoint = _scratch(spark, "sessions"), _scratch(spark, "progress")
+    out, checkpoint = shared_dir(spark, "sessions"), shared_dir(spark, "progress")
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").option("recursiveFileLookup", "true").parquet(d)
     days = S.final_sessions(source)
@@ -191,6 +220,34 @@ def str3(spark, d):
     return monitoring.consecutive(B.run_log(spark, d), F.col("status").isin("failed", "no_data"))
 
 
+@query(
+    "STR3_lag",
+    O.BARS
+    + """, months AS (SELECT ticker, last_day(date) AS run, max(date) AS d FROM bars GROUP BY 1, 2), runs AS (SELECT DISTINCT run FROM months),
+    known AS (SELECT r.run, m.ticker, max(m.d) AS latest FROM runs r JOIN months m ON m.run <= r.run GROUP BY 1, 2), middle AS (SELECT run, quantile_disc(latest, 0.5) AS expected FROM known GROUP BY run),
+    lagged AS (SELECT cast(year(run) * 12 + month(run) AS BIGINT) AS run_id, ticker, latest < expected AS behind FROM known JOIN middle USING (run)),
+    lag_isles AS (SELECT *, sum(CASE WHEN behind THEN 0 ELSE 1 END) OVER (PARTITION BY ticker ORDER BY run_id) AS isle FROM lagged),
+    lag_counts AS (SELECT ticker, run_id, cast(sum(behind::INT) OVER (PARTITION BY ticker, isle ORDER BY run_id) AS BIGINT) AS in_a_row FROM lag_isles)""",
+    "SELECT ticker, run_id, in_a_row, in_a_row >= 5 AS persistent FROM lag_counts",
+)
+def str3_lag(spark, d):
+    return monitoring.lag_counters(monitoring.lag_log(bars(spark, d)))
+
+
+@query("STR3_stream", _ISLANDS, "SELECT ticker, cast(arg_max(in_a_row, run_id) AS INT) AS in_a_row, arg_max(in_a_row, run_id) >= 3 AS persistent FROM counted GROUP BY ticker")
+def str3_stream(spark, d):
+    """The run log lands in two files after each other; keyed state carries the counts over."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    landed, out, checkpoint = (shared_dir(spark, n) for n in ("log", "counters", "progress"))
+    log = B.run_log(spark, d)
+    for part in (F.col("run_id") < 15, F.col("run_id") >= 15):
+        log.where(part).write.mode("append").parquet(landed)
+        counters = S.failure_counters(spark.readStream.schema(log.schema).parquet(landed))
+        take = lambda rows, batch: rows.withColumn("batch", F.lit(batch)).write.mode("append").parquet(out)
+        counters.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(take).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).groupBy("ticker").agg(F.max_by(F.struct("in_a_row", "persistent"), "batch").alias("x")).select("ticker", "x.*")
+
+
 @query(
     "STR4",
     O.BARS + ", had AS (SELECT * FROM bars WHERE date < DATE '2001-06-01' AND ticker <> 'NATION_12'), land AS (SELECT *, CASE WHEN ticker = 'NATION_3' AND date >= DATE '2001-06-01' THEN NULL ELSE close END AS c FROM bars WHERE date >= DATE '2001-05-01' AND ticker NOT IN ('NATION_15', 'NATION_8')), "

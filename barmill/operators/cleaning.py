@@ -47,9 +47,9 @@ def sector_role(fact: DataFrame, dim: DataFrame, sector: str, benchmark: str = B
 
 
 def upsert(rows: DataFrame, keys: tuple[str, ...] = ("ticker", "date")) -> DataFrame:
-    """One row a key: of the highest source_rank, then the highest seq. Dealt by ticker, so that later windows need no exchange."""
+    """One row a key: of the highest source_rank, then the highest seq."""
     last = Window.partitionBy(*keys).orderBy(F.desc("source_rank"), F.desc("seq"))
-    return rows.repartition("ticker").withColumn("__n", F.row_number().over(last)).where("__n = 1").drop("__n", "source_rank", "seq")
+    return rows.withColumn("__n", F.row_number().over(last)).where("__n = 1").drop("__n", "source_rank", "seq")
 
 
 def new_rows(merged: DataFrame, stored: DataFrame) -> DataFrame:

@@ -38,12 +38,10 @@ def wilder_rsi(close: np.ndarray, period: int = 14) -> np.ndarray:
     if len(close) <= period:
         return out
     change = np.diff(close)
-    gain, loss = change[:period].clip(min=0).mean(), (-change[:period]).clip(min=0).mean()
-    for k in range(period, len(close)):
-        if k > period:
-            up = change[k - 1]
-            gain, loss = (gain * (period - 1) + max(up, 0.0)) / period, (loss * (period - 1) + max(-up, 0.0)) / period
-        out[k] = 100.0 if loss == 0 else 100 - 100 / (1 + gain / loss)
+    smooth = lambda x: pd.Series(np.append(x[:period].mean(), x[period:])).ewm(alpha=1 / period, adjust=False).mean().to_numpy()
+    gain, loss = smooth(change.clip(min=0)), smooth((-change).clip(min=0))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out[period:] = np.where(loss == 0, 100.0, 100 - 100 / (1 + gain / loss))
     return out
 
 

@@ -51,6 +51,27 @@ def failures(log: DataFrame, most_share: float = 0.30, persistent: int = 3) -> D
     return counted.select("run_id", "ticker", "in_a_row", kind.alias("kind"))
 
 
+def lag_log(bars: DataFrame) -> DataFrame:
+    """(run_id, ticker, behind) of a coverage report at the end of every month: whether a ticker's newest bar is older than the expected session.
+
+    Tickers count from their first bar on. Months are few, so their list is broadcast.
+    """
+    month = F.last_day("date")
+    each = bars.groupBy("ticker", month.alias("run")).agg(F.max("date").alias("latest"))
+    runs = each.select("run").distinct()
+    grid = each.select("ticker").distinct().crossJoin(F.broadcast(runs))
+    newest = F.max("latest").over(Window.partitionBy("ticker").orderBy("run").rowsBetween(Window.unboundedPreceding, 0))
+    known = grid.join(each, ["ticker", "run"], "left").withColumn("latest", newest).where("latest is not null")
+    expected = known.groupBy("run").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_date(latest))").cast("int").alias("expected"))
+    both = known.join(expected, "run")
+    return both.select((F.year("run") * 12 + F.month("run")).cast("long").alias("run_id"), "ticker", (F.unix_date("latest") < F.col("expected")).alias("behind"))
+
+
+def lag_counters(log: DataFrame, persistent: int = 5) -> DataFrame:
+    """(ticker, run_id, in_a_row, persistent): reports in a row that found a ticker behind; one that is current clears the count."""
+    return consecutive(log, F.col("behind")).withColumn("persistent", F.col("in_a_row") >= persistent)
+
+
 def run_summary(log: DataFrame) -> DataFrame:
     outcome = {s: F.count_if(F.col("status") == s).alias(s) for s in ("gained", "skipped", "not_final", "failed", "no_data", "ok")}
     return log.groupBy("run_id").agg(F.count("*").alias("tickers"), *outcome.values())

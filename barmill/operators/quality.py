@@ -87,14 +87,26 @@ def copy_parity(a: DataFrame, b: DataFrame) -> DataFrame:
     return one(a, "a").crossJoin(F.broadcast(one(b, "b"))).withColumn("same", (F.col("rows_a") == F.col("rows_b")) & (F.col("tickers_a") == F.col("tickers_b")) & (F.col("newest_a") == F.col("newest_b")))
 
 
+def little_history(metrics: DataFrame, least: int = 100) -> DataFrame:
+    """Stocks with fewer bars than `least`; unknown counts are none."""
+    return metrics.where(F.coalesce("data_points", F.lit(0)) < least)
+
+
 def indicator_recheck(bars: DataFrame) -> DataFrame:
-    """By ticker, whether stored indicators agree with those computed anew from the stored close; pairs with a null are passed over."""
-    again = {"r": I.daily_return(), "m20": I.moving_average(20), "m50": I.moving_average(50), "m200": I.moving_average(200), "up": I.bollinger()["bb_upper"], "down": I.bollinger()["bb_lower"]}
-    rows = bars.withColumns({f"__{k}": v for k, v in again.items()})
-    ok = lambda stored, new, rtol, atol: F.coalesce(F.bool_and(close_to(F.col(stored), F.col(new), rtol, atol)), F.lit(True))
-    # rolling columns were made of unrounded, repaired closes, so the tolerance is the rounding's
+    """By ticker, whether stored indicators agree with those computed anew from the stored close; pairs with a null are passed over.
+
+    Tolerances: averages and the upper band a ten-thousandth, returns 0.001, RSI 0.01 beside the usual hundred-thousandth.
+    """
+    again = {"r": I.daily_return(), "m20": I.moving_average(20), "m50": I.moving_average(50), "m200": I.moving_average(200), "up": I.bollinger()["bb_upper"]}
+    stored = ("daily_return_pct", "ma20", "ma50", "ma200", "bb_upper", "rsi_14")
+    rows = bars.select("ticker", "date", "close", *(F.col(c).alias(f"__{c}") for c in stored)).withColumns(again)
+    rows = I.recursive_indicators(rows)
+    ok = lambda new, c, rtol, atol: F.coalesce(F.bool_and(close_to(F.col(new), F.col(f"__{c}"), rtol, atol)), F.lit(True))
     return rows.groupBy("ticker").agg(
-        ok("daily_return_pct", "__r", 1e-4, 2e-2).alias("return_ok"), *(ok(f"ma{n}", f"__m{n}", 1e-4, 0.0).alias(f"ma{n}_ok") for n in (20, 50, 200)), (ok("bb_upper", "__up", 1e-4, 1e-2) & ok("bb_lower", "__down", 1e-3, 1.0)).alias("bands_ok")
+        ok("r", "daily_return_pct", 1e-5, 1e-3).alias("return_ok"),
+        *(ok(f"m{n}", f"ma{n}", 1e-4, 1e-8).alias(f"ma{n}_ok") for n in (20, 50, 200)),
+        ok("rsi_14", "rsi_14", 1e-5, 1e-2).alias("rsi_ok"),
+        ok("up", "bb_upper", 1e-4, 1e-8).alias("bands_ok"),
     )
 
 

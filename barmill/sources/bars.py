@@ -37,8 +37,21 @@ FACT_COLUMNS = ["date", *PRICES, "volume", "ticker", *INDICATORS, "price_repaire
 
 
 def read_bar_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every bar file of a folder as one long table of text columns (the ticker is a column of the files)."""
-    return spark.read.schema(LANDED_BARS).csv(path, header=True)
+    """Every CSV bar file of a folder as one long table of text columns, each file by the names in its own header.
+
+    Columns of LANDED_BARS, and `missing`: those that the row's file lacks. The first column of a file is its date. A
+    file without a ticker column is that of the ticker it is named after. Cells hold no quotes or commas.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    heads = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("head"))  # a row a file
+    names = F.transform(F.split(F.lower("head"), ","), lambda c, k: F.when(k == 0, "date").otherwise(F.trim(c)))
+    heads = heads.select("file", "head", names.alias("names"), F.array_except(F.array(*(F.lit(f.name) for f in RAW_BARS)), names).alias("lacks"))
+    cell = lambda c: F.nullif(F.get(F.split("value", ","), F.array_position("names", c).cast("int") - 1), F.lit(""))
+    own = F.regexp_extract("file", r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
+    ticker = F.coalesce(cell("ticker"), own)
+    missing = F.array_remove("lacks", "ticker").alias("missing")
+    return lines.join(heads, "file").where("value <> head and value <> ''").select(*((ticker if f.name == "ticker" else cell(f.name)).alias(f.name) for f in RAW_BARS), missing)
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
@@ -59,28 +72,23 @@ def normalise(landed: DataFrame, ticker: Column | None = None) -> DataFrame:
 
 
 def quarantine(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantine(ticker, reason)): a ticker with a date that doesn't parse is left out as a whole, with the reason."""
-    bad = landed.groupBy("ticker").agg(F.bool_or(F.try_to_date("date", "yyyy-MM-dd").isNull()).alias("bad")).where("bad")
-    bad = bad.select("ticker", F.lit("dates do not parse").alias("reason"))
-    return landed.join(bad, "ticker", "left_anti"), bad
+    """(good rows, quarantine(ticker, reason)): a ticker with a date that doesn't parse, or whose file lacks columns, is left out as a whole, with the reason."""
+    lacks = F.max(F.array_join("missing", ", ")) if "missing" in landed.columns else F.lit("")
+    each = landed.groupBy("ticker").agg(F.bool_or(F.try_to_date("date", "yyyy-MM-dd").isNull()).alias("bad"), lacks.alias("lacks"))
+    reason = F.when(F.col("lacks") != "", F.concat(F.lit("missing columns: "), "lacks")).when(F.col("bad"), "dates do not parse")
+    bad = each.select("ticker", reason.alias("reason")).where("reason is not null")
+    return landed.join(bad, "ticker", "left_anti").drop("missing"), bad
 
 
 def fresh_since(bars: DataFrame, stored: DataFrame, days: int = 500, first: str = "2000-01-01") -> DataFrame:
-    """Bars from `days` before each ticker's last stored date on; all since `first` for a ticker that has none.
-
-    The least of these dates is a literal filter, which reaches a scan that is partitioned by date.
-    """
+    """Bars from `days` before each ticker's last stored date on; all since `first` for a ticker that has none."""
     last = stored.groupBy("ticker").agg(F.date_sub(F.max("date"), days).alias("since"))
-    least = last.agg(F.min("since")).first()[0]
-    known = stored.select("ticker").distinct()
-    if least is not None and not bars.select("ticker").distinct().join(known, "ticker", "left_anti").take(1):
-        bars = bars.where(F.col("date") >= F.lit(least))
     return bars.join(last, "ticker", "left").where(F.col("date") >= F.coalesce("since", F.lit(first).cast("date"))).drop("since")
 
 
 def write_bars(bars: DataFrame, path: str) -> None:
-    """Replaces the years that are written and leaves the others."""
-    bars.withColumn("year", F.year("date")).repartition("year").sortWithinPartitions("ticker", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    """Replaces the years that are written and leaves the others; a year is dealt to as many tasks as its share of the rows takes."""
+    bars.withColumn("year", F.year("date")).repartitionByRange("year", "ticker", "date").sortWithinPartitions("year", "ticker", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
 
 
 def write_fact(fact: DataFrame, path: str) -> None:
