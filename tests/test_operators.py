@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barmill.functions import calendar as C
 from barmill.functions import labels as L
 from barmill.functions.numbers import round_significant
-from barmill.operators import cleaning, indicators, measures, monitoring, tablediff
+from barmill.operators import cleaning, indicators, measures, monitoring, quality, tablediff
 from barmill.operators import metrics as M
 from barmill.sources import bars as B
 from barmill.streaming import bars as S
@@ -186,3 +186,71 @@ def test_failure_counter_stream(spark, tmp_path):
         take = take.foreachBatch(lambda df, _: seen.update({r["ticker"]: (r["in_a_row"], r["persistent"]) for r in df.collect()}))
         take.trigger(availableNow=True).start().awaitTermination()
     assert seen == {"a": (3, True), "b": (0, False)}
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "A.csv").write_text("Date,close,open,high,low,volume,ticker\n2020-01-01,4,1,3,2,10,A\n\n")
+    (tmp_path / "B.csv").write_text("Date,open,high,low,close,volume\n2020-01-01,1,3,2,4,\n2020-01-02,1,3,2,5,7\n")
+    (tmp_path / "C.csv").write_text("Date,open,high,low,volume,ticker\n2020-01-01,1,3,2,10,C\n")
+    (tmp_path / "D.csv").write_text("Date,open,high,low,close,volume,ticker\n01-02-2020,1,3,2,4,10,D\n")
+    files = B.read_bar_files(spark, str(tmp_path))
+    good, bad = B.quarantine(files)
+    assert {tuple(r) for r in bad.collect()} == {("C", "missing columns: close"), ("D", "dates do not parse")}
+    rows = sorted(tuple(r) for r in B.normalise(good).select("ticker", F.dayofmonth("date"), *B.PRICES, "volume").collect())
+    assert rows == [("A", 1, 1.0, 3.0, 2.0, 4.0, 10), ("B", 1, 1.0, 3.0, 2.0, 4.0, None), ("B", 2, 1.0, 3.0, 2.0, 5.0, 7)]
+
+
+def _walk(spark, n=260, seed=5, ticker="A"):
+    return frame(spark, (100 * np.exp(np.cumsum(np.random.default_rng(seed).normal(0, 0.01, n)))).tolist(), ticker)
+
+
+@pytest.mark.parametrize("stored, flag", [("daily_return_pct", "return_ok"), ("ma20", "ma20_ok"), ("ma50", "ma50_ok"), ("ma200", "ma200_ok"), ("rsi_14", "rsi_ok"), ("bb_upper", "bands_ok")])
+def test_a_corrupted_indicator_fails_its_recheck(spark, stored, flag):
+    fact = indicators.add_indicators(_walk(spark))
+    sound = quality.indicator_recheck(fact).first().asDict()
+    assert all(v for k, v in sound.items() if k != "ticker")
+    last = F.col("date") == F.lit(DAY + dt.timedelta(days=259))
+    wrong = quality.indicator_recheck(fact.withColumn(stored, F.when(last, F.col(stored) + 0.05 * F.abs(stored) + 0.02).otherwise(F.col(stored)))).first().asDict()
+    assert {k for k, v in wrong.items() if v is False} == {flag}
+
+
+@pytest.mark.parametrize("stored, flag", [("beta", "beta_ok"), ("sharpe_ratio", "sharpe_ok"), ("max_drawdown_pct", "drawdown_ok")])
+def test_a_corrupted_metric_fails_its_recheck(spark, stored, flag):
+    fact = indicators.add_indicators(_walk(spark).unionByName(_walk(spark, seed=6, ticker=B.BENCHMARK)))
+    metrics = M.ticker_metrics(fact)
+    assert all(v for k, v in quality.metric_recheck(fact, metrics).first().asDict().items() if k != "ticker")
+    wrong = quality.metric_recheck(fact, metrics.withColumn(stored, F.col(stored) + 0.2)).first().asDict()
+    assert {k for k, v in wrong.items() if v is False} == {flag}
+
+
+def test_little_history(spark):
+    rows = spark.createDataFrame([("a", 99), ("b", 100), ("c", None)], "ticker string, data_points long")
+    assert sorted(r["ticker"] for r in quality.little_history(rows).collect()) == ["a", "c"]
+
+
+def test_five_lags_in_a_row_are_persistent(spark):
+    months = [dt.date(2020, k, 15) for k in range(1, 9)]
+    rows = [(t, d) for t in "abc" for d in months] + [("late", months[0]), ("late", months[6])]
+    got = monitoring.lag_counters(monitoring.lag_log(spark.createDataFrame(rows, "ticker string, date date")))
+    late = got.where("ticker = 'late'").orderBy("run_id").collect()
+    assert [(r["in_a_row"], r["persistent"]) for r in late] == [(0, False), (1, False), (2, False), (3, False), (4, False), (5, True), (0, False), (1, False)]
+    assert got.where("ticker <> 'late' and in_a_row > 0").isEmpty()
+
+
+def test_an_upsert_that_fails_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    landed, table, progress = (str(tmp_path / n) for n in ("landed", "table", "progress"))
+    rows = _walk(spark, 30).withColumns({"source_rank": F.lit(0), "seq": F.lit(0)})
+    assert S.current(spark, table) is None
+    rows.where("close is not null").write.mode("append").parquet(landed)
+    S.upsert_landed(spark, landed, rows.schema, table, progress)
+    whole = indicators.add_indicators(_walk(spark, 30)).select(*B.FACT_COLUMNS).orderBy("date").collect()
+    assert S.current(spark, table, "indicators").select(*B.FACT_COLUMNS).orderBy("date").collect() == whole
+    rows.withColumns({"close": F.col("close") + 1, "seq": F.lit(1), "source_rank": F.lit(1)}).write.mode("append").parquet(landed)
+    with monkeypatch.context() as m:
+        m.setattr(S, "add_indicators", lambda _: 1 / 0)
+        with pytest.raises(Exception):
+            S.upsert_landed(spark, landed, rows.schema, table, progress)
+    assert S.current(spark, table, "indicators").select(*B.FACT_COLUMNS).orderBy("date").collect() == whole
+    S.upsert_landed(spark, landed, rows.schema, table, progress)
+    both = {r["date"]: r["close"] for r in S.current(spark, table).collect()}
+    assert len(both) == 30 and all(math.isclose(both[r["date"]], r["close"] + 1) for r in _walk(spark, 30).collect())
