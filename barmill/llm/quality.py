@@ -1,8 +1,8 @@
 """Quality classifier by Bradley-Terry pairwise ranking.
 
 A document's score is linear in features of its whole text. Pairs of a preferred (label 1) and another (label 0)
-document give the logistic loss on the difference of their features. The threshold is a quantile of the training
-documents' scores; scores are shifted so that it comes to lie at a fixed value.
+document give the logistic loss on the difference of their features. The threshold is the quantile of the training
+documents' scores at the share of them that is labelled poor; scores are shifted so that it comes to lie at a fixed value.
 """
 
 from __future__ import annotations
@@ -106,14 +106,8 @@ def fit(x: np.ndarray, label: np.ndarray, ridge: float = 1.0, steps: int = 30, s
 
 
 def _cut(score: np.ndarray, label: np.ndarray) -> float:
-    """The quantile of the scores that parts the labels best, both classes weighing the same; the middle of the best ones."""
-    order = np.argsort(score, kind="stable")
-    s, y = score[order], label[order]
-    bad_below = np.concatenate([[0], np.cumsum(y == 0)]) / max(1, (y == 0).sum())
-    good_above = 1 - np.concatenate([[0], np.cumsum(y == 1)]) / max(1, (y == 1).sum())
-    best = np.flatnonzero(bad_below + good_above >= (bad_below + good_above).max() - 1e-12)
-    k = int(best[len(best) // 2])
-    return float((s[max(k - 1, 0)] + s[min(k, len(s) - 1)]) / 2)
+    """The quantile of the scores at the share of documents that are labelled poor."""
+    return float(np.quantile(score, float((label == 0).mean()), method="midpoint"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -125,7 +119,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     A null text counts as empty and is scored like any other; null labels are skipped, a document with several labels is
     learnt from with each. Without labels of both classes all scores are CUT. Only the text makes a score. Rows that
-    repeat an id are scored one by one.
+    repeat an id are scored one by one. An empty table gives an empty one; further columns are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
