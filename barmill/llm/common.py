@@ -44,7 +44,7 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def kept_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text", once: bool = True) -> DataFrame:
     """Rows of docs whose id and text are among kept's (doc_id, text_key); once: of rows that repeat both, one."""
-    key, row, own_id, own_key = (_unused(docs, c) for c in ("__key", "__row", "__id", "__text"))
+    key, row, own_id, own_key = (unused(docs, c) for c in ("__key", "__row", "__id", "__text"))
     own = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     keys = kept.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
     out = own.join(keys, own[id_col].eqNullSafe(keys[own_id]) & (own[key] == keys[own_key]), "left_semi")
@@ -54,7 +54,7 @@ def kept_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col
     return out.drop(key)
 
 
-def _unused(df: DataFrame, name: str) -> str:
+def unused(df: DataFrame, name: str) -> str:
     """name, with further underscores if df has such a column."""
     have = {c.lower() for c in df.columns}
     while name in have:

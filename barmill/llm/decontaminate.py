@@ -3,8 +3,9 @@
 Word ids come from the benchmark's own vocabulary; a window can only occur where all its words are known, so windows
 are hashed there alone. A hash that meets the set is verified word by word, so hashes never decide.
 
-The set is broadcast in blocks of whole items that are bounded by their number of words, and the documents are scanned
-once for each block: a larger benchmark means more scans, never a larger broadcast.
+The set is broadcast in blocks that are bounded by their number of words, long items in pieces that overlap by all but one
+word of a window. The documents are scanned once for each block, one block at a time: a larger benchmark means more
+scans, never a larger broadcast.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import byte_slices, ragged, string_bytes, string_offsets, text_rows
+from barmill.llm.common import byte_slices, ragged, string_bytes, string_offsets, text_rows, unused, written
 
-#: Words of a broadcast block of the benchmark, about 100 MB of index.
-BLOCK_WORDS = 2_000_000
+#: Words of a broadcast block of the benchmark. Its index takes at most some 220 bytes a word, so 110 MB.
+BLOCK_WORDS = 500_000
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
@@ -42,23 +43,24 @@ class Windows:
         self.vocab: dict[bytes, int] = {}
         self.names = sorted({name for name, _ in items})
         number = {name: k for k, name in enumerate(self.names)}
-        found: dict[int, dict[tuple, set[int]]] = {}
+        found: dict[int, list[tuple[np.ndarray, int]]] = {}
         for name, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(text)]
+            own = words(text)
+            ids = np.fromiter((self.vocab.setdefault(w, len(self.vocab) + 1) for w in own), np.int32, len(own))
             m = min(n, len(ids))
             if m:
-                own = found.setdefault(m, {})
-                for k in range(len(ids) - m + 1):
-                    own.setdefault(tuple(ids[k : k + m]), set()).add(number[name])
+                found.setdefault(m, []).append((np.lib.stride_tricks.sliding_window_view(ids, m), number[name]))
         self.by_length = {}
         for m, own in found.items():
-            ids = np.array(list(own), dtype=np.int64).reshape(-1, m)
+            ids = np.concatenate([x for x, _ in own])
+            owner = np.repeat(np.array([k for _, k in own], np.int32), [len(x) for x, _ in own])
             mixed = _mixed([ids[:, k] for k in range(m)])
-            order = np.argsort(mixed, kind="stable")
-            owners = [sorted(x) for x in own.values()]
-            count = np.array([len(owners[k]) for k in order], dtype=np.int64)
-            flat = np.array([i for k in order for i in owners[k]], dtype=np.int64)
-            self.by_length[m] = (mixed[order], ids[order], np.cumsum(count) - count, count, flat)
+            order = np.lexsort((owner, *(ids[:, k] for k in range(m)), mixed))
+            mixed, ids, owner = mixed[order], ids[order], owner[order]
+            opens = np.append(True, (ids[1:] != ids[:-1]).any(axis=1))
+            fresh = opens | np.append(True, owner[1:] != owner[:-1])  # an item that has a window twice counts once
+            first = np.cumsum(fresh)[opens] - 1
+            self.by_length[m] = (mixed[opens], ids[opens], first, np.diff(np.append(first, fresh.sum())), owner[fresh])
 
 
 def _mixed(columns: list[np.ndarray]) -> np.ndarray:
@@ -166,17 +168,24 @@ def find_contamination(
     size = items.agg(F.sum(F.octet_length("text") / 2)).first()[0] or 0  # a word and what parts it from the next take two bytes at least
     blocks = max(1, math.ceil(size / block_words))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    if blocks > 1:
+        items = items.mapInArrow(_pieces(n, max(n, block_words // 4)), "item string, text string").withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+        items = written(items, "benchmark-pieces")
 
-    def scanned(k: int) -> DataFrame:
-        own = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
-        return rows.mapInArrow(_scanner(spark.sparkContext.broadcast(Windows([tuple(r) for r in own.toLocalIterator()], n))), f"doc_id {kind}, text_key long, {_FOUND}")
+    def scanned(own: DataFrame) -> tuple[DataFrame, object]:
+        block = spark.sparkContext.broadcast(Windows([tuple(r) for r in own.select("item", "text").toLocalIterator()], n))
+        return rows.mapInArrow(_scanner(block), f"doc_id {kind}, text_key long, {_FOUND}"), block
 
-    first = scanned(0)
     if blocks == 1:
-        return first
-    more = first.where("size(items) > 0")
-    for k in range(1, blocks):
-        more = more.unionByName(scanned(k).where("size(items) > 0"))
+        return scanned(items)[0]
+    first, more = None, None
+    for k in range(blocks):  # one block at a time is in memory
+        found, block = scanned(items.where(F.col("block") == k))
+        found = written(found if k == 0 else found.where("size(items) > 0"), "benchmark-hits")
+        block.destroy()
+        first = found if k == 0 else first
+        hits = found.where("size(items) > 0")
+        more = hits if more is None else more.unionByName(hits)
     merged = more.groupBy("doc_id", "text_key").agg(
         *(_union(c) for c in ("hit", "spans")), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     )
@@ -185,6 +194,20 @@ def find_contamination(
     return out.select("doc_id", "text_key", "n_words", *(F.coalesce(f"__{c}", c).alias(c) for c in ("hit", "spans", "items")))
 
 
+def _pieces(n: int, most: int):
+    """Items cut into pieces of at most `most` words, so that each window lies in one piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = [w.decode() for w in words(text)]
+                step = most - n + 1
+                cut = [" ".join(own[k : k + most]) for k in range(0, max(1, len(own) - n + 1), step)]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(cut), pa.string()), pa.array(cut, pa.string())], names=["item", "text"])
+
+    return run
+
+
 def _union(column: str):
     """Spans of all blocks of a row, sorted, those that overlap or touch made one."""
     spans = F.array_sort(F.flatten(F.collect_list(column)))
@@ -209,18 +232,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove: {remove}")
     found = find_contamination(docs, benchmark, id_col=id_col, text_col=text_col, **params).where("size(items) > 0")
-    found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"), F.col("spans").alias("__spans")).dropDuplicates(["__id", "__text"])
-    own = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    match = own[id_col].eqNullSafe(found["__id"]) & (own["__key"] == found["__text"])
+    key, own_id, own_text, spans = (unused(docs, c) for c in ("__key", "__id", "__text", "__spans"))
+    found = found.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_text), F.col("spans").alias(spans)).dropDuplicates([own_id, own_text])
+    own = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    match = own[id_col].eqNullSafe(found[own_id]) & (own[key] == found[own_text])
     if remove == "documents":
-        return own.join(found, match, "left_anti").drop("__key")
+        return own.join(found, match, "left_anti").drop(key)
     joined = own.join(found, match, "left")
     cut = F.aggregate(
-        "__spans",
+        spans,
         F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")),
         lambda out, x: F.struct(
             F.concat(out["text"], F.substr(F.col(text_col), (out["at"] + 1).cast("int"), (x["start"] - out["at"]).cast("int"))).alias("text"), x["end"].alias("at")
         ),
         lambda out: F.concat(out["text"], F.substr(F.col(text_col), (out["at"] + 1).cast("int"))),
     )
-    return joined.withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(cut)).select(*docs.columns)
+    return joined.withColumn(text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(cut)).select(*docs.columns)

@@ -345,9 +345,27 @@ def test_contamination(spark, docs, block_words):
     assert Counter((r["doc_id"], r["n_words"], sum(x["end"] - x["start"] for x in r["hit"]), ",".join(r["items"])) for r in got) == plain_contamination(TEXTS, ITEMS)
 
 
+def test_long_items_are_cut_into_pieces(spark):
+    rng = np.random.default_rng(6)
+    item = [f"w{x}" for x in rng.integers(0, 200, 500)]
+    texts = [(k, " ".join([*item[a : a + 30], "other words", *item[b : b + 9]])) for k, (a, b) in enumerate(rng.integers(0, 470, (40, 2)).tolist())]
+    bench, docs = spark.createDataFrame([(1, " ".join(item)), (2, "w1 w2"), (3, None)], "item_id long, text string"), spark.createDataFrame(texts, "doc_id long, text string")
+    got = decontaminate.find_contamination(docs, bench, block_words=400).collect()
+    assert Counter((r["doc_id"], r["n_words"], sum(x["end"] - x["start"] for x in r["hit"]), ",".join(r["items"])) for r in got) == plain_contamination(texts, [(1, " ".join(item)), (2, "w1 w2")])
+
+
+def test_a_block_is_as_large_as_stated():
+    import pickle
+
+    rng = np.random.default_rng(7)
+    block = decontaminate.Windows([(str(k), " ".join(f"word{x}" for x in rng.integers(0, 10**9, 1000))) for k in range(20)], 10)
+    kept = len(pickle.dumps(block.by_length)) + sum(120 + len(w) for w in block.vocab)
+    assert kept < 220 * 20_000
+
+
 def test_spans_and_documents_are_removed(spark):
     bench = spark.createDataFrame([(1, "b c d")], "item_id long, text string")
-    docs = spark.createDataFrame([(1, "é A b, C; d e b c d!", 5), (2, "clean", 6), (3, None, 7)], "doc_id long, text string, spans int")
+    docs = spark.createDataFrame([(1, "é A b, C; d e b c d!", 5), (2, "clean", 6), (3, None, 7)], "doc_id long, text string, __key int")
     cut = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, bench, remove="spans").collect()}
     assert cut == {1: "é A  e !", 2: "clean", 3: None}
     left = decontaminate.decontaminate(docs, bench, remove="documents")
