@@ -4,9 +4,11 @@ Words of all training documents are counted. Frequent words' counts are broadcas
 since each has at least a set share of all tokens); the others are looked up by a join, so a hot word never is a key.
 
 Subwords are those of a public byte-level BPE with its first merges only, so every text has ids and the model gives
-every text a probability. The corpus-wide subword counts, from the word counts, fix the classes and first biases of the
-model. All spans of words of all training documents are dealt to trainers that start each round from the same weights;
-these are averaged by the tokens seen. The first round takes a fixed share of the spans, the second all others.
+every text a probability. Texts are encoded once, into a table of ids that training and scoring read. The corpus-wide
+subword counts, from the word counts, fix the classes and first biases of the model. All spans of words of all training
+documents are dealt to trainers by a hash, as many as the number of words takes; each starts a round from the same
+weights and takes its spans in the order of their hashes, so weights depend on the documents alone. Their weights are
+averaged by the tokens seen, in two steps. The first round takes a fixed share of the spans, the second all others.
 
 A token attends to itself and to what precedes it in its own block of tokens and in the block before: windows of two
 blocks that overlap by one, each scoring the tokens of its last block, all blocks of a batch at a time under one mask.
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barmill.llm import bpe
-from barmill.llm.common import byte_slices, string_bytes, string_offsets, text_rows, written
+from barmill.llm.common import binary_array, byte_slices, string_bytes, string_offsets, text_rows, written
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: A word whose count is at least the HEAD-th part of all tokens is broadcast; there are HEAD such words at most.
@@ -39,8 +41,8 @@ BLOCK, WIDTH, HIDDEN = 16, 16, 32
 #: Words of a training span, and one of how many spans the first round takes, by a hash of its place; the second takes all others.
 SPAN, SHARE = 64, 16
 ROUNDS, BATCH, RATE = 2, 512, 0.01
-#: Trainers of a round at most: each sends its weights (0.6 MB) to the driver.
-TRAINERS = 64
+#: Words of training text that each trainer takes.
+WORDS_EACH = 1_000_000
 
 
 class Weights(dict):
@@ -251,8 +253,11 @@ def gradients(w: Weights, ids: np.ndarray, target: np.ndarray, has: np.ndarray,
     x = rows(c["x"])
     d["query"], d["key"], d["value"] = x.T @ rows(dq) * WIDTH**-0.5, x.T @ rows(dk), x.T @ rows(dv)
     dx = dh + dq @ (w["query"].T * WIDTH**-0.5) + dk @ w["key"].T + dv @ w["value"].T
+    order = np.argsort(ids.ravel(), kind="stable")
+    sorted_ids = ids.ravel()[order]
+    opens = np.flatnonzero(np.append(True, sorted_ids[1:] != sorted_ids[:-1]))
     d["embed"] = np.zeros_like(w["embed"])
-    np.add.at(d["embed"], ids.ravel(), rows(dx))
+    d["embed"][sorted_ids[opens]] = np.add.reduceat(rows(dx)[order], opens, axis=0)
     return float(loss) / n, d
 
 
@@ -280,6 +285,9 @@ class Subwords:
         self.dense = np.zeros(self.bpe.size, np.int64)
         self.dense[self.bpe.first] = np.arange(256)
         self.dense[self.bpe.made] = 256 + np.arange(len(self.bpe.made))
+        self.opens = np.zeros(GROUPS * GROUPS, bool)  # ids that begin with a blank, as each word does
+        for i in (*self.bpe.first.tolist(), *self.bpe.made.tolist()):
+            self.opens[self.dense[i]] = self.bpe.bytes_of[i].startswith(b" ")
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         column = pa.array(texts, pa.binary())
@@ -287,8 +295,8 @@ class Subwords:
         return self.dense[ids], count
 
 
-def blocked(ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Texts as blocks: input ids (the end stands before a text), targets (and behind it), whether there is a block before, valid places, first block of each text."""
+def blocked(ids: np.ndarray, count: np.ndarray, ends: np.ndarray | bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts as blocks: input ids (the end stands before a text), targets (and behind it, where the text ends there), whether there is a block before, valid places, first block of each text."""
     number = -(-(count + 1) // BLOCK)
     first = np.cumsum(number) - number
     target = np.full(int(number.sum()) * BLOCK, END, np.int32)
@@ -296,7 +304,7 @@ def blocked(ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     place = bpe.ragged(first * BLOCK, count)
     target[place] = ids
     valid[place] = True
-    valid[first * BLOCK + count] = True
+    valid[first * BLOCK + count] = ends
     source = np.full(len(target), END, np.int32)
     source[place + 1] = ids  # the place behind a text's last subword is its end's, so it is there
     has = np.ones(int(number.sum()), bool)
@@ -346,8 +354,38 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def train(rows: DataFrame, counts: DataFrame, tokenizer: str) -> Weights:
-    """rows: (doc_id, text) to learn from, each span in one of the rounds; counts: their word counts."""
+def encoded(rows: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, text_key, held_out, ids) for (doc_id, text_key, held_out, text); ids: the subwords of all words, 16 bits each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Subwords(tokenizer)
+        for batch in batches:
+            for part in byte_slices(batch, most=8 << 20):
+                ids, count = own.encode([b" " + b" ".join(x) if x else b"" for x in _words(part.column(3))])
+                payload = binary_array(np.ascontiguousarray(ids, "<u2"), np.concatenate([[0], np.cumsum(count)]) * 2)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), payload], names=["doc_id", "text_key", "held_out", "ids"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, held_out boolean, ids binary")
+
+
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a binary column in order, and how many each row has."""
+    offsets = string_offsets(column)
+    return np.frombuffer(string_bytes(column), "<u2")[int(offsets[0]) // 2 : int(offsets[-1]) // 2].astype(np.int64), np.diff(offsets) // 2
+
+
+def spans_of(ids: np.ndarray, count: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts cut into spans of SPAN words: number of ids of each span, its text, its place in the text, whether it is the last."""
+    text = np.repeat(np.arange(len(count)), count)
+    word = np.cumsum(opens[ids])
+    before = np.append(0, word)[np.cumsum(count) - count]  # words ahead of each text
+    place = np.maximum(word - before[text] - 1, 0) // SPAN
+    first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (place[1:] != place[:-1]))) if len(ids) else np.zeros(0, np.int64)
+    return np.diff(np.append(first, len(ids))), text[first], place[first], np.append(text[first][1:] != text[first][:-1], True)[: len(first)]
+
+
+def train(table: DataFrame, counts: DataFrame, words: int, tokenizer: str) -> Weights:
+    """table: encoded() rows to learn from, each span in one of the rounds; counts: their word counts; words: how many those are."""
 
     def subword_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = Subwords(tokenizer), np.zeros(GROUPS * GROUPS)
@@ -362,37 +400,42 @@ def train(rows: DataFrame, counts: DataFrame, tokenizer: str) -> Weights:
     for r in counts.mapInArrow(subword_counts, "id long, n double").groupBy("id").agg(F.sum("n").alias("n")).collect():  # a row a subword
         counted[r["id"]] = r["n"]
     counted[END] = max(counted.sum() / 400, 1)
+    trainers = max(1, -(-words // WORDS_EACH))
 
-    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Subwords(tokenizer)
-        for batch in batches:
-            for part in byte_slices(batch, most=8 << 20):
-                texts, place = [], [np.zeros(0, np.uint64)]
-                for words, key in zip(_words(part.column(1)), part.column(0).to_pylist()):
-                    k = np.arange(-(-len(words) // SPAN), dtype=np.uint64)
-                    place.append((k * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(key & (2**64 - 1)))
-                    texts += [b" " + b" ".join(words[j * SPAN : (j + 1) * SPAN]) for j in range(len(k))]
-                mixed = np.concatenate(place)
-                mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-                number = ((mixed >> np.uint64(33)) % np.uint64(SHARE) != 0).astype(np.int32)
-                ids, count = own.encode(texts)
-                cuts = np.concatenate([[0], np.cumsum(count)]) * 2
-                raw = ids.astype("<u2").tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array([raw[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())], pa.binary())], names=["round", "ids"])
-
-    spark = rows.sparkSession
-    trainers = min(TRAINERS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    table = written(rows.select(F.xxhash64("doc_id", "text"), "text").mapInArrow(spans, "round int, ids binary").repartition(trainers), "lm-spans")
+    def spans(number: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            opens = Subwords(tokenizer).opens
+            for batch in batches:
+                for part in byte_slices(batch, "ids", 8 << 20):
+                    ids, count = _ids(part.column(1))
+                    size, text, place, last = spans_of(ids, count, opens)
+                    key = part.column(0).to_numpy().view(np.uint64)[text] ^ (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                    key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+                    key ^= key >> np.uint64(29)
+                    own = np.flatnonzero((key >> np.uint64(33)) % np.uint64(SHARE) == 0 if number == 0 else (key >> np.uint64(33)) % np.uint64(SHARE) != 0)
+                    cuts = np.concatenate([[0], np.cumsum(size)]) * 2
+                    raw = ids.astype("<u2").tobytes()
+                    payload = pa.array([raw[cuts[k] : cuts[k + 1]] for k in own.tolist()], pa.binary())
+                    trainer = (key[own] % np.uint64(trainers)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(trainer), pa.array(key[own].view(np.int64)), pa.array(last[own]), payload], names=["trainer", "key", "last", "ids"])
+
+        dealt = table.select(F.xxhash64("doc_id", "text_key").alias("key"), "ids").mapInArrow(run, "trainer int, key long, last boolean, ids binary")
+        return dealt.repartitionById(trainers, F.col("trainer")).sortWithinPartitions("key")
+
+    spark = table.sparkSession
     weights = Weights.start(counted)
 
     def fitted(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            number = [0]
+
             def blocks():
                 for batch in batches:
-                    ids = [np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column(0).to_pylist()]
-                    if not ids:
+                    if not len(batch):
                         continue
-                    source, target, has, valid, _ = blocked(np.concatenate(ids), np.array(list(map(len, ids))))
+                    number[0] = batch.column(0)[0].as_py()
+                    ids, count = _ids(batch.column(3))
+                    source, target, has, valid, _ = blocked(ids, count, batch.column(2).to_numpy(zero_copy_only=False))
                     for a in range(0, len(source), BATCH):
                         own = has[a : a + BATCH].copy()
                         own[0] = False
@@ -400,21 +443,26 @@ def train(rows: DataFrame, counts: DataFrame, tokenizer: str) -> Weights:
 
             new, seen = trained(shared.value, blocks())
             if seen:
-                flat = np.concatenate([v.ravel() for v in new.values()]).astype("<f4")
-                yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([flat.tobytes()], pa.binary())], names=["seen", "weights"])
+                flat = np.concatenate([v.ravel() for v in new.values()]).astype("<f8") * seen
+                yield pa.RecordBatch.from_arrays([pa.array([number[0]], pa.int32()), pa.array([seen]), pa.array([flat.tobytes()], pa.binary())], names=["trainer", "seen", "weights"])
 
         return run
 
+    def summed(own: pa.Table) -> pa.Table:
+        own = own.sort_by("trainer")
+        total = sum(np.frombuffer(x, "<f8") for x in own["weights"].to_pylist())
+        return pa.table({"trainer": pa.array([own["trainer"][0].as_py()], pa.int32()), "seen": [sum(own["seen"].to_pylist())], "weights": pa.array([total.tobytes()], pa.binary())})
+
+    kinds, buckets = "trainer int, seen long, weights binary", max(1, int(np.sqrt(trainers)))
     for k in range(ROUNDS):
-        own = table.where(F.col("round") == k).select("ids").coalesce(trainers)  # a large table is read in more tasks
-        got = own.mapInArrow(fitted(spark.sparkContext.broadcast(weights)), "seen long, weights binary").collect()  # a row a trainer, TRAINERS at most
-        if not got:
+        each = spans(k).mapInArrow(fitted(spark.sparkContext.broadcast(weights)), kinds)
+        some = each.groupBy(F.pmod("trainer", F.lit(buckets))).applyInArrow(summed, kinds)
+        got = some.groupBy().applyInArrow(summed, kinds).first()  # one row
+        if got is None:
             continue
-        seen = sum(r["seen"] for r in got)
-        mean = sum(np.frombuffer(r["weights"], "<f4") * (r["seen"] / seen) for r in got)
-        at, values = 0, {}
-        for k, v in weights.items():
-            values[k] = mean[at : at + v.size].reshape(v.shape).astype(np.float32)
+        mean, at, values = np.frombuffer(got["weights"], "<f8") / got["seen"], 0, {}
+        for name, v in weights.items():
+            values[name] = mean[at : at + v.size].reshape(v.shape).astype(np.float32)
             at += v.size
         weights = weights.like(values)
     return weights
@@ -426,7 +474,7 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     Learns from the rows that aren't held out. Tokens are the lower-cased words and one end. base_score sums the
     logarithms of their smoothed shares; score is the model's log10 probability of the text's subwords and end. A null
     text counts as empty and has the end alone. Rows that repeat id and text get equal results. With no training rows
-    every count is zero and the model is as it starts. Further columns are left out.
+    every count is zero and the model is as it starts. An empty table gives an empty one. Further columns are left out.
     """
     spark = docs.sparkSession
     rows = text_rows(docs, id_col, text_col).withColumn("held_out", held_out(F.col("doc_id")))
@@ -435,31 +483,35 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     ends = learn.select("doc_id").count()
     train_tokens, kinds = (total["n"] or 0) + ends, total["v"] + (ends > 0)
-    weights = spark.sparkContext.broadcast(train(learn, counts, tokenizer))
+    keyed = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "held_out", "text")
+    table = written(encoded(keyed, tokenizer), "lm-ids")
+    weights = spark.sparkContext.broadcast(train(table.where(~F.col("held_out")), counts, train_tokens, tokenizer))
     floor = float(np.log10(train_tokens + kinds + 1))
     frequent = (F.col("c") * HEAD >= train_tokens) & (F.octet_length("word") <= LONG_WORD)
     head = {bytes(r["word"]): r["c"] for r in counts.where(frequent).toLocalIterator()}  # HEAD words at most
     shared = spark.sparkContext.broadcast(head)
     end_score, end_known = float(np.log10(ends + 1)) - floor, int(ends > 0)
 
+    def modelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Scorer(weights.value)
+        for batch in batches:
+            for part in byte_slices(batch, "ids", 4 << 20):
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(text_scores(model, *_ids(part.column(3))))], names=["doc_id", "text_key", "held_out", "score"])
+
     def by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known, model = Subwords(tokenizer), {k: float(np.log10(c + 1)) for k, c in shared.value.items()}, Scorer(weights.value)
+        known = {k: float(np.log10(c + 1)) for k, c in shared.value.items()}
         for batch in batches:
             for part in byte_slices(batch, most=4 << 20):
-                words = _words(part.column(3))
+                words = _words(part.column(2))
                 number = np.fromiter(map(len, words), np.int64, len(words))
                 found = np.fromiter(map(known.get, (x for own_words in words for x in own_words), repeat(-1.0)), np.float64, int(number.sum()))
                 has = found >= 0
                 sums = lambda a: np.diff(np.concatenate([[0], np.cumsum(a)])[np.concatenate([[0], np.cumsum(number)])])
                 n_head = sums(has.astype(np.int64))
-                ids, count = own.encode([b" " + b" ".join(x) if x else b"" for x in words])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), part.column(1), part.column(2), pa.array(number + 1), pa.array(n_head + end_known), pa.array(number - n_head),
-                        pa.array(sums(np.where(has, found, 0.0)) - n_head * floor + end_score), pa.array(text_scores(model, ids, count)),
-                    ],
-                    names=["doc_id", "text_key", "held_out", "n_tokens", "n_head", "n_tail", "head_score", "score"],
-                )
+                    [part.column(0), part.column(1), pa.array(number + 1), pa.array(n_head + end_known), pa.array(number - n_head), pa.array(sums(np.where(has, found, 0.0)) - n_head * floor + end_score)],
+                    names=["doc_id", "text_key", "n_tokens", "n_head", "n_tail", "head_score"],
+                )
 
     def by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
@@ -477,8 +529,7 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(found, pa.binary()), pa.array(times, pa.int64())], names=["doc_id", "text_key", "word", "times"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    keyed = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "held_out", "text")
-    texts = keyed.mapInArrow(by_text, f"doc_id {kind}, text_key long, held_out boolean, n_tokens long, n_head long, n_tail long, head_score double, score double")
+    texts = keyed.select("doc_id", "text_key", "text").mapInArrow(by_text, f"doc_id {kind}, text_key long, n_tokens long, n_head long, n_tail long, head_score double")
     rare = keyed.select("doc_id", "text_key", "text").mapInArrow(by_word, f"doc_id {kind}, text_key long, word binary, times long")
     found = rare.join(counts.where(~frequent), "word", "left")
     c = F.coalesce("c", F.lit(0))
@@ -486,7 +537,10 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         F.sum("times").alias("all"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * (F.log10(c + 1) - floor)).alias("sum")
     )
     tail = tail.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), (F.col("known") / F.col("all")).alias("__known"), (F.col("sum") / F.col("all")).alias("__mean"))
-    out = texts.join(tail, texts["doc_id"].eqNullSafe(tail["__id"]) & (texts["text_key"] == tail["__key"]), "left")  # rows that repeat share a tail, each by its own count
+    scores = table.mapInArrow(modelled, f"doc_id {kind}, text_key long, held_out boolean, score double").dropDuplicates(["doc_id", "text_key"])
+    scores = scores.select(F.col("doc_id").alias("__own"), F.col("text_key").alias("__text"), "held_out", "score")
+    out = texts.join(scores, texts["doc_id"].eqNullSafe(scores["__own"]) & (texts["text_key"] == scores["__text"]))
+    out = out.join(tail, out["doc_id"].eqNullSafe(tail["__id"]) & (out["text_key"] == tail["__key"]), "left")  # rows that repeat share a tail, each by its own count
     return out.select(
         "doc_id",
         "held_out",

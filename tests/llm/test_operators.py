@@ -427,6 +427,43 @@ def test_scores_are_probabilities_and_look_back_only():
     assert np.allclose(whole, alone, rtol=1e-5) and np.allclose(whole, lm_scoring.text_scores(scorer, ids, count, step=3), rtol=1e-5)
 
 
+def test_the_scorer_agrees_with_the_training_pass():
+    """The fast forward pass gives the layers and the loss of the one that training goes through."""
+    ids, count = _tokens(seed=4)
+    rng = np.random.default_rng(5)
+    w = lm_scoring.Weights.start(np.bincount(ids, minlength=lm_scoring.END + 1).astype(float))
+    w = w.like({k: (v + 0.1 * rng.standard_normal(v.shape)).astype(np.float32) for k, v in w.items()})
+    source, target, has, valid, _ = lm_scoring.blocked(ids, count)
+    slow, fast = lm_scoring.hidden(w, source, has)["g"], lm_scoring.Scorer(w).hidden(source, has)
+    assert np.allclose(slow.reshape(-1, lm_scoring.WIDTH), fast[:, : lm_scoring.WIDTH], rtol=1e-3, atol=1e-4)
+    loss, _ = lm_scoring.gradients(w, source, target, has, valid)
+    total = lm_scoring.text_scores(lm_scoring.Scorer(w), ids, count).sum() * math.log(10)
+    assert math.isclose(-total / valid.sum(), loss, rel_tol=1e-3)
+
+
+def test_texts_are_cut_into_spans_of_words(tokenizer):
+    own = lm_scoring.Subwords(tokenizer)
+    texts = [" ".join(f"wörd{k}" for k in range(n)) for n in (0, 1, 64, 65, 200)]
+    ids, count = own.encode([b" " + t.encode() if t else b"" for t in texts])
+    size, text, place, last = lm_scoring.spans_of(ids, count, own.opens)
+    assert list(zip(text.tolist(), place.tolist(), last.tolist())) == [(1, 0, True), (2, 0, True), (3, 0, False), (3, 1, True), *((4, k, k == 3) for k in range(4))]
+    cuts = np.append(0, np.cumsum(size))
+    assert [int(own.opens[ids[a:b]].sum()) for a, b in zip(cuts, cuts[1:])] == [1, 64, 64, 1, 64, 64, 64, 8]
+
+
+def test_weights_do_not_depend_on_how_rows_are_dealt(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "WORDS_EACH", 400)
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(k, " ".join(f"w{x}" for x in rng.integers(0, 30, 150))) for k in range(12)], "doc_id long, text string")
+    out = []
+    for n, deal in ((1, "3"), (5, "7")):
+        spark.conf.set("spark.sql.shuffle.partitions", deal)
+        own = rows.repartition(n).select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(False).alias("held_out"), "text")
+        out.append(lm_scoring.train(lm_scoring.encoded(own, tokenizer), lm_scoring.word_counts(rows), 1800, tokenizer))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert all(np.array_equal(out[0][k], out[1][k]) for k in out[0])
+
+
 def test_training_lowers_the_loss():
     ids = np.tile(np.arange(50), 400)
     count = np.full(40, 500)
@@ -440,7 +477,8 @@ def test_training_lowers_the_loss():
 def test_every_training_text_is_learnt_from(spark, tokenizer):
     texts = [chr(c) for c in range(33, 49)]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    new = lm_scoring.train(rows, lm_scoring.word_counts(rows), tokenizer)
+    table = lm_scoring.encoded(rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(False).alias("held_out"), "text"), tokenizer)
+    new = lm_scoring.train(table, lm_scoring.word_counts(rows), 32, tokenizer)
     ids, _ = lm_scoring.Subwords(tokenizer).encode([b" " + t.encode() for t in texts])
     moved = (new["embed"] != lm_scoring.Weights.start(np.ones(lm_scoring.END + 1))["embed"]).any(axis=1)  # a subword that no span holds keeps its row
     assert moved[ids].all()
