@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import functools
 import heapq
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame
 
 from barmill.llm.chunks import Chunks, sums
 from barmill.llm.common import binary_array, byte_slices, ragged, text_rows
+from barmill.llm.library import has_safe_borders, spec_of
 
 #: Fixed value: the split of byte-level BPE texts into pieces before the merges.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -34,8 +34,9 @@ class ByteBpe:
     """Vocabulary, ranks and special strings of a tokenizers file of kind byte-level BPE."""
 
     def __init__(self, path: str, most_merges: int | None = None):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = spec_of(path)
+        if not has_safe_borders(spec):
+            raise ValueError(f"{path}: no plain byte-level BPE file")
         vocab = spec["model"]["vocab"]
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         shown = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(printable))}

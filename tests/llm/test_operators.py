@@ -37,6 +37,13 @@ def test_encoding_is_the_library_s(docs, tokenizer):
     assert multiset(bpe.decode(got, tokenizer).collect()) == Counter((i, t or "") for i, t in TEXTS)
 
 
+def test_other_kinds_of_files_are_refused():
+    import public_tokenizers
+
+    with pytest.raises(ValueError):
+        bpe.ByteBpe(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def test_round_trip_gives_ids_and_text(docs, tokenizer):
     got = bpe.round_trip(docs, tokenizer).collect()
     assert Counter((r["doc_id"], r["decoded"]) for r in got) == Counter((i, t or "") for i, t in TEXTS)
