@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +13,10 @@ from barmill.functions.calendar import date_parts
 from barmill.functions.numbers import round_significant
 from barmill.operators.cleaning import by_date, repair_bad_ticks
 from barmill.sources.bars import PRICES
+from barmill.sources.shared import shared_dir
+
+#: Rows of Wilder's averages, and what the newest value weighs in those of the MACD.
+PERIOD, FAST, SLOW, SIGNAL = 14, 2 / 13, 2 / 27, 2 / 10
 
 
 def daily_return(close: str = "close") -> Column:
@@ -32,32 +38,109 @@ def bollinger(n: int = 20, width: float = 2.0) -> dict[str, Column]:
     return {"bb_upper": mean + width * spread, "bb_lower": mean - width * spread, "bb_width": F.try_divide(2 * width * spread, mean) * 100}
 
 
-def wilder_rsi(close: np.ndarray, period: int = 14) -> np.ndarray:
-    """Null for the first `period` rows; the averages start as plain means of the first changes, then decay."""
-    out = np.full(len(close), np.nan)
-    if len(close) <= period:
-        return out
-    change = np.diff(close)
-    smooth = lambda x: pd.Series(np.append(x[:period].mean(), x[period:])).ewm(alpha=1 / period, adjust=False).mean().to_numpy()
-    gain, loss = smooth(change.clip(min=0)), smooth((-change).clip(min=0))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        out[period:] = np.where(loss == 0, 100.0, 100 - 100 / (1 + gain / loss))
-    return out
+def _decayed(x: np.ndarray, share: float, start: float | None) -> np.ndarray:
+    """Each value weighs `share`, what came before the rest; without a start the first value stands for it."""
+    out = pd.Series(x if start is None else np.append(start, x)).ewm(alpha=share, adjust=False).mean().to_numpy()
+    return out if start is None else out[1:]
+
+
+def _wilder(x: np.ndarray, k: np.ndarray, start: float) -> np.ndarray:
+    """Averages of changes number k (from 1): up to PERIOD the sum so far over PERIOD, from there on decayed."""
+    seed = k <= PERIOD
+    head = start + np.cumsum(x[seed]) / PERIOD
+    tail = _decayed(x[~seed], 1 / PERIOD, head[-1] if len(head) else start) if not seed.all() else head[:0]
+    return np.concatenate([head, tail])
 
 
-def recursive_indicators(bars: DataFrame) -> DataFrame:
-    """bars with rsi_14, macd, macd_signal and macd_hist: recurrences over a ticker's whole history, in one pass of a helper."""
+class State(NamedTuple):
+    """Averages at the end of some rows of a ticker; None before its first row."""
+
+    fast: float | None
+    slow: float | None
+    signal: float | None
+    gain: float = 0.0
+    loss: float = 0.0
+
+
+def _advance(close: np.ndarray, before: int, previous: float | None, start: State) -> tuple[dict[str, np.ndarray], State]:
+    """Indicators of closes that follow `before` rows, the last of close `previous`, in this state; and the state behind them."""
+    fast, slow = (_decayed(close, share, s) for share, s in ((FAST, start.fast), (SLOW, start.slow)))
+    macd = fast - slow
+    signal = _decayed(macd, SIGNAL, start.signal)
+    k = before + np.arange(len(close))
+    change = np.diff(close, prepend=close[0] if previous is None else previous)[k > 0]
+    gain, loss = (_wilder(x.clip(min=0), k[k > 0], s) for x, s in ((change, start.gain), (-change, start.loss)))
+    rsi = np.full(len(close), np.nan)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rsi[k >= PERIOD] = np.where(loss == 0, 100.0, 100 - 100 / (1 + gain / loss))[k[k > 0] >= PERIOD]
+    end = State(fast[-1], slow[-1], signal[-1], gain[-1] if len(gain) else start.gain, loss[-1] if len(loss) else start.loss)
+    return {"rsi_14": rsi, "macd": macd, "macd_signal": signal, "macd_hist": macd - signal}, end
+
+
+def _chained(start: State, own: State, n: int, before: int) -> State:
+    """The state behind n rows from a state ahead of them, own being theirs from zeros: all averages are linear in it."""
+    if start.fast is None:
+        return own
+    left = lambda share: (1 - share) ** n
+    lent = lambda share: SIGNAL * (1 - share) * (left(SIGNAL) - left(share)) / (share - SIGNAL)  # noqa: E731  what a start lends the signal over n rows
+    kept = (1 - 1 / PERIOD) ** max(0, min(n, before + n - 1 - PERIOD))
+    return State(
+        left(FAST) * start.fast + own.fast,
+        left(SLOW) * start.slow + own.slow,
+        left(SIGNAL) * start.signal + lent(FAST) * start.fast - lent(SLOW) * start.slow + own.signal,
+        kept * start.gain + own.gain,
+        kept * start.loss + own.loss,
+    )
+
+
+def wilder_rsi(close: np.ndarray) -> np.ndarray:
+    """Null for the first PERIOD rows; the averages start as plain means of the first changes, then decay."""
+    return _advance(close, 0, None, State(None, None, None))[0]["rsi_14"] if len(close) else np.zeros(0)
+
+
+def recursive_indicators(bars: DataFrame, chunk: Column | None = None) -> DataFrame:
+    """bars with rsi_14, macd, macd_signal and macd_hist: recurrences over a ticker's whole history.
+
+    The history is cut into chunks (of ascending numbers, years if not given). One pass takes each chunk's averages from
+    zeros, the few chunks of a ticker are chained, and a second pass starts each chunk from its true state, so no task
+    holds more than a chunk. The input is written to the shared folder, as it is read three times.
+    """
+    path, names = shared_dir(bars.sparkSession, "closes"), bars.columns
+    bars.withColumn("__chunk", F.year("date") if chunk is None else chunk).write.parquet(path)
+    rows = bars.sparkSession.read.parquet(path)
+    sizes = rows.groupBy("ticker", "__chunk").agg(F.count("*").alias("__n"), F.max_by("close", "date").alias("__last"))  # a row a chunk
+    w = Window.partitionBy("ticker").orderBy("__chunk")
+    places = sizes.select("ticker", "__chunk", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.lag("__last").over(w).cast("double").alias("__previous"))
+
+    def place(own: pd.DataFrame) -> tuple[np.ndarray, int, float | None]:
+        before = int(own["__before"].iloc[0])
+        return own["close"].to_numpy(float), before, float(own["__previous"].iloc[0]) if before else None
+
+    def from_zeros(own: pd.DataFrame) -> pd.DataFrame:
+        close, before, previous = place(own.sort_values("date"))
+        _, end = _advance(close, before, previous, State(0.0, 0.0, 0.0) if before else State(None, None, None))
+        return pd.DataFrame({"ticker": own["ticker"].iloc[:1], "__chunk": own["__chunk"].iloc[:1], "n": len(own), "before": before, **{k: [v] for k, v in end._asdict().items()}})
+
+    def starts(own: pd.DataFrame) -> pd.DataFrame:
+        state, out = State(None, None, None), []
+        for r in own.sort_values("__chunk").to_dict("records"):
+            out.append((r["ticker"], r["__chunk"], *state))
+            state = _chained(state, State(*(r[c] for c in State._fields)), r["n"], r["before"])
+        return pd.DataFrame(out, columns=["ticker", "__chunk", *(f"__{c}" for c in State._fields)])
 
     def run(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("date")
-        close = own["close"].astype(float)
-        fast, slow = (close.ewm(span=n, adjust=False).mean() for n in (12, 26))
-        macd = fast - slow
-        signal = macd.ewm(span=9, adjust=False).mean()
-        return own.assign(rsi_14=wilder_rsi(close.to_numpy()), macd=macd, macd_signal=signal, macd_hist=macd - signal)
-
+        close, before, previous = place(own)
+        start = State(*(float(own[f"__{c}"].iloc[0]) if before else d for c, d in zip(State._fields, State(None, None, None))))
+        return own[names].assign(**_advance(close, before, previous, start)[0])
+
+    number = rows.schema["__chunk"].dataType.simpleString()
+    floats = lambda prefix: ", ".join(f"{prefix}{c} double" for c in State._fields)
+    placed = rows.join(places, ["ticker", "__chunk"])
+    own = placed.select("ticker", "__chunk", "date", "close", "__before", "__previous").groupBy("ticker", "__chunk").applyInPandas(from_zeros, f"ticker string, __chunk {number}, n long, before long, {floats('')}")
+    state = own.groupBy("ticker").applyInPandas(starts, f"ticker string, __chunk {number}, {floats('__')}")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in bars.schema)
-    out = bars.groupBy("ticker").applyInPandas(run, f"{kinds}, rsi_14 double, macd double, macd_signal double, macd_hist double")
+    out = placed.join(state, ["ticker", "__chunk"]).groupBy("ticker", "__chunk").applyInPandas(run, f"{kinds}, rsi_14 double, macd double, macd_signal double, macd_hist double")
     return out.withColumn("rsi_14", F.nanvl("rsi_14", F.lit(None).cast("double")))
 
 

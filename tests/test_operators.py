@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,19 @@ def test_rsi_against_a_plain_loop():
         g, l = (g * 13 + gains[k]) / 14, (l * 13 + losses[k]) / 14
 
 
+@pytest.mark.parametrize("per_chunk", [5, 14, 40])
+def test_chunks_change_no_recursive_indicator(spark, per_chunk):
+    close = np.random.default_rng(per_chunk).uniform(10, 20, 90)
+    rows = frame(spark, close.tolist()).unionByName(frame(spark, [5.0, 6.0, 4.0], "B"))
+    chunk = F.floor(F.datediff("date", F.lit(DAY)) / per_chunk)
+    got = indicators.recursive_indicators(rows, chunk).where("ticker = 'A'")
+    s = [pd.Series(close).ewm(span=n, adjust=False).mean() for n in (12, 26)]
+    macd = s[0] - s[1]
+    assert np.allclose(column(got, "macd"), macd) and np.allclose(column(got, "macd_signal"), macd.ewm(span=9, adjust=False).mean())
+    assert np.allclose(np.array(column(got, "rsi_14"), float), indicators.wilder_rsi(close), equal_nan=True)
+    assert np.allclose(np.array(column(got, "macd_hist")), macd - macd.ewm(span=9, adjust=False).mean())
+
+
 def test_rolling_windows_wait_until_full(spark):
     out = indicators.rolling_indicators(frame(spark, [float(k) for k in range(1, 26)]))
     assert column(out, "ma20")[:19] == [None] * 19 and column(out, "ma20")[19] == 10.5
