@@ -417,7 +417,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
         asked = found.select("node").distinct()
         texts = text_rows(docs, id_col, text_col).select(F.xxhash64("text").alias("text_key"), "text")
         sets = written(shingle_sets(texts.join(nodes.select("node", "text_key").join(asked, "node"), "text_key").dropDuplicates(["node"]), shingle), "shingle-sets")
-        heavy = found.groupBy("key").agg(F.ceil(F.sum(8 * F.col("size") + 256) / run_bytes).cast("int").alias("n")).where("n > 1")
+        blocks = F.ceil(F.greatest(F.sum(8 * F.col("size") + 256) / run_bytes, F.count("*") / run_rows))
+        heavy = found.groupBy("key").agg(blocks.cast("int").alias("n")).where("n > 1")
         heavy = written(heavy, "heavy")  # a few keys, so that no exchange by key is needed
         runs = in_blocks(found, heavy).join(nodes.select("node", "fp").join(sets, "node"), "node")
         links = dealt(runs).mapInArrow(_verified(parts, similarity, whole), "u long, v long")
