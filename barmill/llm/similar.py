@@ -351,8 +351,7 @@ def _verified(parts: Parts, similarity: float, limit: np.ndarray):
     exact = [k for k, t in enumerate(parts.thresholds) if t == 0]
 
     def links(block, part, node, root, size, fp, sets) -> Iterator[tuple[int, int]]:
-        names, group = np.unique(root, return_inverse=True)
-        del names
+        group = np.unique(root, return_inverse=True)[1]
         bits = _bits(fp)
         before = [k for k in exact if k < part]
         met = np.stack([_part_value(bits, parts.bits[k]) for k in before], axis=1) if before else np.zeros((len(node), 0), np.uint64)
