@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,11 +27,12 @@ _FACTS: dict[tuple[str, str], str] = {}
 def stored(spark, d) -> DataFrame:
     """The fact table of these inputs: bars with all indicators, written once in an application and read by every metric and measure."""
     key = (spark.sparkContext.applicationId, d)
-    if key not in _FACTS:
-        path = shared_dir(spark, "fact")
-        B.write_fact(I.add_indicators(bars(spark, d)), path)
-        _FACTS[key] = path
-    return spark.read.parquet(_FACTS[key])
+    try:
+        return spark.read.parquet(_FACTS[key])
+    except (KeyError, AnalysisException):  # not written yet, or cleared away
+        _FACTS[key] = shared_dir(spark, "fact")
+        B.write_fact(I.add_indicators(bars(spark, d)), _FACTS[key])
+        return spark.read.parquet(_FACTS[key])
 
 
 def metrics(spark, d) -> DataFrame:
