@@ -186,7 +186,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows, entries, _ = build_index(docs, id_col, text_col, capacity)
     last = rows.groupBy("key", "sha").agg(F.max(F.struct("doc_id", "row_no")).alias("last")).select("key", "sha", F.col("last.row_no").alias("keep_row"))
-    groups = entries.join(last, ["key", "sha"])
+    groups = written(entries.join(last, ["key", "sha"]), "dedup-groups")  # so that a hot text can be split in the join
     return rows.join(groups, ["key", "sha"]).select(
         "doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "bucket", "text_key"
     )
