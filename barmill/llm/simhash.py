@@ -307,5 +307,5 @@ def near_groups(docs: DataFrame, shingle: int = 3, tau: int = 2, id_col: str = "
     met = nodes.select("fp").mapInArrow(probe, "key long, fp long").repartition(n, "key").sortWithinPartitions("key")
     found = components(met.mapInArrow(_verified(tau), "u long, v long"))
     member = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = written(member.groupBy("root").agg(F.min("least").alias("component_id")), "groups")  # so that a hot root can be split in the join
     return rows.join(member.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "text_key", "fp", "component_id")
