@@ -759,6 +759,28 @@ def test_suspects_are_those_with_a_near_one_of_another_root():
     assert similar.near_others(run, block, root, size, first, limit).tolist() == want and any(want) and not all(want)
 
 
+# --- rows of any kind: nulls, repeats, columns whose names clash
+
+
+def test_spans_on_rows_of_any_kind(spark, docs):
+    more = docs.unionByName(docs.limit(1).withColumns({"doc_id": F.lit(20).cast("long"), "text": F.lit("a@b.cd secret=abcdef 4111111111111111")}))
+    more = more.withColumns({c: F.lit(1) for c in ("base", "added", "wider", "repo", "owner", "hash", "span", "__id", "__key", "n_live")})
+    want = Counter([*(i for i, _ in TEXTS), 20])
+    found = pii.find_pii(more).collect()
+    assert Counter(r["doc_id"] for r in found) == want and {r["doc_id"]: len(r["base"]) for r in found}[20] == 2 and all(not r["base"] for r in found if r["doc_id"] != 20)
+    assert Counter((r["doc_id"], r["text"]) for r in pii.redact(docs).collect()) == Counter((i, t or "") for i, t in TEXTS)
+    found = secrets_scan.find_secrets(more, repo=F.col("source"), owner=F.col("lang")).collect()
+    assert Counter(r["doc_id"] for r in found) == want and [(r["n_live"], len(r["base"])) for r in found if r["doc_id"] == 20] == [(1, 1)]
+
+
+def test_quality_on_rows_of_any_kind(spark, docs):
+    labels = spark.createDataFrame([(1, 1, "x"), (2, 1, "x"), (6, 0, "x"), (8, 0, "x"), (None, 1, "x"), (7, None, "x")], "doc_id long, quality int, text string")
+    clash = docs.withColumns({c: F.lit(1) for c in ("x", "label", "held_out", "__key", "__row", "__text", "__id")})
+    assert Counter(r["doc_id"] for r in quality.score(clash, labels).collect()) == Counter(i for i, _ in TEXTS)
+    kept = quality.keep_good(clash, labels)
+    assert kept.columns == clash.columns and kept.subtract(clash).isEmpty()
+
+
 # --- empty tables
 
 
