@@ -9,6 +9,7 @@ from barmill.functions import labels
 from barmill.functions.calendar import months_back
 from barmill.functions.numbers import pct
 from barmill.operators.metrics import close_at, with_latest
+from barmill.operators.ranking import percent_ranks
 from barmill.sources.bars import BENCHMARK
 
 
@@ -78,14 +79,11 @@ def snapshot(bars: DataFrame, dim: DataFrame, metrics: DataFrame, benchmark: str
 
 
 def sector_ranks(metrics: DataFrame) -> DataFrame:
-    """Rank in the sector by 1-year return and percentile of beta in the universe; a row a stock, so one task may order them all."""
-    known = metrics.where("beta is not null")
-    return known.select(
-        "ticker",
-        "sector",
-        F.rank().over(Window.partitionBy("sector").orderBy(F.desc_nulls_last("return_1y_pct"))).cast("long").alias("rank_in_sector"),
-        F.percent_rank().over(Window.orderBy("beta")).alias("beta_percentile"),
-    )
+    """Rank in the sector by 1-year return and percentile of beta in the universe, the latter by ranges of beta."""
+    known = metrics.where("beta is not null").select("ticker", "sector", "return_1y_pct", "beta")
+    own = percent_ranks(known, "beta", "beta_percentile")
+    in_sector = F.rank().over(Window.partitionBy("sector").orderBy(F.desc_nulls_last("return_1y_pct"))).cast("long")
+    return own.select("ticker", "sector", in_sector.alias("rank_in_sector"), "beta_percentile")
 
 
 def asof_closes(bars: DataFrame, targets: DataFrame) -> DataFrame:
