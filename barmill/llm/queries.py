@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmill.llm import bpe, decontaminate, exact_dedup, lm_scoring, pii, quality, secrets_scan, simhash, spans, token_counts, token_shards
+from barmill.llm import bpe, decontaminate, exact_dedup, filter_audit, lm_scoring, merkle, mixing, pii, quality, secrets_scan, simhash, spans, token_counts, token_shards
 from barmill.llm.common import documents
 
 QUERIES: dict = {}
@@ -143,3 +143,56 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_groups(documents(spark, sf_dir), shingle=3, tau=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@_query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of every language in all 120 orders."""
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (
+  SELECT part, coalesce(quality = 1, false)::INT AS good, coalesce(toxic = 1, false)::INT AS toxic,
+    [f for f in [
+      CASE WHEN len(w) < 100 THEN 'A' END,
+      CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+      CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+      CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END] if f IS NOT NULL] AS fails
+  FROM d LEFT JOIN labels USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT array_to_string(o, '') AS filter_order, step::INT AS step, o[step] AS own, o[1 : step - 1] AS before_ FROM o, range(1, 6) r(step)),
+r AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN NOT list_contains(fails, own) AND NOT list_has_any(fails, before_) THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN list_contains(fails, own) AND NOT list_has_any(fails, before_) THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN list_contains(fails, own) AND list_has_any(fails, before_) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = [own] THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN list_contains(fails, own) AND NOT list_has_any(fails, before_) THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN list_contains(fails, own) AND NOT list_has_any(fails, before_) THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether its row as tampered still gives the root."""
+    proofs, _ = merkle.manifest(documents(spark, sf_dir))
+    return merkle.verified(proofs)
+
+
+@_query
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of every document."""
+    rows, mixed = mixing.mix(documents(spark, sf_dir))
+    return mixing.taken(rows, mixed).select("doc_id", "size", "source_size", "target", "taken")
