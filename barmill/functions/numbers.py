@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 
 def round_significant(x: Column, digits: int = 6) -> Column:
-    """x to so many significant figures; zero and null pass through."""
-    scale = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(F.abs(x))))
-    return F.when(x == 0, x).otherwise(F.round(x * scale) / scale)
+    """x to so many significant figures; zero and null pass through.
+
+    Twice the figures are rounded first, so that halves go up however the last bits of x came about.
+    """
+
+    def to(y: Column, figures: int) -> Column:
+        scale = F.pow(F.lit(10.0), figures - 1 - F.floor(F.log10(F.abs(x))))
+        return F.round(y * scale) / scale
+
+    return F.when(x == 0, x).otherwise(to(to(x, 2 * digits), digits))
 
 
 def pct(a: Column, b: Column) -> Column:

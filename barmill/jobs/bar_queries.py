@@ -21,12 +21,19 @@ def bars(spark, d) -> DataFrame:
     return B.derived_bars(spark, d)
 
 
-_FACTS: dict[tuple[str, str], str] = {}
+_FACTS: dict[tuple, str] = {}
+
+
+def _state_of_inputs(spark, d) -> tuple:
+    """What changes when the files that bars are derived from do: their number, and a sum over names, sizes and times."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load([f"{d}/{t}.parquet" for t in ("lineitem", "supplier", "nation")])
+    own = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return tuple(files.agg(F.count("*"), F.sum(own)).first())
 
 
 def stored(spark, d) -> DataFrame:
-    """The fact table of these inputs: bars with all indicators, written once in an application and read by every metric and measure."""
-    key = (spark.sparkContext.applicationId, d)
+    """The fact table of these inputs: bars with all indicators, written once in an application for each state of the input files."""
+    key = (spark.sparkContext.applicationId, d, _state_of_inputs(spark, d))
     try:
         return spark.read.parquet(_FACTS[key])
     except (KeyError, AnalysisException):  # not written yet, or cleared away
@@ -126,14 +133,14 @@ def snk1(spark, d):
     return _written(spark, "bars", write).select("ticker", "date", *B.PRICES, "volume")
 
 
-@query("SNK2", O.STORED, "SELECT ticker, date, close, price_repaired FROM stored")
+@query("SNK2", O.STORED, O.FACT)
 def snk2(spark, d):
-    return _written(spark, "fact", lambda p: B.write_fact(cleaning.fact_columns(I.add_indicators(bars(spark, d))), p)).select("ticker", "date", "close", "price_repaired")
+    return _written(spark, "fact", lambda p: B.write_fact(cleaning.fact_columns(I.add_indicators(bars(spark, d))), p))
 
 
-@query("SNK3", O.METRICS, "SELECT ticker, beta, data_points FROM metrics")
+@query("SNK3", O.METRICS, "SELECT * FROM metrics")
 def snk3(spark, d):
-    return _written(spark, "metrics", lambda p: B.write_metrics(metrics(spark, d), p)).select("ticker", "beta", "data_points")
+    return _written(spark, "metrics", lambda p: B.write_metrics(metrics(spark, d), p))
 
 
 @query("FLT1", O.DIRTY, "SELECT ticker, date, close, source_rank FROM dirty WHERE close IS NOT NULL")
@@ -148,7 +155,7 @@ def flt2(spark, d):
 
 @query("FLT3", O.BARS, "SELECT ticker, date, close FROM bars WHERE date < DATE '2000-03-01'")
 def flt3(spark, d):
-    return cleaning.drop_incomplete_session(bars(spark, d).where("date <= DATE '2000-03-01'"), F.lit("2000-03-01 15:29:00").cast("timestamp")).select("ticker", "date", "close")
+    return cleaning.drop_incomplete_session(bars(spark, d), F.lit("2000-03-01 15:29:00").cast("timestamp")).select("ticker", "date", "close")
 
 
 @query("FLT4", O.BARS, "SELECT ticker, date, close FROM bars WHERE date >= (SELECT min(date) FROM bars WHERE ticker = 'INDEX')")
@@ -157,9 +164,9 @@ def flt4(spark, d):
     return cleaning.benchmark_window(own, own.where(F.col("ticker") == B.BENCHMARK)).select("ticker", "date", "close")
 
 
-@query("FLT5", O.STORED, "SELECT ticker, date, open, high, low, close, volume, ret AS daily_return_pct, rsi_14, price_repaired FROM stored")
+@query("FLT5", O.STORED, O.FACT)
 def flt5(spark, d):
-    return cleaning.fact_columns(stored(spark, d)).select("ticker", "date", *B.PRICES, "volume", "daily_return_pct", "rsi_14", "price_repaired")
+    return cleaning.fact_columns(stored(spark, d))
 
 
 @query("FLT6", O.PRICES, "SELECT ticker, high_52w, low_52w FROM priced")
@@ -258,7 +265,7 @@ def _metric(name: str, columns: dict[str, str]):
 
 
 def _by_ticker(spark, d, *aggregates) -> DataFrame:
-    return M.with_latest(M.with_drawdown(M.with_market(stored(spark, d)))).groupBy("ticker").agg(*aggregates)
+    return M.with_latest(M.with_market(stored(spark, d))).groupBy("ticker").agg(*aggregates)
 
 
 @_metric("AGG1", {"beta": "beta"})
@@ -288,7 +295,7 @@ def agg5(spark, d):
 
 @_metric("AGG6", {"max_drawdown_pct": "max_drawdown_pct"})
 def agg6(spark, d):
-    return _by_ticker(spark, d, F.round(F.min("drawdown"), 2).alias("max_drawdown_pct"))
+    return M.worst_drawdown(M.with_market(stored(spark, d)))
 
 
 @_metric("AGG7", {f"return_{n}y_pct": f"return_{n}y_pct" for n in (1, 3, 5)})
@@ -329,12 +336,12 @@ def agg19(spark, d):
 
 @query("WIN1", O.FIXED, "SELECT ticker, date, round((close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1) * 100, 4) AS daily_return_pct FROM fixed")
 def win1(spark, d):
-    return cleaning.repair_bad_ticks(bars(spark, d)).select("ticker", "date", F.round(I.daily_return(), 4).alias("daily_return_pct"))
+    return I.repaired_rolling(bars(spark, d)).select("ticker", "date", F.round("daily_return_pct", 4).alias("daily_return_pct"))
 
 
 @query("WIN2", O.ROLLED, f"SELECT ticker, date, {_r6('ma20', 'ma50', 'ma200')} FROM rolled")
 def win2(spark, d):
-    return I.rolling_indicators(cleaning.repair_bad_ticks(bars(spark, d))).select("ticker", "date", *r6("ma20", "ma50", "ma200"))
+    return I.repaired_rolling(bars(spark, d)).select("ticker", "date", *r6("ma20", "ma50", "ma200"))
 
 
 _BANDS = "round(ma20 + 2 * s20, 5) AS bb_upper, round(ma20 - 2 * s20, 5) AS bb_lower, round(4 * s20 / ma20 * 100, 4) AS bb_width"
@@ -342,7 +349,7 @@ _BANDS = "round(ma20 + 2 * s20, 5) AS bb_upper, round(ma20 - 2 * s20, 5) AS bb_l
 
 @query("WIN3", O.ROLLED, f"SELECT ticker, date, {_BANDS} FROM rolled")
 def win3(spark, d):
-    return I.rolling_indicators(cleaning.repair_bad_ticks(bars(spark, d))).select("ticker", "date", F.round("bb_upper", 5).alias("bb_upper"), F.round("bb_lower", 5).alias("bb_lower"), F.round("bb_width", 4).alias("bb_width"))
+    return I.repaired_rolling(bars(spark, d)).select("ticker", "date", F.round("bb_upper", 5).alias("bb_upper"), F.round("bb_lower", 5).alias("bb_lower"), F.round("bb_width", 4).alias("bb_width"))
 
 
 @query("WIN4", O.FIXED, "SELECT ticker, date, price_repaired FROM fixed")
@@ -367,7 +374,7 @@ def win7(spark, d):
 
 @query("WIN8", O.FIXED, "SELECT ticker, date, round((close - max(close) OVER w) / max(close) OVER w * 100, 6) AS drawdown FROM fixed WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING)")
 def win8(spark, d):
-    return cleaning.repair_bad_ticks(bars(spark, d)).select("ticker", "date", F.round(I.drawdown(), 6).alias("drawdown"))
+    return I.drawdown(cleaning.repair_bad_ticks(bars(spark, d))).select("ticker", "date", F.round("drawdown", 6).alias("drawdown"))
 
 
 @query("WIN9", O.PRICES, "SELECT ticker, price, previous_close, round(daily_change_pct, 6) AS daily_change_pct FROM priced")

@@ -13,6 +13,7 @@ from barmill.operators import metrics as M
 from barmill.sources import bars as B
 from barmill.sources.shared import shared_dir
 from barmill.streaming import bars as S
+from barmill.streaming import upserts
 
 _LATEST = O.BARS + ", latest AS (SELECT ticker, max(date) AS latest FROM bars GROUP BY ticker), mid AS (SELECT quantile_disc(latest, 0.5) AS expected FROM latest)"
 
@@ -89,15 +90,20 @@ def agg21(spark, d):
     return monitoring.failures(B.run_log(spark, d))
 
 
-@query("AGG22", O.LOG, "SELECT run_id, count(*) AS tickers, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in ("gained", "skipped", "not_final", "failed", "no_data", "ok")) + " FROM log GROUP BY run_id")
+@query("AGG22", O.LOG, "SELECT run_id, count(*) AS tickers, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in ("gained", "skipped", "not_final", "failed", "no_data", "ok")) + ", cast(sum(repaired) AS BIGINT) AS repaired FROM log GROUP BY run_id")
 def agg22(spark, d):
     return monitoring.run_summary(B.run_log(spark, d))
 
 
-@query("AGG23", O.BARS, "SELECT newest, cast((SELECT count(*) FROM (SELECT unnest(range(1, 15)) AS i) WHERE newest + cast(i AS INT) <= newest + 11 AND isodow(newest + cast(i AS INT)) <= 5) AS BIGINT) AS weekdays_missed, true AS alert FROM (SELECT max(date) AS newest FROM bars)")
+_MISSED = "cast((SELECT count(*) FROM (SELECT unnest(range(1, 15)) AS i) WHERE i <= later AND isodow(newest + cast(i AS INT)) <= 5) AS BIGINT)"
+
+
+@query("AGG23", O.BARS, f"SELECT later, newest, {_MISSED} AS weekdays_missed, {_MISSED} > 3 AS alert FROM (SELECT max(date) AS newest FROM bars), (SELECT unnest([2, 5, 11]) AS later)")
 def agg23(spark, d):
-    """As of eleven days after the newest bar."""
-    return monitoring.staleness(bars(spark, d), F.date_add("newest", 11))
+    """As of some days after the newest bar, fewer and more than may pass."""
+    own = bars(spark, d)
+    each = [monitoring.staleness(own, F.date_add("newest", n)).select(F.lit(n).alias("later"), "*") for n in (2, 5, 11)]
+    return each[0].unionByName(each[1]).unionByName(each[2])
 
 
 @query("AGG24", O.METRICS, "SELECT ticker, data_points FROM metrics WHERE coalesce(data_points, 0) < 1500")
@@ -106,10 +112,20 @@ def agg24(spark, d):
     return quality.little_history(metrics(spark, d), least=1500).select("ticker", "data_points")
 
 
-@query("AGG25", O.BARS, "SELECT (SELECT count(*) FROM bars) AS rows_a, (SELECT count(DISTINCT ticker) FROM bars) AS tickers_a, (SELECT max(date) FROM bars) AS newest_a, count(*) AS rows_b, count(DISTINCT ticker) AS tickers_b, max(date) AS newest_b, false AS same FROM bars WHERE ticker <> 'INDEX'")
+_COPY = "(SELECT 'whole' AS copy, * FROM bars UNION ALL SELECT 'short', * FROM bars WHERE ticker <> 'INDEX')"
+
+
+@query(
+    "AGG25",
+    O.BARS + ", a AS (SELECT count(*) AS rows_a, count(DISTINCT ticker) AS tickers_a, max(date) AS newest_a FROM bars)" + f", b AS (SELECT copy, count(*) AS rows_b, count(DISTINCT ticker) AS tickers_b, max(date) AS newest_b FROM {_COPY} GROUP BY copy)",
+    "SELECT *, rows_a = rows_b AND tickers_a = tickers_b AND newest_a = newest_b AS same FROM a, b",
+)
 def agg25(spark, d):
+    """A whole copy, and one without the benchmark."""
     own = bars(spark, d)
-    return quality.copy_parity(own, own.where(F.col("ticker") != B.BENCHMARK))
+    copies = {"whole": own.select("*"), "short": own.where(F.col("ticker") != B.BENCHMARK)}
+    whole, short = (quality.copy_parity(own, c).withColumn("copy", F.lit(name)) for name, c in copies.items())
+    return whole.unionByName(short)
 
 
 def _near(new: str, old: str, rtol: str, atol: str) -> str:
@@ -119,7 +135,7 @@ def _near(new: str, old: str, rtol: str, atol: str) -> str:
 _RECHECK = (
     O.STORED
     + f""",
-kept AS (SELECT ticker, date, close, ret, rsi_14, ma20, ma50, ma200, {O.sig6('(ma20_ + 2 * s20)')} AS bb_upper, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn FROM stored),
+kept AS (SELECT ticker, date, close, ret, rsi_14, ma20, ma50, ma200, bb_upper, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn FROM stored),
 anew AS (SELECT *, close - lag(close) OVER (PARTITION BY ticker ORDER BY date) AS ch, (close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1) * 100 AS r2, """
     + ", ".join(f"CASE WHEN count(close) OVER {O._frame(n)} = {n} THEN avg(close) OVER {O._frame(n)} END AS m{n}" for n in (20, 50, 200))
     + f""", CASE WHEN count(close) OVER {O._frame(20)} = 20 THEN avg(close) OVER {O._frame(20)} + 2 * stddev_samp(close) OVER {O._frame(20)} END AS up FROM kept),
@@ -145,16 +161,22 @@ def agg26(spark, d):
 
 _SLOPE = "CASE WHEN count(ps) >= 60 THEN regr_slope(ps, pm) END"
 _SAME = "coalesce(abs({a} - {b}) <= {tol}::DOUBLE, {a} IS NULL AND {b} IS NULL)"
+_WRONG = {"beta": "NATION_3", "sharpe": "NATION_7", "down": "NATION_12"}
 
 
 @query(
     "AGG27",
-    O.MARKET + f", both_ AS (SELECT ticker, {O.BY_METRIC['beta']} AS beta, {_SLOPE} AS slope, {O.BY_METRIC['sharpe_ratio']} AS sharpe, {O.BY_METRIC['sharpe_ratio'].replace('round(', '(').replace(', 3)', ')')} AS sharpe2, {O.BY_METRIC['max_drawdown_pct']} AS down, min(dd) AS down2 FROM peaked GROUP BY ticker)",
+    O.MARKET
+    + f", both_ AS (SELECT ticker, {O.BY_METRIC['beta']} + CASE WHEN ticker = '{_WRONG['beta']}' THEN 0.5::DOUBLE ELSE 0 END AS beta, {_SLOPE} AS slope, {O.BY_METRIC['sharpe_ratio']} + CASE WHEN ticker = '{_WRONG['sharpe']}' THEN 0.5::DOUBLE ELSE 0 END AS sharpe, "
+    + f"{O.BY_METRIC['sharpe_ratio'].replace('round(', '(').replace(', 3)', ')')} AS sharpe2, {O.BY_METRIC['max_drawdown_pct']} - CASE WHEN ticker = '{_WRONG['down']}' THEN 0.5::DOUBLE ELSE 0 END AS down, min(dd) AS down2 FROM peaked GROUP BY ticker)",
     "SELECT ticker, " + ", ".join(f"{_SAME.format(a=a, b=b, tol=tol)} AS {name}" for a, b, tol, name in (("beta", "slope", "0.01", "beta_ok"), ("sharpe", "sharpe2", "0.01", "sharpe_ok"), ("down", "down2", "0.05", "drawdown_ok"))) + " FROM both_",
 )
 def agg27(spark, d):
-    own = stored(spark, d)
-    return quality.metric_recheck(own, M.ticker_metrics(own))
+    """Metrics as they were stored, one of three stocks each altered before, against others of the bars."""
+    path, wrong = shared_dir(spark, "metrics"), lambda k: F.when(F.col("ticker") == _WRONG[k], 0.5).otherwise(0.0)
+    altered = metrics(spark, d).withColumns({"beta": F.col("beta") + wrong("beta"), "sharpe_ratio": F.col("sharpe_ratio") + wrong("sharpe"), "max_drawdown_pct": F.col("max_drawdown_pct") - wrong("down")})
+    B.write_metrics(altered, path)
+    return quality.metric_recheck(stored(spark, d), spark.read.parquet(path))
 
 
 @query("TOP1", O.METRICS, "(SELECT 'high' AS side, ticker, beta FROM metrics WHERE beta IS NOT NULL ORDER BY beta DESC, ticker LIMIT 3) UNION ALL (SELECT 'low', ticker, beta FROM metrics WHERE beta IS NOT NULL ORDER BY beta, ticker LIMIT 3)")
@@ -182,17 +204,17 @@ def top4(spark, d):
     return own.join(F.broadcast(sample), "ticker", "left_semi").groupBy("ticker").agg(F.count("*").alias("n_rows"))
 
 
-@query("STR1", O.STORED, "SELECT ticker, date, open, high, low, close, volume, ret AS daily_return_pct, rsi_14, price_repaired FROM stored")
+@query("STR1", O.STORED, O.FACT)
 def str1(spark, d):
-    """Bars up to 2000 land, some of them not final, and the stream runs; then their final versions and the later bars, and it runs again."""
+    """Bars up to 2000 land, some of them not final, and the stream runs; then their final versions, the later bars and some look-back that is stored already, and it runs again."""
     landed, table, checkpoint = (shared_dir(spark, n) for n in ("landed", "upserted", "progress"))
     final, open_ = bars(spark, d), (F.dayofmonth("date") == 21) & (F.col("date") < "2001-01-01")
     first = final.where("date < DATE '2001-01-01'").withColumns({"close": F.when(open_, F.col("close") + 1).otherwise(F.col("close")), "source_rank": F.lit(0), "seq": F.lit(0)})
-    second = final.where(open_ | (F.col("date") >= "2001-01-01")).withColumns({"source_rank": F.lit(1), "seq": F.lit(1)})
+    second = final.where(open_ | (F.col("date") >= "2000-11-01")).withColumns({"source_rank": F.lit(1), "seq": F.lit(1)})
     for rows in (first, second):
         rows.write.mode("append").parquet(landed)
-        S.upsert_landed(spark, landed, first.schema, table, checkpoint)
-    return S.current(spark, table, "indicators").select("ticker", "date", *B.PRICES, "volume", "daily_return_pct", "rsi_14", "price_repaired")
+        upserts.upsert_landed(spark, landed, first.schema, table, checkpoint)
+    return upserts.current(spark, table).select(*B.FACT_COLUMNS)
 
 
 def _final(spark, d) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 def sig6(x: str) -> str:
     scale = f"pow(10.0, 5 - floor(log10(abs({x}))))"
-    return f"CASE WHEN {x} = 0 THEN {x} ELSE round({x} * {scale}) / {scale} END"
+    finer = f"pow(10.0, 11 - floor(log10(abs({x}))))"
+    return f"CASE WHEN {x} = 0 THEN {x} ELSE round(round({x} * {finer}) / {finer} * {scale}) / {scale} END"
 
 
 BARS = """
@@ -72,10 +73,13 @@ full_ AS (
 
 STORED = (
     RECURSIVE
+    + ",\nbanded AS (SELECT *, ma20 + 2 * s20 AS bb_upper, ma20 - 2 * s20 AS bb_lower FROM full_)"
     + ",\nstored AS (SELECT ticker, date, volume, price_repaired, "
-    + ", ".join(f"{sig6(c)} AS {c}" for c in ("open", "high", "low", "close", "ma20", "ma50", "ma200"))
-    + ", round(ret, 4) AS ret, round(rsi, 4) AS rsi_14, ma20 AS ma20_, ma50 AS ma50_, ma200 AS ma200_, s20 FROM full_)"
+    + ", ".join(f"{sig6(c)} AS {c}" for c in ("open", "high", "low", "close", "ma20", "ma50", "ma200", "macd", "macd_signal", "macd_hist", "bb_upper", "bb_lower"))
+    + ", round(ret, 4) AS ret, round(rsi, 4) AS rsi_14, round(4 * s20 / ma20 * 100, 4) AS bb_width, ma20 AS ma20_, ma50 AS ma50_, ma200 AS ma200_, s20 FROM banded)"
 )
+#: All columns of the fact.
+FACT = "SELECT ticker, date, open, high, low, close, volume, price_repaired, ret AS daily_return_pct, ma20, ma50, ma200, rsi_14, macd, macd_signal, macd_hist, bb_upper, bb_lower, bb_width FROM stored"
 
 MARKET = (
     STORED
@@ -169,7 +173,7 @@ dirty AS (
 LOG = """
 log AS (
   SELECT cast(cast(ts AS DATE) - DATE '2020-01-01' AS BIGINT) AS run_id, cast(user_id AS VARCHAR) AS ticker,
-    CASE WHEN arg_max(event_type, row(ts, event_id)) = 'error' THEN 'failed' ELSE 'ok' END AS status
+    CASE WHEN arg_max(event_type, row(ts, event_id)) = 'error' THEN 'failed' ELSE 'ok' END AS status, count(*) FILTER (WHERE value > 40) AS repaired
   FROM events GROUP BY 1, 2)"""
 
 SPENT = """

@@ -8,11 +8,12 @@ from pyspark.sql.window import WindowSpec
 
 from barmill.functions import calendar
 from barmill.functions.numbers import round_significant
+from barmill.operators import chunks
 from barmill.sources.bars import BENCHMARK, FACT_COLUMNS, PRICES
 
 
-def by_date() -> WindowSpec:
-    return Window.partitionBy("ticker").orderBy("date")
+def by_date(*within: str) -> WindowSpec:
+    return Window.partitionBy(*(within or ("ticker",))).orderBy("date")
 
 
 def drop_open_sessions(bars: DataFrame) -> DataFrame:
@@ -59,16 +60,27 @@ def new_rows(merged: DataFrame, stored: DataFrame) -> DataFrame:
     return later.groupBy("ticker").agg(F.count("*").alias("gained"))
 
 
-def flag_bad_ticks(bars: DataFrame, jump: float = 0.40, revert: float = 0.20) -> DataFrame:
-    """price_repaired: the close jumps away from both neighbours while these agree. The first and last row never are."""
-    before, after, close = F.lag("close").over(by_date()), F.lead("close").over(by_date()), F.col("close")
+def flags(bars: DataFrame, jump: float = 0.40, revert: float = 0.20, within: tuple[str, ...] = chunks.WITHIN) -> DataFrame:
+    """bars with price_repaired, __before and __after (the closes beside each), of rows that were dealt with a halo."""
+    w, close = by_date(*within), F.col("close")
+    before, after = F.lag("close").over(w), F.lead("close").over(w)
     move = lambda a, b: F.abs(F.try_divide(a, b) - 1)
     bad = (move(close, before) > jump) & (move(close, after) > jump) & (move(after, before) < revert)
     return bars.withColumns({"__before": before, "__after": after, "price_repaired": F.coalesce(bad, F.lit(False))})
 
 
-def repair_bad_ticks(bars: DataFrame, jump: float = 0.40, revert: float = 0.20) -> DataFrame:
-    """Flagged rows are scaled so that their close is the mean of the raw neighbours' closes."""
+def repaired(bars: DataFrame, jump: float = 0.40, revert: float = 0.20, within: tuple[str, ...] = chunks.WITHIN) -> DataFrame:
+    """Rows that flags() finds are scaled so that their close is the mean of the raw neighbours' closes."""
     factor = (F.col("__before") + F.col("__after")) / 2 / F.col("close")
     fixed = {c: F.when(F.col("price_repaired"), round_significant(F.col(c) * factor)).otherwise(F.col(c)) for c in PRICES}
-    return flag_bad_ticks(bars, jump, revert).withColumns(fixed).drop("__before", "__after")
+    return flags(bars, jump, revert, within).withColumns(fixed).drop("__before", "__after")
+
+
+def flag_bad_ticks(bars: DataFrame, jump: float = 0.40, revert: float = 0.20, rows: int = chunks.ROWS) -> DataFrame:
+    """price_repaired: the close jumps away from both neighbours while these agree. The first and last row never are."""
+    return chunks.core(flags(chunks.dealt(bars, 1, 1, rows), jump, revert).drop("__before", "__after"))
+
+
+def repair_bad_ticks(bars: DataFrame, jump: float = 0.40, revert: float = 0.20, rows: int = chunks.ROWS) -> DataFrame:
+    """Flagged rows are scaled so that their close is the mean of the raw neighbours' closes."""
+    return chunks.core(repaired(chunks.dealt(bars, 1, 1, rows), jump, revert))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barmill.functions import labels
 from barmill.functions.calendar import months_back
 from barmill.functions.numbers import pct
+from barmill.operators import chunks
 from barmill.operators.metrics import close_at, with_latest
 from barmill.operators.ranking import percent_ranks
 from barmill.sources.bars import BENCHMARK
@@ -89,8 +90,13 @@ def sector_ranks(metrics: DataFrame) -> DataFrame:
 def asof_closes(bars: DataFrame, targets: DataFrame) -> DataFrame:
     """(ticker, target, close): the last close at or before each of many targets a ticker; null where there is none.
 
-    Bars and targets are one sorted stream a ticker, so no range join is made.
+    Bars and targets are sorted streams of a ticker's months, each of which takes the last close of the months before, so
+    no range join is made and a ticker with many rows or targets spreads over tasks.
     """
-    both = bars.select("ticker", "date", "close", F.lit(0).alias("__kind")).unionByName(targets.select("ticker", F.col("target").alias("date"), F.lit(None).cast("double").alias("close"), F.lit(1).alias("__kind")))
-    w = Window.partitionBy("ticker").orderBy("date", "__kind").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("close", F.last("close", ignorenulls=True).over(w)).where("__kind = 1").select("ticker", F.col("date").alias("target"), "close")
+    kind = lambda k: F.lit(k).alias("__kind")
+    both = bars.select("ticker", "date", "close", kind(0)).unionByName(targets.select("ticker", F.col("target").alias("date"), F.lit(None).cast("double").alias("close"), kind(1))).withColumn("__month", chunks.month())
+    last = both.groupBy("ticker", "__month").agg(F.max_by("close", F.when(F.col("close").isNotNull(), F.col("date"))).alias("__last"))
+    earlier = chunks.carried(last, F.last("__last", ignorenulls=True), "__earlier").drop("__last")
+    inside = F.last("close", ignorenulls=True).over(Window.partitionBy("ticker", "__month").orderBy("date", "__kind").rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("__inside", inside).where("__kind = 1").join(earlier, ["ticker", "__month"])
+    return found.select("ticker", F.col("date").alias("target"), F.coalesce("__inside", "__earlier").alias("close"))

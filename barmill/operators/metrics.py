@@ -1,4 +1,4 @@
-"""Risk metrics of each ticker against the benchmark: one exchange on the ticker feeds the windows and the aggregate."""
+"""Risk metrics of each ticker against the benchmark: conditional aggregates, and drawdown as a merge of months."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmill.functions.calendar import months_back
+from barmill.operators import indicators as I
 from barmill.sources.bars import BENCHMARK
 
 LEAST, TRADING_DAYS, RISK_FREE = 60, 252, 0.065
@@ -60,10 +61,9 @@ def volatility() -> Column:
     return F.round(_enough(F.count(_windowed()), F.stddev_samp(_windowed()) * F.sqrt(F.lit(float(TRADING_DAYS)))), 2)
 
 
-def with_drawdown(rows: DataFrame) -> DataFrame:
-    """drawdown of rows in the window, from the highest close in the window so far."""
-    peak = F.max(_windowed("close")).over(Window.partitionBy("ticker").orderBy("date").rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("drawdown", F.when(F.col("in_window"), F.try_divide(F.col("close") - peak, peak) * 100))
+def worst_drawdown(rows: DataFrame) -> DataFrame:
+    """(ticker, max_drawdown_pct) of rows in the window, from the highest close in the window so far; a merge of months."""
+    return I.max_drawdown(rows.withColumn("__close", _windowed("close")), "__close").withColumn("max_drawdown_pct", F.round("max_drawdown_pct", 2))
 
 
 def with_latest(rows: DataFrame) -> DataFrame:
@@ -82,13 +82,12 @@ def trailing_return(months: int) -> Column:
 
 def ticker_metrics(bars: DataFrame) -> DataFrame:
     """Every metric, one row a stock that has bars; reads the stored, rounded columns."""
-    rows = with_latest(with_drawdown(with_market(bars)))
-    return rows.groupBy("ticker").agg(
+    rows = with_market(bars)
+    metrics = with_latest(rows).groupBy("ticker").agg(
         beta().alias("beta"),
         sharpe().alias("sharpe_ratio"),
         correlation().alias("correlation"),
         volatility().alias("annual_volatility_pct"),
-        F.round(F.min("drawdown"), 2).alias("max_drawdown_pct"),
         *(F.round(trailing_return(12 * n), 2).alias(f"return_{n}y_pct") for n in (1, 3, 5)),
         F.max_by("rsi_14", F.when(F.col("rsi_14").isNotNull(), F.col("date"))).alias("latest_rsi"),
         F.max_by("close", "date").alias("latest_close"),
@@ -96,6 +95,7 @@ def ticker_metrics(bars: DataFrame) -> DataFrame:
         F.count("*").alias("data_points"),
         F.min(F.when(F.col("in_window"), F.col("date"))).alias("risk_window_start"),
     )
+    return metrics.join(worst_drawdown(rows), "ticker")
 
 
 def stock_metrics(bars: DataFrame, dim: DataFrame) -> DataFrame:

@@ -73,8 +73,9 @@ def lag_counters(log: DataFrame, persistent: int = 5) -> DataFrame:
 
 
 def run_summary(log: DataFrame) -> DataFrame:
-    outcome = {s: F.count_if(F.col("status") == s).alias(s) for s in ("gained", "skipped", "not_final", "failed", "no_data", "ok")}
-    return log.groupBy("run_id").agg(F.count("*").alias("tickers"), *outcome.values())
+    """A row a run: tickers tried, how many came to each outcome, and the bars repaired in all (log.repaired; a null counts as none)."""
+    outcome = [F.count_if(F.col("status") == s).alias(s) for s in ("gained", "skipped", "not_final", "failed", "no_data", "ok")]
+    return log.groupBy("run_id").agg(F.count("*").alias("tickers"), *outcome, F.coalesce(F.sum("repaired"), F.lit(0)).alias("repaired"))
 
 
 def outcomes(stored: DataFrame, landed: DataFrame, clean: DataFrame, newest: Column) -> DataFrame:

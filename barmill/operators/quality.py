@@ -97,11 +97,11 @@ def indicator_recheck(bars: DataFrame) -> DataFrame:
 
     Tolerances: averages and the upper band a ten-thousandth, returns 0.001, RSI 0.01 beside the usual hundred-thousandth.
     """
-    again = {"r": I.daily_return(), "m20": I.moving_average(20), "m50": I.moving_average(50), "m200": I.moving_average(200), "up": I.bollinger()["bb_upper"]}
     stored = ("daily_return_pct", "ma20", "ma50", "ma200", "bb_upper", "rsi_14")
-    rows = bars.select("ticker", "date", "close", *(F.col(c).alias(f"__{c}") for c in stored)).withColumns(again)
-    rows = I.recursive_indicators(rows)
-    ok = lambda new, c, rtol, atol: F.coalesce(F.bool_and(close_to(F.col(new), F.col(f"__{c}"), rtol, atol)), F.lit(True))
+    again = {"r": I.daily_return(), "m20": I.moving_average(20), "m50": I.moving_average(50), "m200": I.moving_average(200), "up": I.bollinger()["bb_upper"]}
+    kept = bars.select("ticker", "date", "close", *(F.col(c).alias(f"stored_{c}") for c in stored))
+    rows = I.with_recursive(kept, again)
+    ok = lambda new, c, rtol, atol: F.coalesce(F.bool_and(close_to(F.col(new), F.col(f"stored_{c}"), rtol, atol)), F.lit(True))
     return rows.groupBy("ticker").agg(
         ok("r", "daily_return_pct", 1e-5, 1e-3).alias("return_ok"),
         *(ok(f"m{n}", f"ma{n}", 1e-4, 1e-8).alias(f"ma{n}_ok") for n in (20, 50, 200)),
@@ -111,8 +111,15 @@ def indicator_recheck(bars: DataFrame) -> DataFrame:
 
 
 def metric_recheck(bars: DataFrame, metrics: DataFrame) -> DataFrame:
-    """By ticker, whether beta by slope, Sharpe and drawdown agree with the stored ones, all over the benchmark window."""
-    rows = M.with_drawdown(M.with_market(bars))
-    new = rows.groupBy("ticker").agg(M.beta_by_slope().alias("b"), M.sharpe().alias("s"), F.min("drawdown").alias("d"))
+    """By ticker, whether stored metrics agree with others of the bars, over the benchmark window.
+
+    Beta is recomputed as a slope, Sharpe from sums and sums of squares, and drawdown from the running peak of every row.
+    """
+    rows = I.drawdown(M.with_market(bars).withColumn("__close", F.when(F.col("in_window"), F.col("close"))), "__close")
+    x = F.when(F.col("in_window"), F.col("daily_return_pct"))
+    n, mean = F.count(x), F.sum(x) / F.count(x)
+    spread = F.sqrt((F.sum(x * x) - F.sum(x) * mean) / (n - 1))
+    sharpe = F.when(n >= M.LEAST, F.try_divide(mean - M.RISK_FREE / M.TRADING_DAYS * 100, spread) * F.sqrt(F.lit(float(M.TRADING_DAYS))))
+    new = rows.groupBy("ticker").agg(M.beta_by_slope().alias("b"), sharpe.alias("s"), F.min("drawdown").alias("d"))
     near = lambda stored, again, tol: F.coalesce(F.abs(F.col(stored) - F.col(again)) <= tol, F.col(stored).isNull() & F.col(again).isNull())
     return metrics.select("ticker", "beta", "sharpe_ratio", "max_drawdown_pct").join(new, "ticker").select("ticker", near("beta", "b", 0.01).alias("beta_ok"), near("sharpe_ratio", "s", 0.01).alias("sharpe_ok"), near("max_drawdown_pct", "d", 0.05).alias("drawdown_ok"))

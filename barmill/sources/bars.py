@@ -126,11 +126,11 @@ def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run_id, ticker, status): a user's last event of a day decides whether the run of that day failed."""
+    """(run_id, ticker, status, repaired): a user's last event of a day decides whether the run of that day failed; one of a value above 40 is a repair."""
     events = tables(spark, sf_dir, "events")[0]
     day = F.datediff(F.col("ts").cast("date"), F.lit("2020-01-01").cast("date"))
     last = F.max_by("event_type", F.struct("ts", "event_id"))
-    return events.groupBy(day.cast("long").alias("run_id"), F.col("user_id").cast("string").alias("ticker")).agg(F.when(last == "error", "failed").otherwise("ok").alias("status"))
+    return events.groupBy(day.cast("long").alias("run_id"), F.col("user_id").cast("string").alias("ticker")).agg(F.when(last == "error", "failed").otherwise("ok").alias("status"), F.count_if(F.col("value") > 40).alias("repaired"))
 
 
 def event_bars(events: DataFrame, width: str = "1 day") -> DataFrame:

@@ -1,61 +1,18 @@
-"""Bars as streams: upserts of landed files, final sessions by watermark, failure counters as keyed state."""
+"""Bars as streams: final sessions by watermark, failure counters as keyed state."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from barmill.operators.cleaning import upsert
-from barmill.operators.indicators import add_indicators
 from barmill.sources.bars import event_bars
 
 
-def current(spark: SparkSession, table: str, name: str = "bars", before: int | None = None) -> DataFrame | None:
-    """The newest version of each ticker's rows, as the table's log has it; None if nothing was logged yet. before: only versions below."""
-    try:
-        log = spark.read.parquet(f"{table}/log")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    log = log if before is None else log.where(F.col("version") < before)
-    newest = log.groupBy("ticker").agg(F.max("version").alias("version"))
-    if newest.isEmpty():
-        return None
-    return spark.read.option("basePath", f"{table}/{name}").parquet(f"{table}/{name}").join(newest, ["ticker", "version"], "left_semi").drop("version")
-
-
-def upsert_landed(spark: SparkSession, landed: str, schema: StructType, table: str, checkpoint: str) -> None:
-    """Merges files that landed since the last run, later versions of a bar replacing earlier ones, and the indicators of the tickers they touch.
-
-    landed rows: RAW_BARS with source_rank and seq. Each batch writes the whole history of its tickers as a new version
-    (bars, and indicators computed of them) and then names it in the log, which readers go by: until then, and if the
-    batch fails, they see the version before. A batch that is run again writes the same version. Old versions stay.
-    """
-
-    def merge(batch: DataFrame, version: int) -> None:
-        own = batch.sparkSession
-        fresh = batch.select(*schema.fieldNames())
-        touched = fresh.select("ticker").distinct()
-        stored = current(own, table, before=version)
-        both = fresh
-        if stored is not None:
-            both = stored.join(touched, "ticker", "left_semi").withColumns({"source_rank": F.lit(-1), "seq": F.lit(0)}).select(*fresh.columns).unionByName(fresh)
-        upsert(both).withColumn("version", F.lit(version)).write.mode("overwrite").partitionBy("version").option("partitionOverwriteMode", "dynamic").parquet(f"{table}/bars")
-        merged = own.read.parquet(f"{table}/bars").where(F.col("version") == version).drop("version")
-        add_indicators(merged).withColumn("version", F.lit(version)).write.mode("overwrite").partitionBy("version").option("partitionOverwriteMode", "dynamic").parquet(f"{table}/indicators")
-        touched.withColumn("version", F.lit(version)).write.mode("append").parquet(f"{table}/log")
-
-    stream = spark.readStream.schema(schema).parquet(landed)
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
 def final_sessions(events: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """Daily bars of a stream of (ts, event_id, event_type, value) that come out once the watermark has passed their day."""
     return event_bars(events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay))

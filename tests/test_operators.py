@@ -6,15 +6,18 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barmill.functions import calendar as C
 from barmill.functions import labels as L
 from barmill.functions.numbers import round_significant
-from barmill.operators import cleaning, indicators, measures, monitoring, quality, tablediff
+from barmill.jobs.registry import bar_queries
+from barmill.operators import chunks, cleaning, indicators, measures, monitoring, quality, ranking, tablediff
 from barmill.operators import metrics as M
 from barmill.sources import bars as B
 from barmill.streaming import bars as S
+from barmill.streaming import upserts
 
 DAY = dt.date(2020, 1, 1)
 
@@ -71,8 +74,7 @@ def test_rsi_against_a_plain_loop():
 def test_chunks_change_no_recursive_indicator(spark, per_chunk):
     close = np.random.default_rng(per_chunk).uniform(10, 20, 90)
     rows = frame(spark, close.tolist()).unionByName(frame(spark, [5.0, 6.0, 4.0], "B"))
-    chunk = F.floor(F.datediff("date", F.lit(DAY)) / per_chunk)
-    got = indicators.recursive_indicators(rows, chunk).where("ticker = 'A'")
+    got = indicators.recursive_indicators(rows, per_chunk).where("ticker = 'A'")
     s = [pd.Series(close).ewm(span=n, adjust=False).mean() for n in (12, 26)]
     macd = s[0] - s[1]
     assert np.allclose(column(got, "macd"), macd) and np.allclose(column(got, "macd_signal"), macd.ewm(span=9, adjust=False).mean())
@@ -251,20 +253,130 @@ def test_five_lags_in_a_row_are_persistent(spark):
     assert got.where("ticker <> 'late' and in_a_row > 0").isEmpty()
 
 
+@pytest.fixture
+def hot(spark):
+    """A ticker with most of all rows, spikes among them (on a border of chunks of 250 too), one without many, one with a row."""
+    closes = (100 * np.exp(np.cumsum(np.random.default_rng(7).normal(0, 0.02, 1300)))).round(2)
+    for k in (40, 249, 250, 600, 999, 1298):
+        closes[k] *= 3
+    return frame(spark, closes.tolist()).unionByName(frame(spark, [5.0, 6.0, 4.0], "B")).unionByName(frame(spark, [1.0], "C"))
+
+
+def test_a_hot_ticker_s_chunks_give_what_whole_histories_give(spark, hot):
+    order = ("ticker", "date")
+    rows = lambda df: df.select(*order, *B.PRICES, "price_repaired", *B.INDICATORS).orderBy(*order).toPandas()
+    got, want = rows(indicators.unrounded_indicators(hot, rows=250)), rows(indicators.unrounded_indicators(hot))
+    assert got["price_repaired"].sum() == want["price_repaired"].sum() > 0
+    pd.testing.assert_frame_equal(got, want, rtol=1e-9)
+    dealt = chunks.dealt(hot, *indicators.HALO, 250)
+    sizes = {(r["ticker"], r["__chunk"]): r["count"] for r in dealt.groupBy("ticker", "__chunk", "__core").count().where("__core").collect()}
+    assert sizes == {**{("A", k): 250 for k in range(5)}, ("A", 5): 50, ("B", 0): 3, ("C", 0): 1}
+    assert dealt.groupBy("ticker", "__chunk").count().agg(F.max("count")).first()[0] == 250 + 201
+
+
+def test_flags_at_the_borders_of_chunks(spark, hot):
+    flags = lambda df: [r["date"] for r in df.where("price_repaired").orderBy("date").collect()]
+    assert flags(cleaning.flag_bad_ticks(hot, rows=250)) == flags(cleaning.flag_bad_ticks(hot))
+
+
+def test_defining_indicators_starts_no_job(spark, hot):
+    spark.sparkContext.setJobGroup("defining", "")
+    indicators.add_indicators(hot)
+    indicators.recursive_indicators(hot)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("defining")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+
+
+def test_drawdown_merges_over_months(spark, hot):
+    rows = hot.unionByName(frame(spark, [3.0, None, 2.0, 4.0, 1.0], "D"))
+    worst = {}
+    for t, own in rows.toPandas().sort_values("date").groupby("ticker"):
+        close = own["close"].dropna()
+        worst[t] = ((close - close.cummax()) / close.cummax() * 100).min()
+    got = {r["ticker"]: r["max_drawdown_pct"] for r in indicators.max_drawdown(rows).collect()}
+    assert got == pytest.approx(worst)
+    each = {r["ticker"]: r["d"] for r in indicators.drawdown(rows).groupBy("ticker").agg(F.min("drawdown").alias("d")).collect()}
+    assert each == pytest.approx(worst)
+    assert "Window" not in indicators.max_drawdown(rows)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_asof_closes_are_carried_over_months(spark):
+    rows = frame(spark, [1.0, 2.0, None], "A").unionByName(frame(spark, [7.0], "A", DAY + dt.timedelta(days=200)))
+    days = [-1, 0, 1, 2, 60, 199, 200, 900]
+    targets = spark.createDataFrame([("A", DAY + dt.timedelta(days=k)) for k in days] + [("Z", DAY)], "ticker string, target date")
+    got = {(r["ticker"], r["target"]): r["close"] for r in measures.asof_closes(rows, targets).collect()}
+    assert [got["A", DAY + dt.timedelta(days=k)] for k in days] == [None, 1.0, 2.0, 2.0, 2.0, 2.0, 7.0, 7.0] and got["Z", DAY] is None
+
+
+def test_percent_ranks_share_ties(spark):
+    rows = spark.createDataFrame([(k, float(k % 7)) for k in range(100)], "id int, x double").repartition(5)
+    want = rows.select("id", F.percent_rank().over(Window.orderBy("x")).alias("p"))
+    assert ranking.percent_ranks(rows, "x").select("id", F.col("percent_rank").alias("p")).exceptAll(want).isEmpty()
+    assert sorted(r["place"] for r in ranking.numbered(rows, [F.col("x")]).collect()) == list(range(100))
+
+
+def _landed(rows, rank=0):
+    return rows.withColumns({"source_rank": F.lit(rank), "seq": F.lit(0)})
+
+
+def _fact(df):
+    return df.select(*B.FACT_COLUMNS).orderBy("ticker", "date").toPandas()
+
+
+def test_upserts_go_on_from_stored_state(spark, tmp_path):
+    """Days land one after the other, then late corrections, a new ticker and what is stored already; always equal to a full run."""
+    table = str(tmp_path / "table")
+    rows = _walk(spark, 700).unionByName(_walk(spark, 650, seed=8, ticker="B")).cache()
+    upto = lambda n: rows.where(F.col("date") < DAY + dt.timedelta(days=n))
+    written = lambda v: spark.read.option("basePath", f"{table}/rows").parquet(f"{table}/rows/version={v}").count()
+    same = lambda want: pd.testing.assert_frame_equal(_fact(upserts.current(spark, table)), _fact(indicators.add_indicators(want)), rtol=1e-9)
+    upserts.merge(spark, upto(600), table, 0, rows=300)
+    assert written(0) == 1200
+    upserts.merge(spark, upto(601).where(F.col("date") >= DAY + dt.timedelta(days=350)), table, 2, rows=250)  # 250 days of look-back
+    same(upto(601))
+    assert written(2) == 4  # a new day of two tickers, and the day before, whose repair looks ahead
+    upserts.merge(spark, upto(700).where(F.col("date") >= DAY + dt.timedelta(days=601)), table, 4)
+    same(rows)
+    late = DAY + dt.timedelta(days=640)
+    wrong = F.when((F.col("date") == late) & (F.col("ticker") == "A"), F.col("close") * 3).otherwise(F.col("close"))
+    upserts.merge(spark, rows.withColumn("close", wrong).where((F.col("date") == late) & (F.col("ticker") == "A")), table, 6, rows=250)
+    same(rows.withColumn("close", wrong))
+    assert written(6) == 61  # of one ticker, from the day before on
+    upserts.merge(spark, rows.where(F.col("date") == late).unionByName(_walk(spark, 20, seed=9, ticker="C")), table, 8, rows=250)
+    whole = rows.unionByName(_walk(spark, 20, seed=9, ticker="C"))
+    same(whole)
+    upserts.compact(spark, table)
+    same(whole)
+    assert {r["version"] for r in spark.read.parquet(f"{table}/rows").select("version").distinct().collect()} == {9}
+    upserts.merge(spark, rows.where(F.col("date") == late), table, 10)
+    same(whole)
+
+
 def test_an_upsert_that_fails_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
     landed, table, progress = (str(tmp_path / n) for n in ("landed", "table", "progress"))
-    rows = _walk(spark, 30).withColumns({"source_rank": F.lit(0), "seq": F.lit(0)})
-    assert S.current(spark, table) is None
-    rows.where("close is not null").write.mode("append").parquet(landed)
-    S.upsert_landed(spark, landed, rows.schema, table, progress)
-    whole = indicators.add_indicators(_walk(spark, 30)).select(*B.FACT_COLUMNS).orderBy("date").collect()
-    assert S.current(spark, table, "indicators").select(*B.FACT_COLUMNS).orderBy("date").collect() == whole
-    rows.withColumns({"close": F.col("close") + 1, "seq": F.lit(1), "source_rank": F.lit(1)}).write.mode("append").parquet(landed)
+    rows = _landed(_walk(spark, 30))
+    assert upserts.current(spark, table) is None
+    rows.write.mode("append").parquet(landed)
+    upserts.upsert_landed(spark, landed, rows.schema, table, progress)
+    whole = _fact(indicators.add_indicators(_walk(spark, 30)))
+    pd.testing.assert_frame_equal(_fact(upserts.current(spark, table)), whole)
+    _landed(rows.withColumn("close", F.col("close") + 1), 1).write.mode("append").parquet(landed)
     with monkeypatch.context() as m:
-        m.setattr(S, "add_indicators", lambda _: 1 / 0)
+        m.setattr(upserts.I, "rounded", lambda _: 1 / 0)
         with pytest.raises(Exception):
-            S.upsert_landed(spark, landed, rows.schema, table, progress)
-    assert S.current(spark, table, "indicators").select(*B.FACT_COLUMNS).orderBy("date").collect() == whole
-    S.upsert_landed(spark, landed, rows.schema, table, progress)
-    both = {r["date"]: r["close"] for r in S.current(spark, table).collect()}
+            upserts.upsert_landed(spark, landed, rows.schema, table, progress)
+    pd.testing.assert_frame_equal(_fact(upserts.current(spark, table)), whole)
+    upserts.upsert_landed(spark, landed, rows.schema, table, progress)
+    both = {r["date"]: r["raw_close"] for r in upserts.current(spark, table).collect()}
     assert len(both) == 30 and all(math.isclose(both[r["date"]], r["close"] + 1) for r in _walk(spark, 30).collect())
+
+
+def test_changed_inputs_give_a_fresh_fact(spark, tmp_path):
+    for t in ("lineitem", "supplier", "nation"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    first = bar_queries.stored(spark, str(tmp_path))
+    assert bar_queries.stored(spark, str(tmp_path)).inputFiles() == first.inputFiles()
+    n = first.count()
+    spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").where("year(l_shipdate) > 1998").write.mode("overwrite").parquet(str(tmp_path / "lineitem.parquet"))
+    assert 0 < bar_queries.stored(spark, str(tmp_path)).count() < n
