@@ -14,6 +14,7 @@ from barmill.operators import cleaning, measures, quality
 from barmill.operators import indicators as I
 from barmill.operators import metrics as M
 from barmill.sources import bars as B
+from barmill.sources import yearly
 from barmill.sources.shared import shared_dir
 
 
@@ -92,9 +93,10 @@ def src3(spark, d):
     f"SELECT {OHLC} FROM bars JOIN (SELECT ticker, max(date) - 500 AS since FROM bars WHERE date < DATE '2000-06-01' GROUP BY ticker) USING (ticker) WHERE date >= since",
 )
 def src4(spark, d):
-    """Stored are the bars before a day; what a run from there on reads."""
-    all_bars = bars(spark, d)
-    return B.fresh_since(all_bars, all_bars.where("date < DATE '2000-06-01'")).select("ticker", "date", *B.PRICES, "volume")
+    """Stored are the bars before a day; what a run from there on reads of the bars by year."""
+    all_bars, path = bars(spark, d), shared_dir(spark, "bars")
+    B.write_bars(all_bars, path)
+    return B.read_fresh(spark, path, all_bars.where("date < DATE '2000-06-01'"), B.dimension(spark, d).select("ticker").unionByName(spark.sql(f"SELECT '{B.BENCHMARK}' AS ticker"))).select("ticker", "date", *B.PRICES, "volume")
 
 
 @query(
@@ -426,7 +428,11 @@ def set1(spark, d):
 
 @query("SET2", O.DIRTY, "SELECT ticker, date, open, high, low, close, volume FROM dirty QUALIFY row_number() OVER (PARTITION BY ticker, date ORDER BY source_rank DESC, seq DESC) = 1")
 def set2(spark, d):
-    return cleaning.upsert(B.dirty_bars(bars(spark, d))).select("ticker", "date", *B.PRICES, "volume")
+    """First versions land, then the second ones, merged by year."""
+    landed, path = B.dirty_bars(bars(spark, d)), shared_dir(spark, "merged")
+    for rank in (0, 1):
+        yearly.merge_years(spark, landed.where(F.col("source_rank") == rank), path)
+    return yearly.read_years(spark, path).select("ticker", "date", *B.PRICES, "volume")
 
 
 @query("SET3", O.BARS, "SELECT ticker, count(*) AS gained FROM bars WHERE date >= DATE '2001-01-01' GROUP BY ticker")

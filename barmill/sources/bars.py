@@ -36,22 +36,31 @@ INDICATORS = ["daily_return_pct", "ma20", "ma50", "ma200", "rsi_14", "macd", "ma
 FACT_COLUMNS = ["date", *PRICES, "volume", "ticker", *INDICATORS, "price_repaired"]
 
 
+#: File headers that are broadcast at most; with more of them lines are joined with the header of their file.
+MOST_HEADERS = 100_000
+
+
 def read_bar_files(spark: SparkSession, path: str) -> DataFrame:
     """Every CSV bar file of a folder as one long table of text columns, each file by the names in its own header.
 
     Columns of LANDED_BARS, and `missing`: those that the row's file lacks. The first column of a file is its date. A
-    file without a ticker column is that of the ticker it is named after. Cells hold no quotes or commas.
+    file without a ticker column is that of the ticker it is named after. Cells may be quoted, with commas and doubled
+    quotes in them, but no line ends.
     """
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
     lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     heads = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("head"))  # a row a file
-    names = F.transform(F.split(F.lower("head"), ","), lambda c, k: F.when(k == 0, "date").otherwise(F.trim(c)))
+    n, widest = heads.agg(F.count("*"), F.max(F.size(F.split("head", ",")))).first()
+    row = ", ".join(f"c{k} string" for k in range(widest or 1))
+    cells = lambda line: F.array(*(F.from_csv(line, row, {"escape": '"'})[f"c{k}"] for k in range(widest or 1)))
+    names = F.transform(cells(F.col("head")), lambda c, k: F.when(k == 0, "date").otherwise(F.lower(F.trim(c))))
     heads = heads.select("file", "head", names.alias("names"), F.array_except(F.array(*(F.lit(f.name) for f in RAW_BARS)), names).alias("lacks"))
-    cell = lambda c: F.nullif(F.get(F.split("value", ","), F.array_position("names", c).cast("int") - 1), F.lit(""))
+    cell = lambda c: F.nullif(F.get(cells(F.col("value")), F.array_position("names", c).cast("int") - 1), F.lit(""))
     own = F.regexp_extract("file", r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
     ticker = F.coalesce(cell("ticker"), own)
     missing = F.array_remove("lacks", "ticker").alias("missing")
-    return lines.join(heads, "file").where("value <> head and value <> ''").select(*((ticker if f.name == "ticker" else cell(f.name)).alias(f.name) for f in RAW_BARS), missing)
+    found = lines.join(F.broadcast(heads) if n <= MOST_HEADERS else heads, "file").where("value <> head and value <> ''")
+    return found.select(*((ticker if f.name == "ticker" else cell(f.name)).alias(f.name) for f in RAW_BARS), missing)
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
@@ -80,10 +89,26 @@ def quarantine(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return landed.join(bad, "ticker", "left_anti").drop("missing"), bad
 
 
+def since(stored: DataFrame, days: int = 500) -> DataFrame:
+    return stored.groupBy("ticker").agg(F.date_sub(F.max("date"), days).alias("since"))
+
+
 def fresh_since(bars: DataFrame, stored: DataFrame, days: int = 500, first: str = "2000-01-01") -> DataFrame:
     """Bars from `days` before each ticker's last stored date on; all since `first` for a ticker that has none."""
-    last = stored.groupBy("ticker").agg(F.date_sub(F.max("date"), days).alias("since"))
-    return bars.join(last, "ticker", "left").where(F.col("date") >= F.coalesce("since", F.lit(first).cast("date"))).drop("since")
+    return bars.join(since(stored, days), "ticker", "left").where(F.col("date") >= F.coalesce("since", F.lit(first).cast("date"))).drop("since")
+
+
+def read_fresh(spark: SparkSession, path: str, stored: DataFrame, tickers: DataFrame, days: int = 500, first: str = "2000-01-01") -> DataFrame:
+    """fresh_since() of the expected tickers, of bars that write_bars() wrote: years before the least date needed aren't read.
+
+    tickers (ticker): those that are expected; others, and rows without a ticker, are left out.
+    """
+    need = tickers.select("ticker").distinct().join(since(stored, days), "ticker", "left").select("ticker", F.coalesce("since", F.lit(first).cast("date")).alias("since"))
+    least = need.agg(F.min("since")).first()[0]
+    bars = spark.read.parquet(path)
+    if least is None:
+        return bars.where("false").drop("year")
+    return bars.where((F.col("year") >= least.year) & (F.col("date") >= F.lit(least))).join(need, "ticker").where(F.col("date") >= F.col("since")).drop("since", "year")
 
 
 def write_bars(bars: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,7 @@ from barmill.jobs.registry import bar_queries
 from barmill.operators import chunks, cleaning, indicators, measures, monitoring, quality, ranking, tablediff
 from barmill.operators import metrics as M
 from barmill.sources import bars as B
+from barmill.sources import yearly
 from barmill.streaming import bars as S
 from barmill.streaming import upserts
 
@@ -216,6 +218,48 @@ def test_files_are_read_by_their_own_headers(spark, tmp_path):
     assert rows == [("A", 1, 1.0, 3.0, 2.0, 4.0, 10), ("B", 1, 1.0, 3.0, 2.0, 4.0, None), ("B", 2, 1.0, 3.0, 2.0, 5.0, 7)]
 
 
+def test_quoted_cells(spark, tmp_path):
+    (tmp_path / "A.csv").write_text('Date,"Open",high,low,close,volume,ticker,note\n2020-01-01,"1",3,2,"4",10,"A, ""x""","b,c"\n')
+    (tmp_path / "B.csv").write_text('Date,note,open,high,low,close,volume\n2020-01-01,"p, q, r",1,3,2,5,7\n')
+    files = B.read_bar_files(spark, str(tmp_path))
+    got = sorted(tuple(r) for r in B.normalise(files).select("ticker", *B.PRICES, "volume").collect())
+    assert got == [('A, "x"', 1.0, 3.0, 2.0, 4.0, 10), ("B", 1.0, 3.0, 2.0, 5.0, 7)]
+    assert {tuple(r["missing"]) for r in files.collect()} == {()}
+    plan = files._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan
+
+
+def test_an_upsert_of_a_day_rewrites_its_year(spark, tmp_path, monkeypatch):
+    path, rows = str(tmp_path), _walk(spark, 900)
+    land = lambda df, rank: df.withColumns({"source_rank": F.lit(rank), "seq": F.lit(0)})
+    assert yearly.read_years(spark, path) is None
+    assert yearly.merge_years(spark, land(rows, 0), path) == [2020, 2021, 2022]
+    day = dt.date(2021, 5, 5)
+    fixed = rows.where(F.col("date") == day).withColumn("close", F.lit(1.0))
+    assert yearly.merge_years(spark, land(fixed, 0), path) == [2021]
+    want = sorted((r["date"], 1.0 if r["date"] == day else r["close"]) for r in rows.collect())
+    read = lambda: sorted((r["date"], r["close"]) for r in yearly.read_years(spark, path).collect())
+    assert read() == want
+    assert {(r["version"], r["year"]) for r in spark.read.parquet(f"{path}/bars").select("version", "year").distinct().collect()} == {(0, 2020), (0, 2021), (0, 2022), (1, 2021)}
+    with monkeypatch.context() as m:
+        m.setattr(yearly, "upsert", lambda df: df.drop("source_rank", "seq").withColumn("close", F.raise_error(F.lit("lost")).cast("double")))
+        with pytest.raises(Exception):
+            yearly.merge_years(spark, land(fixed, 0), path)
+    assert read() == want and yearly.merge_years(spark, land(rows.limit(0), 0), path) == []
+    assert {r["year"] for r in yearly.read_years(spark, path, 2022).select(F.year("date").alias("year")).collect()} == {2022}
+
+
+def test_only_years_that_are_needed_are_read(spark, tmp_path):
+    path, rows = str(tmp_path / "bars"), _walk(spark, 900).unionByName(_walk(spark, 800, ticker="B"))
+    B.write_bars(rows, path)
+    stored = rows.where(F.col("date") < dt.date(2021, 12, 1))
+    got = B.read_fresh(spark, path, stored, rows.select("ticker"), days=100)
+    assert got.exceptAll(B.fresh_since(rows, stored, days=100).select(got.columns)).isEmpty() and got.count() == B.fresh_since(rows, stored, days=100).count()
+    assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ >= 2021", got._jdf.queryExecution().executedPlan().toString())
+    fresh = B.read_fresh(spark, path, stored, spark.createDataFrame([("A",), ("NEW",)], "ticker string"), days=100, first="2020-06-01")
+    assert fresh.select("ticker").distinct().collect()[0][0] == "A" and fresh.count() == got.where("ticker = 'A'").count()
+
+
 def _walk(spark, n=260, seed=5, ticker="A"):
     return frame(spark, (100 * np.exp(np.cumsum(np.random.default_rng(seed).normal(0, 0.01, n)))).tolist(), ticker)
 
