@@ -17,13 +17,15 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmill.llm.common import byte_slices, ragged, string_bytes, string_offsets, text_rows, unused, written
 
 #: Words of a broadcast block of the benchmark. Its index takes at most some 220 bytes a word, so 110 MB.
 BLOCK_WORDS = 500_000
+#: Buckets of hashes over which words of the benchmark are counted.
+BUCKETS = 1024
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
@@ -169,8 +171,8 @@ def find_contamination(
     blocks = max(1, math.ceil(size / block_words))
     kind = rows.schema["doc_id"].dataType.simpleString()
     if blocks > 1:
-        items = items.mapInArrow(_pieces(n, max(n, block_words // 4)), "item string, text string").withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-        items = written(items, "benchmark-pieces")
+        items = written(dealt_items(items, n, block_words), "benchmark-pieces")
+        blocks = (items.agg(F.max("block")).first()[0] or 0) + 1
 
     def scanned(own: DataFrame) -> tuple[DataFrame, object]:
         block = spark.sparkContext.broadcast(Windows([tuple(r) for r in own.select("item", "text").toLocalIterator()], n))
@@ -194,6 +196,23 @@ def find_contamination(
     return out.select("doc_id", "text_key", "n_words", *(F.coalesce(f"__{c}", c).alias(c) for c in ("hit", "spans", "items")))
 
 
+def dealt_items(items: DataFrame, n: int, block_words: int) -> DataFrame:
+    """(item, text, words, block): distinct pieces of items, dealt to blocks of at most block_words words by running counts.
+
+    A block takes the pieces that begin within a stretch of block_words less the longest piece, so the last one fits too.
+    Counts run within buckets of hashes and over the buckets. A window isn't cut: where
+    block_words is less than 2 n, a block has 2 n words at most.
+    """
+    most = max(n, block_words // 4)
+    pieces = items.mapInArrow(_pieces(n, most), "item string, text string").where("text <> ''").distinct()
+    own = pieces.withColumns({"words": F.size(F.split("text", " ")).cast("long"), "bucket": F.pmod(F.xxhash64("item", "text"), F.lit(BUCKETS))})
+    w = Window.partitionBy("bucket").orderBy("item", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = own.groupBy("bucket").agg(F.sum("words").alias("sum"))
+    before = sums.select("bucket", (F.sum("sum").over(Window.orderBy("bucket")) - F.col("sum")).alias("before"))  # at most BUCKETS rows
+    start = F.col("before") + F.sum("words").over(w) - F.col("words")
+    return own.join(F.broadcast(before), "bucket").select("item", "text", "words", F.floor(start / max(1, block_words - most)).alias("block"))
+
+
 def _pieces(n: int, most: int):
     """Items cut into pieces of at most `most` words, so that each window lies in one piece."""
 
