@@ -277,10 +277,10 @@ def components(edges: DataFrame) -> DataFrame:
             return own.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(own.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         before = state
         both = own.unionByName(own.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")  # so that a hot node can be split in the join
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
 

@@ -361,6 +361,22 @@ def test_long_items_are_cut_into_pieces(spark):
     assert Counter((r["doc_id"], r["n_words"], sum(x["end"] - x["start"] for x in r["hit"]), ",".join(r["items"])) for r in got) == plain_contamination(texts, [(1, " ".join(item)), (2, "w1 w2")])
 
 
+@pytest.mark.parametrize("n, bound", [(10, 1000), (10, 20)])
+def test_blocks_hold_no_more_words_than_stated(spark, n, bound):
+    """Copies of an item under many ids, rows that repeat, and one item beyond the bound."""
+    rng = np.random.default_rng(8)
+    text = lambda k: " ".join(f"w{x}" for x in rng.integers(0, 10**6, k))
+    copied = text(100)
+    rows = [(str(k), copied) for k in range(200)] + [("r", copied)] * 30 + [(f"o{k}", text(60)) for k in range(50)] + [("long", text(5000)), ("none", "")]
+    found = decontaminate.dealt_items(spark.createDataFrame(rows, "item string, text string"), n, bound).collect()
+    size = Counter()
+    for r in found:
+        assert r["words"] == len(r["text"].split())
+        size[r["block"]] += r["words"]
+    assert max(size.values()) <= bound and len(size) <= 3 * (sum(size.values()) / bound + 1)
+    assert {r["item"] for r in found} == {i for i, t in rows if t} and len({(r["item"], r["text"]) for r in found}) == len(found)
+
+
 def test_a_block_is_as_large_as_stated():
     import pickle
 
@@ -623,6 +639,13 @@ def test_thresholds_are_the_cheapest_of_their_sum():
         assert sum(got) == 0 and math.isclose(sum(x[t + 1] for x, t in zip(costs, got)), sum(x[t + 1] for x, t in zip(costs, best)))
 
 
+def test_a_hot_node_s_links_are_split(spark):
+    """The steps that find components join links with written tables, so that adaptive execution can divide a hot node."""
+    links = spark.range(1, 3000).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+    own = simhash.components(links)
+    assert own.count() == 3000 and own.where("root <> 0").isEmpty()
+
+
 def test_chains_become_one_component(spark):
     n = 300
     rows = [(k, k + 1) for k in range(n)] + [(1000, 1000), (2000, 2001), (2001, 2000)]
