@@ -20,7 +20,7 @@ GOLDEN, PERIOD = 1640531527, 1 << 32
 #: A slot has this part of all words, but no fewer than 1 and no more than MOST_WORDS.
 SLOTS, MOST_WORDS = 1 << 20, 4096
 #: Slots that one window ranks at most, and documents of a source that one window sums on average, up to MOST_BUCKETS of them.
-CHUNK, BUCKET, MOST_BUCKETS = 1 << 16, 1 << 12, 1 << 16
+CHUNK, BUCKET, MOST_BUCKETS = 1 << 16, 1 << 8, 1 << 16
 
 
 def n_words(text: Column) -> Column:
