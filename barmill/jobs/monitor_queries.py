@@ -13,7 +13,7 @@ from barmill.operators import metrics as M
 from barmill.sources import bars as B
 from barmill.sources.shared import shared_dir
 from barmill.streaming import bars as S
-from barmill.streaming import upserts
+from barmill.streaming import corrections, upserts
 
 _LATEST = O.BARS + ", latest AS (SELECT ticker, max(date) AS latest FROM bars GROUP BY ticker), mid AS (SELECT quantile_disc(latest, 0.5) AS expected FROM latest)"
 
@@ -237,6 +237,29 @@ def str2(spark, d):
     return _final(spark, d).select("date", "ticker", *r6("open"), "high", "low", *r6("close"), "volume")
 
 
+_BAR = "round(arg_min(value, row(ts, event_id)), 6) AS open, max(value) AS high, min(value) AS low, round(arg_max(value, row(ts, event_id)), 6) AS close, count(*) AS volume"
+
+
+@query(
+    "STR2_late",
+    "e AS (SELECT *, cast(ts AS DATE) AS date, event_type AS ticker, cast(ts AS DATE) - DATE '2020-01-01' AS k FROM events), late AS (SELECT * FROM e WHERE (k = 18 AND event_id % 7 = 0) OR (k = 5 AND event_id % 7 = 1))",
+    f"SELECT ticker, date, 0 AS version, {_BAR} FROM e WHERE event_id NOT IN (SELECT event_id FROM late) AND k < (SELECT max(k) FROM e) GROUP BY ticker, date "
+    f"UNION ALL SELECT ticker, date, 1, {_BAR} FROM e WHERE k = 18 AND ticker IN (SELECT ticker FROM late WHERE k = 18) GROUP BY ticker, date",
+)
+def str2_late(spark, d):
+    """Rows of the 18th day come after it closed and correct it; those of the 5th come too late and are dropped."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    landed, out, checkpoint = (shared_dir(spark, n) for n in ("events", "sessions", "progress"))
+    events = spark.read.parquet(f"{d}/events.parquet")
+    k, by_seven = F.datediff(F.col("ts").cast("date"), F.lit("2020-01-01").cast("date")), F.col("event_id") % 7
+    late = ((k == 18) & (by_seven == 0)) | ((k == 5) & (by_seven == 1))
+    for rows in (events.where(~late & (k < 20)), events.where(late | (k >= 20))):
+        rows.write.mode("append").parquet(landed)
+        days = corrections.corrected_sessions(spark.readStream.schema(events.schema).parquet(landed), late_hours=48)
+        days.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(days.schema).parquet(out).select("ticker", "date", "version", *r6("open"), "high", "low", *r6("close"), "volume")
+
+
 @query("STR3", _ISLANDS, "SELECT ticker, run_id, in_a_row FROM counted")
 def str3(spark, d):
     return monitoring.consecutive(B.run_log(spark, d), F.col("status").isin("failed", "no_data"))

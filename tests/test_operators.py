@@ -19,7 +19,7 @@ from barmill.operators import metrics as M
 from barmill.sources import bars as B
 from barmill.sources import yearly
 from barmill.streaming import bars as S
-from barmill.streaming import upserts
+from barmill.streaming import corrections, upserts
 
 DAY = dt.date(2020, 1, 1)
 
@@ -206,6 +206,27 @@ def test_failure_counter_stream(spark, tmp_path):
     assert seen == {"a": (3, True), "b": (0, False)}
 
 
+def test_late_rows_correct_a_session_until_its_state_goes(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    landed, out, schema = str(tmp_path / "events"), str(tmp_path / "out"), "ts timestamp, event_id long, event_type string, value double"
+    (tmp_path / "events").mkdir()
+    at = lambda day, hour: dt.datetime(2020, 1, day, hour)
+    lots = [
+        [(at(1, 9), 1, "a", 5.0), (at(1, 15), 2, "a", 7.0), (at(2, 9), 3, "a", 6.0), (None, 9, "a", 1.0), (at(2, 9), 10, "a", None)],
+        [(at(1, 16), 4, "a", 9.0), (at(3, 1), 5, "a", 4.0)],  # 17 hours late
+        [(at(1, 8), 6, "a", 1.0), (at(9, 1), 7, "a", 2.0)],  # beyond the 24 hours
+        [(at(3, 2), 8, "a", 3.0), (at(20, 1), 11, "a", 2.0)],
+    ]
+    for lot in lots:
+        spark.createDataFrame(lot, schema).coalesce(1).write.mode("append").parquet(landed)
+        days = corrections.corrected_sessions(spark.readStream.schema(schema).parquet(landed), late_hours=24)
+        run = days.writeStream.format("parquet").outputMode("append").option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start(out)
+        run.awaitTermination()
+    got = {(r["date"].day, r["version"]): (r["open"], r["high"], r["low"], r["close"], r["volume"]) for r in spark.read.schema(days.schema).parquet(out).collect()}
+    assert got == {(1, 0): (5.0, 7.0, 5.0, 7.0, 2), (1, 1): (5.0, 9.0, 5.0, 9.0, 3), (2, 0): (6.0,) * 4 + (1,), (3, 0): (4.0,) * 4 + (1,), (9, 0): (2.0,) * 4 + (1,)}
+    assert run.lastProgress["stateOperators"][0]["numRowsTotal"] <= 5  # the open session, its timers and their index
+
+
 def test_files_are_read_by_their_own_headers(spark, tmp_path):
     (tmp_path / "A.csv").write_text("Date,close,open,high,low,volume,ticker\n2020-01-01,4,1,3,2,10,A\n\n")
     (tmp_path / "B.csv").write_text("Date,open,high,low,close,volume\n2020-01-01,1,3,2,4,\n2020-01-02,1,3,2,5,7\n")
