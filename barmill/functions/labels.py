@@ -1,4 +1,4 @@
-"""Measures in plain words. The thresholds are fixed values."""
+"""Measures in plain words. The thresholds and the sentences are fixed values."""
 
 from __future__ import annotations
 

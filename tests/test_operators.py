@@ -1,4 +1,4 @@
-"""Worked examples and edge cases of the bar operators on hand-made frames."""
+"""Worked examples and edge cases of the bar operators on hand-made frames; the numbers of the examples are fixed values."""
 
 import datetime as dt
 import math
