@@ -1,17 +1,19 @@
 """Personal data by candidate gradient boosting, in native column expressions throughout.
 
 Base detectors give the spans that the stated patterns match. High-recall generators propose further, overlapping
-candidates (groups of digits inside a longer run, numbers without a country code, obscured addresses). Each candidate
-has a few small-valued features of its format and context. What decides a base match as such (the plus sign, the run's
-whole extent) is no feature, so the trees go by format and context.
-
-Labels: a candidate on a base span of its kind is positive; one off them is negative if it fails its kind's check (check
-sum, octets, domain) or follows a word that names something else (order, version). All others, which are what could be
-added, have no label and teach nothing. Labelled candidates of the whole corpus are counted by feature vector and by one
-of FOLDS parts of the texts; the number of vectors is bounded by the features' values, whatever the corpus. Boosted
-trees are fitted on these counts. Each fold is scored by trees that haven't seen it, and for each kind the lowest score
-at which these held-out candidates reach the wanted precision is the threshold. Candidates that reach it and lie on no
-base span are added.
+candidates (groups of digits inside a longer run, numbers without a country code, obscured addresses). A candidate that
+fails its kind's check (check sum, octets, letters at the domain's end) or follows a word that names something else
+(order, version) can't be added, and neither condition is a feature. The others have a few small-valued features of
+their format and context, and what decides a base match as such (the plus sign, the run's whole extent) is no feature.
+
+Labels don't follow from the features. Positive: candidates on a base span of their kind, and twins planted in the same
+context, which are what the writer could have put there in another form (an address with its @ spelled out, a phone
+number without its plus sign). Negative: candidates behind a word that names something else. All others, which are what
+could be added, have no label and teach nothing. Labelled candidates of the whole corpus are counted by feature vector
+and by one of FOLDS parts of the texts; the number of vectors is bounded by the features' values, whatever the corpus.
+Boosted trees are fitted on these counts. Each fold is scored by trees that haven't seen it, and for each kind the
+lowest score at which these held-out candidates reach the wanted precision is the threshold. Candidates that reach it
+and lie on no base span are added; a kind without positive labels adds none.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barmill.llm import spans as S
-from barmill.llm.common import text_rows
+from barmill.llm.common import text_rows, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -40,9 +42,9 @@ _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Cheap tests that a text has no match of a kind.
 _MAY = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9](?:[ -]?[0-9]){12}", "phone": r"\+[0-9]"}
 
-# Generators of candidates beyond the base patterns.
+# Generators of candidates beyond the base patterns; possessive, so that runs of any length take one pass and no recursion.
 _WIDER = {
-    "email": (r"(?i)@|\bat\b", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?: ?[(\[] ?(?i:at) ?[)\]] ?|@)[A-Za-z0-9-]{1,63}+(?:(?: ?[(\[] ?(?i:dot) ?[)\]] ?|\.)[A-Za-z0-9-]{1,63}+){1,8}"),
+    "email": (r"(?i)@|\bat\b", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?[(\[] ?(?i:at) ?[)\]] ?|@)[A-Za-z0-9-]++(?:(?: ?[(\[] ?(?i:dot) ?[)\]] ?|\.)[A-Za-z0-9-]++)++"),
     "ip": (_MAY["ip"], r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])"),
     "card": (_MAY["card"], r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4})(?![0-9])"),
     "phone": (r"[0-9]{3}[ .-][0-9]{4}", r"(?<![0-9])(?:[0-9]{1,3}[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
@@ -56,13 +58,13 @@ _WORDS = {
 
 #: Words that name another kind of number.
 _OTHER = {
-    "email": r"(?!)",
+    "email": r"(?i)(version|package|module|commit|branch|install)\W*$",
     "ip": r"(?i)(version|release|section|chapter|\bv)\W*$",
     "card": r"(?i)(order|isbn|serial|tracking|invoice|part)\W*$",
     "phone": r"(?i)(order|isbn|serial|tracking|invoice|part)\W*$",
 }
 
-FEATURES = ("digits", "shape", "checksum", "word", "before", "after")
+FEATURES = ("digits", "shape", "crowd", "word", "before", "after")
 #: Parts of the texts; each is scored by trees that haven't seen it to set the thresholds.
 FOLDS = 5
 #: Each feature has fewer values than this.
@@ -122,11 +124,16 @@ def _checked(x: Column) -> Column:
     return _by_kind(x["kind"], {"card": luhn(_digits(value)), "ip": value.rlike(_OCTETS), "email": value.rlike(r"[A-Za-z]{2,}$"), "phone": F.lit(True)})
 
 
-def _label(x: Column, base: str = "base") -> Column:
-    """1, 0, or null where nothing tells."""
-    on = F.exists(base, lambda b: (b["kind"] == x["kind"]) & (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    other = _by_kind(x["kind"], {k: x["near"].rlike(p) for k, p in _OTHER.items()})
-    return F.when(on, 1).when(~_checked(x) | other, 0)
+def _named_otherwise(x: Column) -> Column:
+    return _by_kind(x["kind"], {k: x["near"].rlike(p) for k, p in _OTHER.items()})
+
+
+def _on_base(x: Column, base: str = "base") -> Column:
+    return F.exists(base, lambda b: (b["kind"] == x["kind"]) & (b["start"] < x["end"]) & (x["start"] < b["end"]))
+
+
+def _side(c: Column) -> Column:
+    return F.when(c == "", 0).when(c.rlike("[0-9]"), 1).when(c.rlike(r"[A-Za-z\x{C0}-\x{24F}]"), 2).when(c.rlike(r"\s"), 3).when(c.rlike("[.,;:!?)]"), 4).otherwise(5)
 
 
 def _features(x: Column) -> dict[str, Column]:
@@ -134,18 +141,24 @@ def _features(x: Column) -> dict[str, Column]:
     value, kind, near = x["value"], x["kind"], x["near"]
     digits = _digits(value)
     n = F.length(digits)
-    side = lambda c: F.when(c == "", 0).when(c.rlike("[0-9]"), 1).when(c.rlike(r"[A-Za-z\x{C0}-\x{24F}]"), 2).when(c.rlike(r"\s"), 3).when(c.rlike("[.,;:!?)]"), 4).otherwise(5)
     word = _by_kind(kind, {k: near.rlike(pattern) for k, pattern in _WORDS.items()})
     return {
         "digits": F.when(n == 0, 0).when(n < 7, 1).when(n < 9, 2).when(n < 11, 3).when(n < 13, 4).when(n == 16, 6).when(n <= 19, 5).otherwise(7),
-        "shape": F.when(value.contains("@"), 1).when(value.rlike("[(]"), 2).when(value.contains("."), 3).when(value.contains("-"), 4).when(value.contains(" "), 5).otherwise(0),
-        "checksum": _checked(x).cast("int"),
+        "shape": F.when(value.contains("@"), 1).when(value.rlike(r"[(\[]"), 2).when(value.contains("."), 3).when(value.contains("-"), 4).when(value.contains(" "), 5).otherwise(0),
+        "crowd": near.rlike("[0-9]").cast("int"),
         "word": word.cast("int"),
-        "before": side(F.right(near, F.lit(1))),
-        "after": side(x["after"]),
+        "before": _side(F.right(near, F.lit(1))),
+        "after": _side(x["after"]),
     }
 
 
+def _twin(x: Column) -> dict[str, Column]:
+    """Features of the span that could stand in place of one on a base span: an obscured address, a phone number without plus."""
+    own, is_email = _features(x), x["kind"] == "email"
+    bare = F.regexp_replace(x["near"], r"\+$", "")
+    return {**own, "shape": F.when(is_email, 2).otherwise(own["shape"]), "before": F.when(is_email, own["before"]).otherwise(_side(F.right(bare, F.lit(1))))}
+
+
 class Model(NamedTuple):
     """trees: nested (feature, value, left, right) or leaf values, taken left where feature == value; thresholds by kind."""
 
@@ -225,33 +238,42 @@ def _is(kind: str):
 
 
 def _staged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, base, wider, fold); wider: the candidates that could be added or teach. Copies of a text share a fold."""
     rows = text_rows(docs, id_col, text_col)
     may = F.col("text").rlike(r"[0-9@]|(?i:\bat\b)")
     rows = rows.withColumn("base", F.when(may, base_spans(F.col("text"))).otherwise(S.none()))
-    return rows.withColumn("wider", F.when(may, candidates(F.col("text"))).otherwise(S.none()))
+    rows = rows.withColumn("wider", F.when(may, F.filter(candidates(F.col("text")), _checked)).otherwise(S.none()))
+    return rows.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> Model:
-    """Counts the feature vectors of all labelled candidates, and fits on them. Copies of a text share a fold."""
-    seen = _staged(docs, id_col, text_col).where("size(wider) > 0")
-    labelled = F.transform(
-        "wider",
-        lambda x: F.struct(x["kind"].alias("kind"), *(v.alias(k) for k, v in _features(x).items()), F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"), _label(x).cast("long").alias("label")),
-    )
-    each = seen.select(F.explode(labelled).alias("x")).select("x.*").where("label is not null")
+def _train(staged: DataFrame, **params) -> Model:
+    def described(features, label):
+        return lambda x: F.struct(x["kind"].alias("kind"), *(v.cast("int").alias(k) for k, v in features(x).items()), label(x).cast("long").alias("label"))
+
+    label = lambda x: F.when(_named_otherwise(x), 0).when(_on_base(x), 1)
+    twins = F.filter("wider", lambda x: x["kind"].isin("email", "phone") & _on_base(x) & ~_named_otherwise(x))
+    labelled = F.concat(F.transform("wider", described(_features, label)), F.transform(twins, described(_twin, lambda x: F.lit(1))))
+    each = staged.where("size(wider) > 0").select("fold", F.explode(labelled).alias("x")).select("fold", "x.*").where("label is not null")
     counts = each.groupBy("kind", *FEATURES, "fold").agg(F.count("*").alias("n"), F.sum("label").alias("positive"))
     return fit([tuple(r) for r in counts.orderBy("kind", *FEATURES, "fold").collect()], **params)  # at most 4 * FOLDS * MOST_VALUES ** 6 rows, by the features' values
 
 
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> Model:
+    """Counts the feature vectors of all labelled candidates, and fits on them. Null and empty texts and an empty table teach nothing."""
+    return _train(_staged(docs, id_col, text_col), **params)
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
     """(doc_id, text, base, added) for every row: arrays of spans by kind as listed, then start; added ones lie on no base span.
 
-    Without a model one is fitted on docs. A null text counts as empty and has no spans; without candidates nothing is
+    Without a model one is fitted on docs, whose spans are then written once, for training and scoring. A null text counts as empty and has no spans; without candidates nothing is
     added. Rows are treated one by one, also repeated ones; further columns are left out. An empty table gives an empty one.
     """
-    model = model or train(docs, id_col, text_col)
     scored = _staged(docs, id_col, text_col)
-    alone = F.filter("wider", lambda x: ~S.overlaps(x, F.col("base")))
+    if model is None:
+        scored = written(scored, "pii-spans")
+        model = _train(scored)
+    alone = F.filter("wider", lambda x: ~S.overlaps(x, F.col("base")) & ~_named_otherwise(x))
 
     def accepted(x: Column) -> Column:
         out = F.lit(False)
@@ -263,7 +285,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
     described = F.transform("wider", lambda x: F.struct(x.alias("span"), *(v.alias(k) for k, v in _features(x).items()), x["kind"].alias("kind")))
     chosen = F.transform(F.filter(described, accepted), lambda x: x["span"])
 
-    return scored.withColumn("wider", alone).withColumn("added", F.when(F.size("wider") > 0, chosen).otherwise(S.none())).drop("wider")
+    return scored.withColumn("wider", alone).withColumn("added", F.when(F.size("wider") > 0, chosen).otherwise(S.none())).drop("wider", "fold")
 
 
 def all_spans(base: str = "base", added: str = "added") -> Column:

@@ -145,6 +145,28 @@ def test_boosted_trees_add_what_the_base_runs_hide(spark):
     assert any("[card] [card]" in t for t in shown.values()) and all(shown[k] == t for k, t in enumerate(texts[:600]) if k % 2)
 
 
+def test_obscured_addresses_are_added(spark):
+    """Learnt from plain addresses and their planted twins; decoys in code are told apart by what stands around them."""
+    texts, hidden = [], {}
+    for k in range(120):
+        texts.append(f"please write to ann.{k}@site{k}.org today")
+        texts.append(f"use package `core{k}@host{k}.io` here")
+    for k in range(30):
+        own = [f"bob{k} (at) site{k} (dot) org", f"bob{k} [at] site{k}.example.com", f"bob{k}@mail [dot] site{k} [DOT] de"][k % 3]
+        hidden[len(texts)] = [(9, 9 + len(own))]
+        texts.append(f"or reach {own} at noon")
+        texts.append(f"run `core{k} (at) host{k}.io` or version `x{k} (at) y.js` now, not x (at) 3.5" + " nor version x (at) y.js" * (k == 0))
+    long_name = "a" * 300 + " (at) " + "b" * 100 + ".c" * 5000 + ".org"
+    hidden[len(texts)] = [(3, 3 + len(long_name))]
+    texts.append(f"to {long_name} too")
+    rows = {r["doc_id"]: r for r in pii.find_pii(pii_docs(spark, texts)).collect()}
+    added = {k: [(x["start"], x["end"]) for x in r["added"]] for k, r in rows.items() if r["added"]}
+    hits = sum(len(set(v) & set(hidden.get(k, []))) for k, v in added.items())
+    assert hits / len(hidden) > 0.95 and hits / sum(map(len, added.values())) > 0.95
+    assert added[len(texts) - 1] == hidden[len(texts) - 1]
+    assert all(spans_ == ",".join(plain_pii(texts[k])) for k, spans_ in ((r["doc_id"], ",".join(f"{x['kind']}:{x['start']}:{x['end']}" for x in r["base"])) for r in rows.values()))
+
+
 def test_thresholds_come_from_unseen_folds():
     """A feature vector that is positive in one fold and negative elsewhere doesn't reach the precision."""
     good, bad, odd = (4, 0, 1, 0, 3, 3), (4, 0, 0, 0, 3, 3), (6, 0, 0, 1, 3, 3)
