@@ -375,17 +375,25 @@ def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def spans_of(ids: np.ndarray, count: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Texts cut into spans of SPAN words: number of ids of each span, its text, its place in the text, whether it is the last."""
+    """Texts cut into spans of SPAN words: number of ids of each span, its text, its place in the text, whether it is the last.
+
+    A text without ids is one span of none, so that its end is learnt.
+    """
     text = np.repeat(np.arange(len(count)), count)
     word = np.cumsum(opens[ids])
     before = np.append(0, word)[np.cumsum(count) - count]  # words ahead of each text
     place = np.maximum(word - before[text] - 1, 0) // SPAN
     first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (place[1:] != place[:-1]))) if len(ids) else np.zeros(0, np.int64)
-    return np.diff(np.append(first, len(ids))), text[first], place[first], np.append(text[first][1:] != text[first][:-1], True)[: len(first)]
+    bare = np.flatnonzero(count == 0)
+    owner = np.append(text[first], bare)
+    order = np.argsort(owner, kind="stable")
+    size = np.append(np.diff(np.append(first, len(ids))), np.zeros_like(bare))[order]
+    owner, place = owner[order], np.append(place[first], np.zeros_like(bare))[order]
+    return size, owner, place, np.append(owner[1:] != owner[:-1], True)[: len(owner)]
 
 
-def train(table: DataFrame, counts: DataFrame, words: int, tokenizer: str) -> Weights:
-    """table: encoded() rows to learn from, each span in one of the rounds; counts: their word counts; words: how many those are."""
+def train(table: DataFrame, counts: DataFrame, tokens: int, ends: int, tokenizer: str) -> Weights:
+    """table: encoded() rows to learn from, each span in one of the rounds; counts: their word counts; tokens: how many those and the ends are; ends: how many rows."""
 
     def subword_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = Subwords(tokenizer), np.zeros(GROUPS * GROUPS)
@@ -399,8 +407,8 @@ def train(table: DataFrame, counts: DataFrame, words: int, tokenizer: str) -> We
     counted = np.zeros(GROUPS * GROUPS)
     for r in counts.mapInArrow(subword_counts, "id long, n double").groupBy("id").agg(F.sum("n").alias("n")).collect():  # a row a subword
         counted[r["id"]] = r["n"]
-    counted[END] = max(counted.sum() / 400, 1)
-    trainers = max(1, -(-words // WORDS_EACH))
+    counted[END] = ends
+    trainers = max(1, -(-tokens // WORDS_EACH))
 
     def spans(number: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -473,7 +481,7 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
     Learns from the rows that aren't held out. Tokens are the lower-cased words and one end. base_score sums the
     logarithms of their smoothed shares; score is the model's log10 probability of the text's subwords and end. A null
-    text counts as empty and has the end alone. Rows that repeat id and text get equal results. With no training rows
+    text counts as empty and has the end alone; in training, too, it teaches how likely a text is to end at once. Rows that repeat id and text get equal results. With no training rows
     every count is zero and the model is as it starts. An empty table gives an empty one. Further columns are left out.
     """
     spark = docs.sparkSession
@@ -485,7 +493,7 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     train_tokens, kinds = (total["n"] or 0) + ends, total["v"] + (ends > 0)
     keyed = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "held_out", "text")
     table = written(encoded(keyed, tokenizer), "lm-ids")
-    weights = spark.sparkContext.broadcast(train(table.where(~F.col("held_out")), counts, train_tokens, tokenizer))
+    weights = spark.sparkContext.broadcast(train(table.where(~F.col("held_out")), counts, train_tokens, ends, tokenizer))
     floor = float(np.log10(train_tokens + kinds + 1))
     frequent = (F.col("c") * HEAD >= train_tokens) & (F.octet_length("word") <= LONG_WORD)
     head = {bytes(r["word"]): r["c"] for r in counts.where(frequent).toLocalIterator()}  # HEAD words at most
