@@ -5,8 +5,8 @@ than its capacity: the overfull bucket is split by the next bit. Contiguous buck
 task, which gets the texts of its range sorted by key, chains texts that share a key, and compares their bytes. The
 owners' entries are the index: Parquet files in the shared folder, each of one key range, beside the directory.
 
-Copies are combined within each scan task first, so a text that fills a third of all rows reaches its owner once from
-each task, and rows find their group by a join that can be split where a key is hot.
+Copies are combined within each scan task first, so a text that fills a third of all rows reaches its owner once for
+every TASK_BYTES of distinct texts that a task reads, and rows find their group by a join that can be split where a key is hot.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ from barmill.llm.common import binary_array, byte_slices, kept_rows, string_byte
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: The directory never goes deeper than this; a bucket that is overfull there just has more entries.
 DEEPEST = 20
+#: Distinct texts that a scan task gathers before it sends them on, in bytes.
+TASK_BYTES = 64 << 20
+_NO_ID = np.iinfo(np.int64).min
 
 
 class Directory(NamedTuple):
@@ -78,44 +81,50 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _combined(table: Directory):
-    """Distinct texts of each slice of a task, with the owner and bucket of their keys."""
+def _combined(table: Directory, most: int = TASK_BYTES):
+    """Distinct texts of a task, with the owner and bucket of their keys, sent on when they hold `most` bytes."""
+
+    def sent(pending: dict) -> pa.RecordBatch:
+        sha = np.frombuffer(b"".join(own for own, _ in pending), ">u8").reshape(-1, 4)
+        texts, ids, sizes = zip(*pending.values())
+        key = sha[:, 0].astype(np.uint64)
+        prefix = (key >> np.uint64(64 - table.depth)).astype(np.int64) if table.depth else np.zeros(len(key), np.int64)
+        keep = np.asarray(ids, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(table.owner[prefix]),
+                pa.array(table.bucket[prefix]),
+                pa.array(key.view(np.int64)),
+                binary_array(np.ascontiguousarray(sha), np.arange(len(sha) + 1) * 32),
+                pa.array(texts, pa.binary()),
+                pa.array(keep, mask=keep == _NO_ID),
+                pa.array(sizes, pa.int64()),
+            ],
+            names=["owner", "bucket", "key", "sha", "bytes", "keep_id", "group_size"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: dict[tuple, list] = {}  # by digest and place among the texts of that digest: text, largest id, rows
+        held = 0
         for batch in batches:
             for part in byte_slices(batch):
                 data, offsets, sha = _digests(part.column(1))
-                first: dict[tuple, int] = {}
-                entries: list[int] = []
-                row = np.zeros(len(sha), np.int64)
-                cuts = offsets.tolist()
+                cuts, ids = offsets.tolist(), part.column(0).fill_null(_NO_ID).to_pylist()
                 for k, own in enumerate(map(bytes, sha)):
-                    n = 0
-                    while (at := first.setdefault((own, n), k)) != k and data[cuts[at] : cuts[at + 1]] != data[cuts[k] : cuts[k + 1]]:
+                    text, n = data[cuts[k] : cuts[k + 1]], 0
+                    while (entry := pending.get((own, n))) is not None and entry[0] != text:
                         n += 1
-                    if at == k:
-                        entries.append(k)
-                    row[k] = at
-                kept = np.asarray(entries, np.int64)
-                place = np.zeros(len(sha), np.int64)
-                place[kept] = np.arange(len(kept))
-                keep = np.full(len(kept), np.iinfo(np.int64).min)
-                ids = part.column(0)
-                np.maximum.at(keep, place[row], ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False))
-                key = sha[kept, 0].astype(np.uint64)
-                prefix = (key >> np.uint64(64 - table.depth)).astype(np.int64) if table.depth else np.zeros(len(kept), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(table.owner[prefix]),
-                        pa.array(table.bucket[prefix]),
-                        pa.array(key.view(np.int64)),
-                        binary_array(np.ascontiguousarray(sha[kept]), np.arange(len(kept) + 1) * 32),
-                        pa.array([data[cuts[k] : cuts[k + 1]] for k in entries], pa.binary()),
-                        pa.array(keep, mask=keep == np.iinfo(np.int64).min),
-                        pa.array(np.bincount(place[row], minlength=len(kept)).astype(np.int64)),
-                    ],
-                    names=["owner", "bucket", "key", "sha", "bytes", "keep_id", "group_size"],
-                )
+                    if entry is None:
+                        pending[own, n] = [text, ids[k], 1]
+                        held += len(text) + 256
+                    else:
+                        entry[1] = max(entry[1], ids[k])
+                        entry[2] += 1
+                    if held >= most:
+                        yield sent(pending)
+                        pending, held = {}, 0
+        if pending:
+            yield sent(pending)
 
     return run
 
@@ -156,7 +165,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(rows, entries, directory): the key of every row, and one entry of the index for each distinct text.
 
     entries: bucket, key, chain (place among the texts of that key), sha, keep_id, group_size; a Parquet table in the
-    shared folder whose files hold one owner's key range each. rows: row_no, doc_id, text_key, key, sha.
+    shared folder whose files hold one owner's key range each. rows: row_no, doc_id, text_key, key, sha. A null text
+    counts as empty; an entry's keep_id is null if no row of its text has an id. An empty table gives empty ones.
     """
     spark = docs.sparkSession
     texts = text_rows(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
