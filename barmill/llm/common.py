@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,15 +43,21 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def kept_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text", once: bool = True) -> DataFrame:
-    """Rows of docs whose id and text are among kept's (doc_id, text_key); once: of rows that repeat both, one."""
+    """Rows of docs whose id and text are among kept's (doc_id, text_key); once: of rows that repeat both, one.
+
+    The one is that whose columns have the least hash together, so it doesn't depend on the order of the rows; rows that
+    repeat are combined within each task before they are shuffled. Null ids and null texts count as values of their own
+    and as empty; an empty table gives an empty one.
+    """
     key, row, own_id, own_key = (unused(docs, c) for c in ("__key", "__row", "__id", "__text"))
     own = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     keys = kept.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
     out = own.join(keys, own[id_col].eqNullSafe(keys[own_id]) & (own[key] == keys[own_key]), "left_semi")
-    if once:
-        w = Window.partitionBy(id_col, key).orderBy(F.lit(0))
-        out = out.withColumn(row, F.row_number().over(w)).where(F.col(row) == 1).drop(row)
-    return out.drop(key)
+    if not once:
+        return out.drop(key)
+    parts = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema.fields]
+    first = F.min_by(F.struct(*docs.columns), F.xxhash64(*parts)).alias(row)
+    return out.groupBy(F.col(id_col).alias(own_id), key).agg(first).select(f"{row}.*")
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -247,6 +247,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """docs without what find_contamination() finds: remove="documents" drops the documents, "spans" cuts the spans out of the text.
 
     All columns are kept; a null text stays null. Ids and texts together identify a row; repeated rows are treated alike.
+    An empty table gives an empty one, an empty benchmark leaves docs as they are.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove: {remove}")

@@ -491,9 +491,9 @@ def test_texts_are_cut_into_spans_of_words(tokenizer):
     texts = [" ".join(f"wörd{k}" for k in range(n)) for n in (0, 1, 64, 65, 200)]
     ids, count = own.encode([b" " + t.encode() if t else b"" for t in texts])
     size, text, place, last = lm_scoring.spans_of(ids, count, own.opens)
-    assert list(zip(text.tolist(), place.tolist(), last.tolist())) == [(1, 0, True), (2, 0, True), (3, 0, False), (3, 1, True), *((4, k, k == 3) for k in range(4))]
+    assert list(zip(text.tolist(), place.tolist(), last.tolist())) == [(0, 0, True), (1, 0, True), (2, 0, True), (3, 0, False), (3, 1, True), *((4, k, k == 3) for k in range(4))]
     cuts = np.append(0, np.cumsum(size))
-    assert [int(own.opens[ids[a:b]].sum()) for a, b in zip(cuts, cuts[1:])] == [1, 64, 64, 1, 64, 64, 64, 8]
+    assert [int(own.opens[ids[a:b]].sum()) for a, b in zip(cuts, cuts[1:])] == [0, 1, 64, 64, 1, 64, 64, 64, 8]
 
 
 def test_weights_do_not_depend_on_how_rows_are_dealt(spark, tokenizer, monkeypatch):
@@ -504,7 +504,7 @@ def test_weights_do_not_depend_on_how_rows_are_dealt(spark, tokenizer, monkeypat
     for n, deal in ((1, "3"), (5, "7")):
         spark.conf.set("spark.sql.shuffle.partitions", deal)
         own = rows.repartition(n).select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(False).alias("held_out"), "text")
-        out.append(lm_scoring.train(lm_scoring.encoded(own, tokenizer), lm_scoring.word_counts(rows), 1800, tokenizer))
+        out.append(lm_scoring.train(lm_scoring.encoded(own, tokenizer), lm_scoring.word_counts(rows), 1800, rows.count(), tokenizer))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert all(np.array_equal(out[0][k], out[1][k]) for k in out[0])
 
@@ -523,15 +523,56 @@ def test_every_training_text_is_learnt_from(spark, tokenizer):
     texts = [chr(c) for c in range(33, 49)]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     table = lm_scoring.encoded(rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(False).alias("held_out"), "text"), tokenizer)
-    new = lm_scoring.train(table, lm_scoring.word_counts(rows), 32, tokenizer)
+    new = lm_scoring.train(table, lm_scoring.word_counts(rows), 32, rows.count(), tokenizer)
     ids, _ = lm_scoring.Subwords(tokenizer).encode([b" " + t.encode() for t in texts])
     moved = (new["embed"] != lm_scoring.Weights.start(np.ones(lm_scoring.END + 1))["embed"]).any(axis=1)  # a subword that no span holds keeps its row
     assert moved[ids].all()
 
 
+def test_empty_training_texts_teach_their_end(spark, tokenizer):
+    """The more training texts are empty, the likelier is an end at once; spans of none are learnt like others."""
+    texts = [f"alpha beta gamma {k} delta" for k in range(60)]
+    scores = []
+    for empties in (0, 120):
+        docs = spark.createDataFrame(list(enumerate([*texts, *[None, "", " \n"] * (empties // 3), ""])), "doc_id long, text string")
+        scores.append([r["score"] for r in lm_scoring.score(docs, tokenizer).where("n_tokens = 1").select("score").collect()][-1])
+    assert scores[1] > scores[0] + 0.5
+    size, text, place, last = lm_scoring.spans_of(np.zeros(0, np.int64), np.zeros(3, np.int64), np.zeros(lm_scoring.END + 1, bool))
+    assert size.tolist() == [0, 0, 0] and text.tolist() == [0, 1, 2] and place.tolist() == [0, 0, 0] and last.all()
+
+
 # --- 9: exact dedup
 
 
+@pytest.mark.parametrize("most", [1, 2000, 1 << 20])
+def test_copies_are_combined_over_all_batches_of_a_task(most):
+    import pyarrow as pa
+
+    texts = ["a", "B" * 500, "b" * 500, "", "a"] * 8
+    batches = [pa.RecordBatch.from_arrays([pa.array([k if k % 3 else None], pa.int64()), pa.array([t])], names=["doc_id", "text"]) for k, t in enumerate(texts)]
+    table = exact_dedup.directory(np.array([4]), 100, 1)
+    out = [r for b in exact_dedup._combined(table, most)(iter(batches)) for r in b.to_pylist()]
+    assert len(out) == (len(texts) if most == 1 else 3 if most == 1 << 20 else len(out)) and sum(r["group_size"] for r in out) == len(texts)
+    best = {}
+    for r in out:
+        best[r["bytes"]] = max(best.get(r["bytes"], -1), -1 if r["keep_id"] is None else r["keep_id"])
+    assert best == {t.lower().encode(): max(k for k, x in enumerate(texts) if x.lower() == t.lower() and k % 3) for t in texts}
+
+
+def test_the_row_that_stays_of_repeated_ones_is_defined(spark):
+    """Rows that repeat id and text but differ elsewhere, maps too: the same one stays in any order and any number of partitions."""
+    from barmill.llm.common import kept_rows
+
+    rows = [(i, t, f"s{k}", {"k": k}) for k in range(40) for i, t in ((1, "x"), (None, None), (2, ""))]
+    kept = spark.createDataFrame([(1, "x"), (None, "")], "doc_id long, text string").select("doc_id", F.xxhash64("text").alias("text_key"))
+    found = set()
+    for own, n in ((rows, 1), (rows[::-1], 7)):
+        out = kept_rows(spark.createDataFrame(own, "doc_id long, text string, source string, more map<string,int>").repartition(n), kept)
+        assert out.columns == ["doc_id", "text", "source", "more"]
+        found.add(frozenset((r["doc_id"], r["text"], r["source"], r["more"]["k"]) for r in out.collect()))
+    assert len(found) == 1 and {x[:2] for x in next(iter(found))} == {(1, "x"), (None, None)}
+
+
 def plain_groups(texts):
     groups = {}
     for i, t in texts:
