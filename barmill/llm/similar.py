@@ -9,7 +9,8 @@ limit of similarity meets in some part with a chance of RECALL. Short texts also
 Bits only find candidates: a link takes the similarity of the two sets of shingle hashes themselves. Members of a run
 (texts that share a part's value) that have a candidate of another group are compared in one task with their sets at
 hand, each pair in the first run in which it meets, so no pairs leave a task but the links that join groups. Runs with
-many rows or bytes are dealt in blocks to as many tasks as there are pairs of blocks. A first round over a few parts
+many rows or bytes are dealt in blocks: first the members of a block are linked among themselves, then one of each
+group, and then members of the largest group only meet those that are still outside it. A first round over a few parts
 joins most groups; the second takes the other parts, and compares texts of different groups only.
 """
 
@@ -281,12 +282,30 @@ def _probe(parts: Parts, own: range, few: bool, whole: bool = True):
 
 
 def in_blocks(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """rows (with key and node) with columns run and block: a run of `blocks` (key, n) is dealt to each pair of its n blocks."""
-    n = F.coalesce("n", F.lit(1)).cast("int")
-    out = rows.join(blocks, "key", "left").withColumn("block", F.pmod(F.xxhash64("node"), n).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), n - 1))
-    out = out.withColumn("other", other)
-    return out.withColumn("run", F.when(n == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))).drop("n", "other")
+    """rows (with key, node and root) with columns run and block: a run of `blocks` (key, n) is dealt to pairs of its blocks.
+
+    Rows of one root need no comparison. So those of the root that most of a run have are dealt to blocks of their own,
+    and only meet the blocks of all others: N rows of which o have another root become about N + o * n rows, with
+    n = N / (rows a block), in place of N * n. Other runs are left whole.
+    """
+    own = rows.join(blocks, "key").groupBy("key", "root").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    own = own.groupBy("key").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("all"), F.first("n").alias("n"))
+    share = F.col("top.c") / F.col("all")
+    own = written(own.select("key", F.col("top.root").alias("main"), F.ceil(F.col("n") * share).cast("int").alias("mains"), F.ceil(F.col("n") * (1 - share)).cast("int").alias("others")), "runs-in-blocks")
+    out = rows.join(own, "key", "left")
+    deal, at_main = F.xxhash64("node"), F.col("root") == F.col("main")
+    out = out.withColumn("block", F.when(F.col("main").isNull(), 0).when(at_main, F.pmod(deal, "mains")).otherwise(F.col("mains") + F.pmod(deal, "others")).cast("int"))
+    last = F.col("mains") + F.col("others") - 1
+    met = F.when(F.col("main").isNull(), F.array(F.lit(0))).when(~at_main, F.sequence(F.lit(0), last)).when(F.col("others") > 0, F.sequence("mains", last))
+    out = out.withColumn("other", F.explode(met))
+    run = F.when(F.col("main").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
+    return out.withColumn("run", run).drop("main", "mains", "others", "other")
+
+
+def apart(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """rows with columns run and block: each in one of the n blocks of its run by `blocks` (key, n), which meets no other."""
+    n = F.coalesce("n", F.lit(1))
+    return rows.join(blocks, "key", "left").withColumn("run", F.xxhash64("key", F.pmod(F.xxhash64("node"), n))).withColumn("block", F.lit(0)).drop("n")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict[str, np.ndarray | list]]:
@@ -407,10 +426,15 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartition(deal, "run").sortWithinPartitions("run")
 
-    def joined(rooted: DataFrame, own: range, few: bool) -> DataFrame:
-        """The fingerprints with the roots that the links of these parts' runs give."""
-        met = rooted.select("node", "root", "fp", "size", "few").mapInArrow(_probe(parts, own, few), "part int, key long, node long, root long, size long, first binary")
-        met = in_blocks(met, crowded) if crowded is not None else met.withColumn("block", F.lit(0)).withColumn("run", F.col("key"))
+    def joined(rooted: DataFrame, own: range, few: bool, members: DataFrame | None = None) -> DataFrame:
+        """The fingerprints with the roots that the links of these parts' runs give; members: of these in crowded runs, within blocks."""
+        asking = rooted if members is None else members
+        met = asking.select("node", "root", "fp", "size", "few").mapInArrow(_probe(parts, own, few), "part int, key long, node long, root long, size long, first binary")
+        if members is not None:
+            met = written(met.join(crowded.select("key"), "key"), "crowded-members")
+            met = apart(met, met.groupBy("key").agg(F.ceil(F.count("*") / run_rows).alias("n")))
+        else:
+            met = in_blocks(met, crowded) if crowded is not None else met.withColumn("block", F.lit(0)).withColumn("run", F.col("key"))
         found = dealt(met).mapInArrow(_suspects(first), "part int, key long, node long, root long, size long")
         found = written(found.dropDuplicates(["key", "node"]) if crowded is not None else found, "suspects")
         asked = found.select("node").distinct()
@@ -419,13 +443,17 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
         blocks = F.ceil(F.greatest(F.sum(8 * F.col("size") + 256) / run_bytes, F.count("*") / run_rows))
         heavy = found.groupBy("key").agg(blocks.cast("int").alias("n")).where("n > 1")
         heavy = written(heavy, "heavy")  # a few keys, so that no exchange by key is needed
-        runs = in_blocks(found, heavy).join(nodes.select("node", "fp").join(sets, "node"), "node")
+        runs = (in_blocks(found, heavy) if members is None else apart(found, heavy)).join(nodes.select("node", "fp").join(sets, "node"), "node")
         links = dealt(runs).mapInArrow(_verified(parts, similarity, whole), "u long, v long")
         edges = rooted.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links)
         to = components(edges).select(F.col("node").alias("n"), F.col("root").alias("to"))
         return written(nodes.join(to, F.col("node") == F.col("n"), "left").select(*nodes.columns, F.coalesce("to", "node").alias("root")), "rooted")
 
-    rooted = joined(nodes.withColumn("root", F.col("node")), range(min(FIRST_PARTS, len(parts.bits))), True)
+    rooted, every = nodes.withColumn("root", F.col("node")), range(len(parts.bits))
+    if crowded is not None:  # first the texts of a block, then one of each group, so that most of a crowded run have one root when its blocks meet
+        rooted = joined(rooted, every, True, rooted)
+        rooted = joined(rooted, every, True, rooted.where("node = root"))
+    rooted = joined(rooted, range(min(FIRST_PARTS, len(parts.bits))), True)
     rooted = joined(rooted, range(min(FIRST_PARTS, len(parts.bits)), len(parts.bits)), False)
     ids = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "groups")
     member = rooted.select("node", "root").join(ids, "root").select("node", "component_id")

@@ -788,6 +788,25 @@ def test_large_groups_lose_no_link(spark, rows, size):
     assert sorted({r["component_id"] for r in got}) == [*plain_similar(texts), 5000]
 
 
+def test_crowded_runs_are_dealt_in_linear_size(spark):
+    """Rows of the largest group meet the others only; every pair of different groups meets, and no pair in two runs."""
+    n, blocks = 400, 20
+    root = [0] * 370 + [1] * 20 + list(range(390, 400))
+    rows = spark.createDataFrame([(7, k, root[k]) for k in range(n)] + [(8, 1000, 1000), (8, 1001, 1001)], "key long, node long, root long")
+    got = similar.in_blocks(rows, spark.createDataFrame([(7, blocks)], "key long, n int")).collect()
+    others = sum(r > 0 for r in root)
+    assert len(got) <= 2 + 370 * 2 + others * (blocks + 2)
+    runs = {}
+    for r in got:
+        runs.setdefault(r["run"], []).append((r["node"], r["block"]))
+    met = Counter()
+    for own in runs.values():
+        two = len({b for _, b in own}) > 1
+        met.update((min(x, y), max(x, y)) for k, (x, a) in enumerate(own) for y, b in own[:k] if not two or a != b)
+    assert set(met.values()) == {1} and (1000, 1001) in met
+    assert all((x, y) in met for x in range(n) for y in range(x + 1, n) if root[x] != root[y])
+
+
 def test_similar_rows_of_any_kind(docs):
     got = similar.similar_groups(docs).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in TEXTS)
