@@ -261,13 +261,13 @@ def joi7(spark, d):
 
 
 def _metric(name: str, columns: dict[str, str]):
-    """Registers a query of single metrics, by an aggregate on the one exchange that all metrics share."""
+    """Registers a query of single metrics, by aggregates that are combined before their exchange."""
     sql = ", ".join(f"{O.BY_METRIC[v]} AS {k}" for k, v in columns.items())
     return query(name, O.MARKET, f"SELECT ticker, {sql} FROM peaked GROUP BY ticker")
 
 
 def _by_ticker(spark, d, *aggregates) -> DataFrame:
-    return M.with_latest(M.with_market(stored(spark, d))).groupBy("ticker").agg(*aggregates)
+    return M.with_market(stored(spark, d)).groupBy("ticker").agg(*aggregates)
 
 
 @_metric("AGG1", {"beta": "beta"})
@@ -302,7 +302,7 @@ def agg6(spark, d):
 
 @_metric("AGG7", {f"return_{n}y_pct": f"return_{n}y_pct" for n in (1, 3, 5)})
 def agg7(spark, d):
-    return _by_ticker(spark, d, *(F.round(M.trailing_return(12 * n), 2).alias(f"return_{n}y_pct") for n in (1, 3, 5)))
+    return M.with_latest(M.with_market(stored(spark, d))).groupBy("ticker").agg(*(F.round(M.trailing_return(12 * n), 2).alias(f"return_{n}y_pct") for n in (1, 3, 5)))
 
 
 _LAST = ("latest_rsi", "latest_close", "last_date", "data_points", "risk_window_start")

@@ -28,16 +28,14 @@ def _return(months: int) -> Column:
 
 def prices(bars: DataFrame) -> DataFrame:
     """Latest, previous, 52-week, period and year-to-date figures of each ticker, the benchmark included."""
-    back = F.row_number().over(Window.partitionBy("ticker").orderBy(F.desc("date")))
-    rows = with_latest(bars).withColumn("__back", back)
     last = lambda c: F.max_by(c, "date")
     year = F.date_sub(F.col("__latest"), 365)
     base = F.max_by("close", F.when(F.col("date") < F.trunc("__latest", "YEAR"), F.col("date")))
-    out = rows.groupBy("ticker").agg(
+    out = with_latest(bars).groupBy("ticker").agg(
         F.max("date").alias("latest_date"),
         F.min("date").alias("first_date"),
         last("close").alias("price"),
-        F.max(F.when(F.col("__back") == 2, F.col("close"))).alias("previous_close"),
+        close_at(F.date_sub("__latest", 1)).alias("previous_close"),
         F.max(F.when(F.col("date") > year, F.col("high"))).alias("high_52w"),
         F.min(F.when(F.col("date") > year, F.col("low"))).alias("low_52w"),
         *(_return(12 * n).alias(f"return_{n}y") for n in (1, 3, 5, 10)),

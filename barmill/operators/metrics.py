@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmill.functions.calendar import months_back
+from barmill.operators import chunks
 from barmill.operators import indicators as I
 from barmill.sources.bars import BENCHMARK
 
@@ -67,7 +68,15 @@ def worst_drawdown(rows: DataFrame) -> DataFrame:
 
 
 def with_latest(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("__latest", F.max("date").over(Window.partitionBy("ticker")))
+    """rows with __latest, their ticker's latest date; null where the date is.
+
+    It comes from maxima by month and meets the rows by (ticker, month), so the window reads a row a month, and aggregates
+    by ticker that follow are combined before their exchange: a ticker with all rows spreads over tasks.
+    """
+    own = rows.withColumn("__month", chunks.month())
+    months = own.groupBy("ticker", "__month").agg(F.max("date").alias("__latest"))
+    latest = F.max("__latest").over(Window.partitionBy("ticker"))
+    return own.join(months.withColumn("__latest", latest), ["ticker", "__month"], "left").drop("__month")
 
 
 def close_at(target: Column) -> Column:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barmill.operators import chunks
 from barmill.operators import indicators as I
 from barmill.operators import metrics as M
-from barmill.operators.cleaning import by_date
 from barmill.sources.bars import BENCHMARK, PRICES
 
 
@@ -42,7 +42,7 @@ def indicator_flags(bars: DataFrame) -> DataFrame:
 
 def warm_up(bars: DataFrame, n: int, column: str) -> DataFrame:
     """Whether a moving average is null on a ticker's first n-1 rows, and known on some later one."""
-    rows = bars.withColumn("__row", F.row_number().over(by_date()))
+    rows = chunks.placed(bars).withColumn("__row", F.col("__place") + 1)
     return rows.groupBy("ticker").agg(
         F.coalesce(F.bool_and(F.when(F.col("__row") < n, F.col(column).isNull())), F.lit(True)).alias("empty_before"), F.coalesce(F.bool_or(F.when(F.col("__row") >= n, F.col(column).isNotNull())), F.lit(False)).alias("known_after")
     )

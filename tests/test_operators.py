@@ -366,6 +366,51 @@ def test_drawdown_merges_over_months(spark, hot):
     assert "Window" not in indicators.max_drawdown(rows)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_figures_that_look_back_against_plain_pandas(spark):
+    """A history with gaps, one of a single row, and one whose last row of a month lies before the target's day."""
+    rng = np.random.default_rng(8)
+    days = [dt.date(2017, 3, 30) + dt.timedelta(days=k) for k in range(1300) if rng.random() < 0.4]
+    histories = {"A": days, "B": days[-1:], "C": [dt.date(2018, 1, 31), dt.date(2019, 3, 30), dt.date(2020, 3, 31)]}
+    rows = [(t, d, *(float(x) for x in np.sort(rng.uniform(5, 15, 3))), None, None, None) for t, own in histories.items() for d in own]
+    bars = spark.createDataFrame(rows, "ticker string, date date, low double, close double, high double, rsi_14 double, ma50 double, ma200 double").repartition(4)
+    got = {r["ticker"]: r for r in measures.prices(bars).collect()}
+    for ticker, own in pd.DataFrame([r[:5] for r in rows], columns=["ticker", "date", "low", "close", "high"]).groupby("ticker"):
+        own = own.set_index(pd.to_datetime(own["date"])).sort_index()
+        latest, price = own.index[-1], own["close"].iloc[-1]
+        at = lambda target: own["close"][:target].iloc[-1] if len(own["close"][:target]) else None
+        change = lambda base: None if base is None else pytest.approx((price / base - 1) * 100)
+        for n in (1, 3, 5, 10):
+            assert got[ticker][f"return_{n}y"] == change(at(latest - pd.DateOffset(months=12 * n)))
+        assert got[ticker]["return_ytd"] == change(at(pd.Timestamp(latest.year - 1, 12, 31)))
+        assert got[ticker]["previous_close"] == (own["close"].iloc[-2] if len(own) > 1 else None)
+        year = own[own.index > latest - pd.Timedelta(days=365)]
+        assert got[ticker]["high_52w"] == year["high"].max() and got[ticker]["low_52w"] == year["low"].min()
+
+
+def test_rows_meet_the_latest_date_without_a_window_over_a_history(spark, hot):
+    """Neither a join by ticker nor a window of rows: aggregates by ticker are combined before their exchange, also if no side is broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = M.with_latest(hot).groupBy("ticker").agg(M.trailing_return(12).alias("r"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = re.findall(r"SortMergeJoin \[ticker#\d+, __month#\d+\]", plan)
+    assert joins and plan.count("partial_max_by") > 0
+    assert re.search(r"\+- (?:\*\(\d+\) )?Sort \[ticker#\d+ ASC NULLS FIRST, __month#\d+", plan)
+
+
+def test_rows_without_a_date_have_no_latest_one(spark):
+    rows = frame(spark, [1.0, 2.0]).unionByName(frame(spark, [3.0]).withColumn("date", F.lit(None).cast("date")))
+    assert sorted(str(r["__latest"]) for r in M.with_latest(rows).collect()) == ["2020-01-02", "2020-01-02", "None"]
+
+
+def test_warm_up_counts_rows_across_months(spark):
+    rows = frame(spark, [1.0] * 70).withColumn("ma50", F.when(F.col("date") >= DAY + dt.timedelta(days=49), 1.0))
+    early = rows.withColumn("ma50", F.when(F.col("date") >= DAY + dt.timedelta(days=48), 1.0))
+    assert quality.warm_up(rows, 50, "ma50").first()[1:] == (True, True)
+    assert quality.warm_up(early, 50, "ma50").first()[1:] == (False, True)
+
+
 def test_asof_closes_are_carried_over_months(spark):
     rows = frame(spark, [1.0, 2.0, None], "A").unionByName(frame(spark, [7.0], "A", DAY + dt.timedelta(days=200)))
     days = [-1, 0, 1, 2, 60, 199, 200, 900]
