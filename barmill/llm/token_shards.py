@@ -30,7 +30,9 @@ from barmill.llm.common import binary_array, byte_slices, ragged, shared_dir, te
 
 MAGIC = b"BARMILL2"
 #: Bytes of a page of the index, how many pages a reader keeps, and bytes of payload that one read takes.
-PAGE, PAGES, PAYLOAD = 1 << 16, 1 << 10, 16 << 20
+PAGE, PAGES, PAYLOAD = 1 << 16, 1 << 10, 4 << 20
+#: Bytes of text that a task encodes at a time (one text at least); the arrays at work then are some 25 times as large.
+SLICE = 2 << 20
 _GAMMA = 2
 _LEVELS = 64
 
@@ -188,7 +190,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         keys, counts, nulls = [], [], 0
         with store.open_output_stream(f"{root}/{name}.ids") as out:
             for batch in batches:
-                for part in byte_slices(batch):
+                for part in byte_slices(batch, most=SLICE):
                     ids, count = encoder.encode_column(part.column(1))
                     out.write(np.insert(ids.astype(kind), np.cumsum(count), end_id).tobytes())
                     counts.append(count + 1)

@@ -271,6 +271,30 @@ def test_encoding_by_the_library_on_chunks(name):
     assert not len(own.encode_column(pa.array([], pa.string()))[0])
 
 
+def test_a_shard_is_written_in_bounded_memory(tokenizer, tmp_path, monkeypatch):
+    import tracemalloc
+    import types
+    import zlib
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    words = np.array(["".join(rng.choice(list("abcdefghij"), n)) for n in rng.integers(2, 9, 5000)])
+    texts = [" ".join(words[rng.integers(0, len(words), 3000)]) for _ in range(700)]  # some 12 MB in one batch
+    context = types.SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 0)
+    monkeypatch.setattr(token_shards, "TaskContext", types.SimpleNamespace(get=lambda: context))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    write = token_shards._writer(f"file://{tmp_path}", tokenizer, 0)
+    list(write(iter([batch.slice(0, 1)])))  # the tokenizer is loaded before memory counts
+    tracemalloc.start()
+    [row] = [x for b in write(iter([batch])) for x in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert batch.nbytes > 11e6 and row["n_docs"] == len(texts) and peak < 10 * batch.nbytes
+    wanted = np.concatenate([[*x.ids, 0] for x in library(tokenizer).encode_batch(texts, add_special_tokens=False)]).astype("<u2")
+    assert zlib.crc32((tmp_path / "shard-00000000-0.ids").read_bytes()) == zlib.crc32(wanted.tobytes())
+
+
 class _File:
     def __init__(self, raw):
         self.raw = raw
