@@ -16,8 +16,9 @@ blocks that overlap by one, each scoring the tokens of its last block, all block
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import filterfalse, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -85,89 +86,99 @@ _AT = (BLOCK + np.arange(BLOCK))[:, None] - np.arange(2 * BLOCK)[None, :]  # how
 _SEEN = _AT >= 0
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    np.minimum(z, np.float32(80), out=z)
-    np.exp(z, out=z)
-    z /= (z @ np.ones(z.shape[-1], z.dtype))[..., None]
-    return z
+class Rooms:
+    """Buffers that are used again: fresh large arrays cost more than what is computed in them."""
 
+    def __init__(self, kind: np.dtype):
+        self._own, self._kind = {}, kind
 
-def _shifted(x: np.ndarray, has: np.ndarray) -> np.ndarray:
-    """Each block behind the block before it, zeros where there is none in its text."""
-    before = np.zeros_like(x)
-    before[1:] = x[:-1]
-    before[~has] = 0
-    return np.concatenate([before, x], axis=1)
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        n = math.prod(shape)
+        if name not in self._own or self._own[name].size < n:
+            self._own[name] = np.empty(n, self._kind)
+        return self._own[name][:n].reshape(shape)
 
 
-def _turned(x: np.ndarray) -> np.ndarray:
-    """Each matrix transposed, laid out anew: products of many small matrices are several times slower on strided ones."""
-    return np.ascontiguousarray(x.transpose(0, 2, 1))
+def _exp(z: np.ndarray, bounded: bool) -> np.ndarray:
+    """Exponentials in place; logits that aren't known to be bounded are held below 80, whose exponentials float32 can sum."""
+    if not bounded:
+        np.minimum(z, np.float32(80), out=z)
+    return np.exp(z, out=z)
 
 
-def hidden(w: Weights, ids: np.ndarray, has: np.ndarray) -> dict:
-    """All layers below the output for blocks of input ids; has: whether the block before is of the same text."""
-    c = {"x": w["embed"][ids]}
-    x = c["x"]
-    c["q"] = x @ (w["query"] * WIDTH**-0.5)
-    k, v = x @ w["key"], x @ w["value"]
-    c["k"], c["v"] = _shifted(k, has), _shifted(v, has)
-    s = c["q"] @ _turned(c["k"]) + np.where(_SEEN, w["near"][np.maximum(_AT, 0)], np.float32(-1e9))
+def _longest(rows: np.ndarray) -> float:
+    """The largest length of a row."""
+    return math.sqrt(float(np.einsum("ij,ij->i", rows, rows).max(initial=0)))
+
+
+def _table(w: Weights) -> np.ndarray:
+    """As a token's query, key and value depend on the token only, they are rows of one table; the value has gone through `out`, and has a one behind it."""
+    x = w["embed"]
+    return np.concatenate([x, x @ _inner(w), np.ones((len(x), 1), x.dtype)], axis=1)
+
+
+def _inner(w: Weights) -> np.ndarray:
+    """From an embedding to its query, key and value, side by side."""
+    return np.concatenate([w["query"] * WIDTH**-0.5, w["key"], w["value"] @ w["out"]], axis=1)
+
+
+def _near(w: Weights) -> np.ndarray:
+    return np.where(_SEEN, w["near"][np.maximum(_AT, 0)], np.float32(-1e9))
+
+
+def _bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The bias as a further row of the weights."""
+    return np.concatenate([weights, bias[..., None, :]], axis=-2)
+
+
+def hidden(w: Weights, ids: np.ndarray, has: np.ndarray, room: Rooms | None = None) -> dict:
+    """All layers below the output for blocks of input ids; has: whether the block before is of the same text. Valid until the rooms are used again."""
+    room, d, n = room or Rooms(w["embed"].dtype), WIDTH, len(ids)
+    c = attended(_table(w), _near(w), ids, has, room)
+    h, g = c["h"], room("g", n * BLOCK, d + 1)
+    c["m"] = m = np.matmul(h, _bias(w["up"], w["up_bias"]), out=room("m", len(h), HIDDEN))
+    np.maximum(m, 0, out=m)
+    np.add(h[:, :d], np.matmul(m, w["down"], out=room("down", len(h), d)), out=g[:, :d])
+    g[:, d] = 1
+    return c | {"rows_g": g, "g": g[:, :d]}
+
+
+def attended(table: np.ndarray, near: np.ndarray, ids: np.ndarray, has: np.ndarray, room: Rooms) -> dict:
+    """The attention layer: h, rows with a one behind each, and what leads to them. Keys and values of a block follow those of the block before, as views of the same rows."""
+    d, n = WIDTH, len(ids)
+    rows = room("rows", ids.size + BLOCK, table.shape[1])
+    rows[:BLOCK] = 0
+    table.take(ids.ravel(), axis=0, out=rows[BLOCK:], mode="clip")
+    windows = np.lib.stride_tricks.as_strided(rows, (n, 2 * BLOCK, rows.shape[1]), (BLOCK * rows.strides[0], *rows.strides))
+    rows = rows[BLOCK:].reshape(n, BLOCK, -1)
+    query, keys, values = rows[:, :, d : 2 * d], windows[:, :, 2 * d : 3 * d], windows[:, :, 3 * d :]
+    s = np.matmul(query, keys.transpose(0, 2, 1), out=room("s", n, BLOCK, 2 * BLOCK))
+    s += near
     s[~has, :, :BLOCK] = -1e9
-    c["a"] = _softmax(s)
-    c["o"] = c["a"] @ c["v"]
-    c["h"] = x + c["o"] @ w["out"]
-    c["m"] = np.maximum(c["h"] @ w["up"] + w["up_bias"], 0)
-    c["g"] = c["h"] + c["m"] @ w["down"]
-    return c
+    _exp(s, _longest(table[:, d : 2 * d]) * _longest(table[:, 2 * d : 3 * d]) + float(near.max()) < 80)
+    o = np.matmul(s, values, out=room("o", n, BLOCK, d + 1))
+    h = room("h", n, BLOCK, d + 1)
+    np.divide(o[:, :, :d], o[:, :, d:], out=h[:, :, :d])
+    h[:, :, :d] += rows[:, :, :d]
+    h[:, :, d] = 1
+    return {"rows": rows, "query": query, "keys": keys, "values": values, "e": s, "o": o, "h": h.reshape(-1, d + 1)}
 
 
 class Scorer:
-    """The forward pass alone. As a token's query, key and value depend on the token only, they are rows of one table."""
+    """The forward pass alone, of weights that stay."""
 
     def __init__(self, w: Weights):
-        one = np.ones((len(w["embed"]), 1), np.float32)
-        x = w["embed"]
-        self.table = np.concatenate([x, x @ (w["query"] * WIDTH**-0.5), x @ w["key"], x @ w["value"] @ w["out"], one], axis=1)
-        self.near = np.where(_SEEN, w["near"][np.maximum(_AT, 0)], np.float32(-1e9))
-        self.up, self.down = np.vstack([w["up"], w["up_bias"]]), w["down"]
-        self.cls = np.vstack([w["cls"], w["cls_bias"]])
-        self.tok = np.concatenate([w["tok"], w["tok_bias"][:, None, :]], axis=1)
+        self.table, self.near = _table(w), _near(w)
+        self.up, self.down = _bias(w["up"], w["up_bias"]), w["down"]
+        self.cls, self.tok = _bias(w["cls"], w["cls_bias"]), _bias(w["tok"], w["tok_bias"])
         self.place = w.place.astype(np.int32)
-        norm = lambda a: float(np.sqrt((a.astype(float) ** 2).sum(axis=1).max()))
-        d = WIDTH
-        self.small = norm(self.table[:, d : 2 * d]) * norm(self.table[:, 2 * d : 3 * d]) + float(np.abs(w["near"]).max()) < 80
-        self._rooms: dict[str, np.ndarray] = {}
-
-    def _room(self, name: str, *shape: int) -> np.ndarray:
-        """A buffer that is used again: fresh large arrays cost more than what is computed in them."""
-        n = int(np.prod(shape))
-        if name not in self._rooms or self._rooms[name].size < n:
-            self._rooms[name] = np.empty(n, np.float32)
-        return self._rooms[name][:n].reshape(shape)
+        self.most = [max(_longest(x.T) for x in logits) for logits in (self.cls[None], self.tok)]
+        self._room = Rooms(self.table.dtype)
 
     def hidden(self, ids: np.ndarray, has: np.ndarray) -> np.ndarray:
         """Rows of the last layer, with a one behind each, for blocks of input ids; valid until the next call."""
-        d, n = WIDTH, len(ids)
-        rows = self.table.take(ids.ravel(), axis=0, out=self._room("rows", ids.size, self.table.shape[1]), mode="clip").reshape(n, BLOCK, -1)
-        keys, values = self._room("keys", n, d, 2 * BLOCK), self._room("values", n, 2 * BLOCK, d + 1)  # a block behind the one before it
-        keys[:, :, BLOCK:], values[:, BLOCK:] = rows[:, :, 2 * d : 3 * d].transpose(0, 2, 1), rows[:, :, 3 * d :]
-        keys[0, :, :BLOCK], values[0, :BLOCK] = 0, 0
-        keys[1:, :, :BLOCK], values[1:, :BLOCK] = keys[:-1, :, BLOCK:], values[:-1, BLOCK:]
-        query = self._room("query", n, BLOCK, d)
-        query[:] = rows[:, :, d : 2 * d]
-        s = np.matmul(query, keys, out=self._room("s", n, BLOCK, 2 * BLOCK))
-        s += self.near
-        s[~has, :, :BLOCK] = -1e9
-        if not self.small:
-            np.minimum(s, np.float32(80), out=s)
-        np.exp(s, out=s)
-        o = np.matmul(s, values, out=self._room("o", n, BLOCK, d + 1))
-        h = self._room("h", n, BLOCK, d + 1)
-        np.divide(o[:, :, :d], o[:, :, d:], out=h[:, :, :d])
-        h[:, :, :d] += rows[:, :, :d]
-        h[:, :, d] = 1
-        h = h.reshape(-1, d + 1)
+        d = WIDTH
+        h = attended(self.table, self.near, ids, has, self._room)["h"]
         m = np.matmul(h, self.up, out=self._room("m", len(h), HIDDEN))
         np.maximum(m, 0, out=m)
         np.add(h[:, :d], np.matmul(m, self.down, out=self._room("down", len(h), d)), out=h[:, :d])
@@ -180,93 +191,117 @@ class Scorer:
         order = np.argsort(group, kind="stable")
         group, inner = group.take(order), (place % GROUPS).take(order)
         g = g.take(order, axis=0, out=self._room("g", *g.shape), mode="clip")
-        at = np.arange(len(g)) * GROUPS
+        at, longest = np.arange(len(g)) * GROUPS, _longest(g)
         z = np.matmul(g, self.cls, out=self._room("z", len(g), GROUPS))
         own = z.ravel().take(at + group)
-        own -= _logsum(z)
+        own -= _logsum(z, longest * self.most[0] < 80)
         cuts = np.searchsorted(group, np.arange(GROUPS + 1))
         for c in range(GROUPS):
             a, b = cuts[c], cuts[c + 1]
             np.matmul(g[a:b], self.tok[c], out=z[a:b])
         own += z.ravel().take(at + inner)
-        own -= _logsum(z)
+        own -= _logsum(z, longest * self.most[1] < 80)
         out = np.empty_like(own)
         out[order] = own
         return out
 
 
-def _logsum(z: np.ndarray) -> np.ndarray:
-    """Logarithm of the summed exponentials of each row; float32 holds those of logits up to 80."""
-    np.minimum(z, np.float32(80), out=z)
-    np.exp(z, out=z)
+def _logsum(z: np.ndarray, bounded: bool) -> np.ndarray:
+    """Logarithm of the summed exponentials of each row."""
+    _exp(z, bounded)
     return np.log(z @ np.ones(z.shape[1], z.dtype))
 
 
-def gradients(w: Weights, ids: np.ndarray, target: np.ndarray, has: np.ndarray, valid: np.ndarray) -> tuple[float, dict]:
+def _missed(z: np.ndarray, own: np.ndarray, n: int, bounded: bool) -> float:
+    """Turns logits into the gradient of the mean loss over n rows, in place; own: flat places of the targets. Gives the summed loss."""
+    _exp(z, bounded)
+    z *= (1 / ((z @ np.ones(z.shape[1], z.dtype)) * n))[:, None]
+    flat = z.ravel()
+    p = flat.take(own)
+    flat[own] = p - 1 / n
+    return -float(np.log(p * n + 1e-30).sum(dtype=np.float64))
+
+
+def gradients(w: Weights, ids: np.ndarray, target: np.ndarray, has: np.ndarray, valid: np.ndarray, room: Rooms | None = None) -> tuple[float, dict]:
     """Mean loss of the valid targets, and its gradient by every weight."""
-    c = hidden(w, ids, has)
-    n = max(1, int(valid.sum()))
+    room, width, blocks = room or Rooms(w["embed"].dtype), WIDTH, len(ids)
+    c = hidden(w, ids, has, room)
     flat = np.flatnonzero(valid.ravel())
-    g = c["g"].reshape(-1, WIDTH)[flat]
+    n = max(1, len(flat))
     place = w.place[target.ravel()[flat]]
-    group, inner = place // GROUPS, place % GROUPS
-    d: dict[str, np.ndarray] = {"tok": np.zeros_like(w["tok"]), "tok_bias": np.zeros_like(w["tok_bias"])}
-    p = _softmax(g @ w["cls"] + w["cls_bias"])
-    loss = -np.log(p[np.arange(len(p)), group] + 1e-30).sum()
-    p[np.arange(len(p)), group] -= 1
-    p /= n
-    d["cls"], d["cls_bias"], dg = g.T @ p, p.sum(axis=0), p @ w["cls"].T
+    group = (place // GROUPS).astype(np.uint8)
     order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    for k in range(GROUPS):
-        at = order[cuts[k] : cuts[k + 1]]
-        if len(at):
-            p = _softmax(g[at] @ w["tok"][k] + w["tok_bias"][k])
-            loss -= np.log(p[np.arange(len(p)), inner[at]] + 1e-30).sum()
-            p[np.arange(len(p)), inner[at]] -= 1
-            p /= n
-            d["tok"][k], d["tok_bias"][k] = g[at].T @ p, p.sum(axis=0)
-            dg[at] += p @ w["tok"][k].T
-    full = np.zeros((valid.size, WIDTH), np.float32)
+    flat, group, inner = flat.take(order), group.take(order), (place % GROUPS).take(order)
+    cuts = np.searchsorted(group, np.arange(GROUPS + 1))
+    g = c["rows_g"].take(flat, axis=0, out=room("own", len(flat), width + 1), mode="clip")
+    at, longest = np.arange(len(g)) * GROUPS, _longest(g)
+    d: dict[str, np.ndarray] = {}
+    cls, tok = _bias(w["cls"], w["cls_bias"]), _bias(w["tok"], w["tok_bias"])
+    p = np.matmul(g, cls, out=room("p", len(g), GROUPS))
+    loss = _missed(p, at + group, n, longest * _longest(cls.T) < 80)
+    both = g.T @ p
+    d["cls"], d["cls_bias"] = both[:-1], both[-1]
+    dg = np.matmul(p, w["cls"].T, out=room("dg", len(g), width))
+    more, both = room("more", len(g), width), np.zeros_like(tok)
+    used = [(k, cuts[k], cuts[k + 1]) for k in range(GROUPS) if cuts[k] < cuts[k + 1]]
+    for k, a, b in used:
+        np.matmul(g[a:b], tok[k], out=p[a:b])
+    loss += _missed(p, at + inner, n, longest * max(_longest(x.T) for x in tok) < 80)
+    for k, a, b in used:
+        np.matmul(g[a:b].T, p[a:b], out=both[k])
+        np.matmul(p[a:b], w["tok"][k].T, out=more[a:b])
+    d["tok"], d["tok_bias"] = both[:, :-1], both[:, -1]
+    dg += more
+    full = room("full", ids.size, width)
+    full[:] = 0
     full[flat] = dg
-    dg = full.reshape(c["g"].shape)
-    rows = lambda a: a.reshape(-1, a.shape[-1])
-    d["down"] = rows(c["m"]).T @ rows(dg)
-    dm = (dg @ w["down"].T) * (c["m"] > 0)
-    d["up"], d["up_bias"] = rows(c["h"]).T @ rows(dm), rows(dm).sum(axis=0)
-    dh = dg + dm @ w["up"].T
-    d["out"] = rows(c["o"]).T @ rows(dh)
-    do = dh @ w["out"].T
-    da = do @ _turned(c["v"])
-    dv = _turned(c["a"]) @ do
-    ds = c["a"] * (da - (da * c["a"]).sum(axis=-1, keepdims=True))
-    d["near"] = np.bincount(_AT[_SEEN], weights=ds.sum(axis=0)[_SEEN], minlength=2 * BLOCK).astype(np.float32)
-    dq, dk = ds @ c["k"], _turned(ds) @ c["q"]
-
-    def folded(a: np.ndarray) -> np.ndarray:
-        before = a[:, :BLOCK] * has[:, None, None]
-        out = a[:, BLOCK:].copy()
-        out[:-1] += before[1:]
-        return out
-
-    dk, dv = folded(dk), folded(dv)
-    x = rows(c["x"])
-    d["query"], d["key"], d["value"] = x.T @ rows(dq) * WIDTH**-0.5, x.T @ rows(dk), x.T @ rows(dv)
-    dx = dh + dq @ (w["query"].T * WIDTH**-0.5) + dk @ w["key"].T + dv @ w["value"].T
-    order = np.argsort(ids.ravel(), kind="stable")
-    sorted_ids = ids.ravel()[order]
+    m, h = c["m"], c["h"]
+    d["down"] = m.T @ full
+    dm = np.matmul(full, w["down"].T, out=room("dm", *m.shape))
+    dm *= m > 0
+    both = h.T @ dm
+    d["up"], d["up_bias"] = both[:-1], both[-1]
+    full += np.matmul(dm, w["up"].T, out=room("down", len(m), width))
+    # weights of attention are e / total: their total's part goes to the narrower side of each product
+    e, o, do = c["e"], c["o"], room("do", blocks, BLOCK, width + 1)
+    total = o[:, :, width]
+    np.divide(full.reshape(blocks, BLOCK, width), total[:, :, None], out=do[:, :, :width])
+    own = np.multiply(o[:, :, :width], do[:, :, :width], out=room("down", blocks, BLOCK, width))
+    np.divide(own @ np.full(width, -1, own.dtype), total, out=do[:, :, width])
+    ds = np.matmul(do, c["values"].transpose(0, 2, 1), out=room("ds", *e.shape))
+    ds *= e
+    each = (np.ones(blocks, ds.dtype) @ ds.reshape(blocks, -1)).reshape(_AT.shape)
+    d["near"] = np.bincount(_AT[_SEEN], weights=each[_SEEN], minlength=2 * BLOCK).astype(np.float32)
+    inward = room("inward", blocks, BLOCK, 3 * width)  # by query, key and value
+
+    def folded(a: np.ndarray, out: np.ndarray) -> None:
+        out[:] = a[:, BLOCK:]
+        out[:-1] += a[1:, :BLOCK]  # zeros where the block before is of another text
+
+    wide = room("wide", blocks, 2 * BLOCK, width)
+    folded(np.matmul(e.transpose(0, 2, 1), do[:, :, :width], out=wide), inward[:, :, 2 * width :])
+    folded(np.matmul(ds.transpose(0, 2, 1), c["query"], out=wide), inward[:, :, width : 2 * width])
+    np.matmul(ds, c["keys"], out=inward[:, :, :width])
+    inward = inward.reshape(-1, 3 * width)
+    both = c["rows"].reshape(ids.size, -1)[:, :width].T @ inward
+    d["query"], d["key"] = both[:, :width] * width**-0.5, both[:, width : 2 * width]
+    d["value"], d["out"] = both[:, 2 * width :] @ w["out"].T, w["value"].T @ both[:, 2 * width :]
+    full += np.matmul(inward, _inner(w).T, out=room("down", ids.size, width))
+    order = np.argsort(ids.ravel().astype(np.uint16), kind="stable")
+    sorted_ids = ids.ravel().take(order)
     opens = np.flatnonzero(np.append(True, sorted_ids[1:] != sorted_ids[:-1]))
     d["embed"] = np.zeros_like(w["embed"])
-    d["embed"][sorted_ids[opens]] = np.add.reduceat(rows(dx)[order], opens, axis=0)
-    return float(loss) / n, d
+    d["embed"][sorted_ids[opens]] = np.add.reduceat(full.take(order, axis=0, out=room("down", ids.size, width), mode="clip"), opens, axis=0)
+    return loss / n, d
 
 
 def trained(w: Weights, blocks: Iterator[tuple[np.ndarray, ...]], rate: float = RATE) -> tuple[Weights, int]:
     """Adam over batches of (ids, target, has, valid); gives new weights and the number of tokens seen."""
     w = w.like({k: v.copy() for k, v in w.items()})
     first, second, seen = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
+    room = Rooms(w["embed"].dtype)
     for step, batch in enumerate(blocks, 1):
-        _, d = gradients(w, *batch)
+        _, d = gradients(w, *batch, room)
         seen += int(batch[3].sum())
         norm = np.sqrt(sum(float((g * g).sum()) for g in d.values()))
         for k, g in d.items():
@@ -414,7 +449,7 @@ def train(table: DataFrame, counts: DataFrame, tokens: int, ends: int, tokenizer
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             opens = Subwords(tokenizer).opens
             for batch in batches:
-                for part in byte_slices(batch, "ids", 8 << 20):
+                for part in byte_slices(batch, "ids", 1 << 20):
                     ids, count = _ids(part.column(1))
                     size, text, place, last = spans_of(ids, count, opens)
                     key = part.column(0).to_numpy().view(np.uint64)[text] ^ (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -529,7 +564,7 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             for part in byte_slices(batch, most=4 << 20):
                 found, number, times = [], [], []
                 for own in _words(part.column(2)):
-                    rare = Counter(x for x in own if x not in known)
+                    rare = Counter(filterfalse(known.__contains__, own))
                     found += rare
                     times += rare.values()
                     number.append(len(rare))

@@ -467,6 +467,40 @@ def _tokens(seed=0, texts=40):
     return rng.integers(0, lm_scoring.END, int(count.sum())), count
 
 
+def test_a_training_step_uses_its_memory_again():
+    import tracemalloc
+
+    ids, count = np.random.default_rng(5).integers(0, lm_scoring.END, 300 * 440), np.full(300, 440)
+    source, target, has, valid, _ = lm_scoring.blocked(ids, count)
+    w = lm_scoring.Weights.start(np.bincount(ids, minlength=lm_scoring.END + 1).astype(float))
+    parts = [slice(a, a + lm_scoring.BATCH) for a in range(0, len(source), lm_scoring.BATCH)]
+    grown = []
+
+    def blocks():
+        for p in parts:
+            own = has[p].copy()
+            own[0] = False
+            tracemalloc.reset_peak()
+            before = tracemalloc.get_traced_memory()[0]
+            yield source[p], target[p], own, valid[p]
+            grown.append(tracemalloc.get_traced_memory()[1] - before)
+
+    tracemalloc.start()
+    lm_scoring.trained(w, blocks())
+    tracemalloc.stop()
+    assert len(grown) > 10 and max(grown[1:-1]) < 3 << 20  # the arrays of a step are some 15 MB
+
+
+def test_large_logits_stay_finite():
+    ids, count = np.random.default_rng(6).integers(0, lm_scoring.END, 200), np.array([90, 0, 110])
+    w = lm_scoring.Weights.start(np.ones(lm_scoring.END + 1))
+    w = w.like({k: v * np.float32(1000 if k in ("cls", "tok") else 1) for k, v in w.items()})
+    source, target, has, valid, _ = lm_scoring.blocked(ids, count)
+    loss, d = lm_scoring.gradients(w, source, target, has, valid)
+    assert np.isfinite(loss) and all(np.isfinite(g).all() for g in d.values())
+    assert np.isfinite(lm_scoring.text_scores(lm_scoring.Scorer(w), ids, count)).all()
+
+
 def test_gradients_are_those_of_the_loss():
     ids, count = _tokens()
     w = lm_scoring.Weights.start(np.bincount(ids, minlength=lm_scoring.END + 1).astype(float))
