@@ -17,8 +17,8 @@ blocks that overlap by one, each scoring the tokens of its last block, all block
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from itertools import filterfalse, repeat
+from collections.abc import Callable, Iterator
+from itertools import chain, filterfalse, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barmill.llm import bpe
+from barmill.llm.chunks import sums
 from barmill.llm.common import binary_array, byte_slices, string_bytes, string_offsets, text_rows, written
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -111,10 +112,10 @@ def _longest(rows: np.ndarray) -> float:
     return math.sqrt(float(np.einsum("ij,ij->i", rows, rows).max(initial=0)))
 
 
-def _table(w: Weights) -> np.ndarray:
-    """As a token's query, key and value depend on the token only, they are rows of one table; the value has gone through `out`, and has a one behind it."""
-    x = w["embed"]
-    return np.concatenate([x, x @ _inner(w), np.ones((len(x), 1), x.dtype)], axis=1)
+def _tables(w: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As a token's query, key and value depend on the token only, they are rows of tables: embedding, query, key and value; the value has gone through `out`."""
+    x, more = w["embed"], w["embed"] @ _inner(w)
+    return x, np.ascontiguousarray(more[:, :WIDTH]), np.ascontiguousarray(more[:, WIDTH:])
 
 
 def _inner(w: Weights) -> np.ndarray:
@@ -134,55 +135,62 @@ def _bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
 def hidden(w: Weights, ids: np.ndarray, has: np.ndarray, room: Rooms | None = None) -> dict:
     """All layers below the output for blocks of input ids; has: whether the block before is of the same text. Valid until the rooms are used again."""
     room, d, n = room or Rooms(w["embed"].dtype), WIDTH, len(ids)
-    c = attended(_table(w), _near(w), ids, has, room)
-    h, g = c["h"], room("g", n * BLOCK, d + 1)
-    c["m"] = m = np.matmul(h, _bias(w["up"], w["up_bias"]), out=room("m", len(h), HIDDEN))
-    np.maximum(m, 0, out=m)
-    np.add(h[:, :d], np.matmul(m, w["down"], out=room("down", len(h), d)), out=g[:, :d])
+    c = attended(_tables(w), _near(w), ids, has, room)
+    c["m"] = _lifted(c["h"], w["up"], w["up_bias"], room)
+    g = room("g", n * BLOCK, d + 1)
+    np.add(c["h"], np.matmul(c["m"], w["down"], out=room("down", n * BLOCK, d)), out=g[:, :d])
     g[:, d] = 1
     return c | {"rows_g": g, "g": g[:, :d]}
 
 
-def attended(table: np.ndarray, near: np.ndarray, ids: np.ndarray, has: np.ndarray, room: Rooms) -> dict:
-    """The attention layer: h, rows with a one behind each, and what leads to them. Keys and values of a block follow those of the block before, as views of the same rows."""
-    d, n = WIDTH, len(ids)
-    rows = room("rows", ids.size + BLOCK, table.shape[1])
+def attended(tables: tuple[np.ndarray, ...], near: np.ndarray, ids: np.ndarray, has: np.ndarray, room: Rooms) -> dict:
+    """The attention layer: rows h and what leads to them. Keys and values of a block follow those of the block before, as views of the same rows."""
+    (embed, query, both), d, n, flat = tables, WIDTH, len(ids), ids.ravel()
+    x = embed.take(flat, axis=0, out=room("x", ids.size, d), mode="clip")
+    query_of = query.take(flat, axis=0, out=room("query", ids.size, d), mode="clip").reshape(n, BLOCK, d)
+    rows = room("rows", ids.size + BLOCK, 2 * d)
     rows[:BLOCK] = 0
-    table.take(ids.ravel(), axis=0, out=rows[BLOCK:], mode="clip")
-    windows = np.lib.stride_tricks.as_strided(rows, (n, 2 * BLOCK, rows.shape[1]), (BLOCK * rows.strides[0], *rows.strides))
-    rows = rows[BLOCK:].reshape(n, BLOCK, -1)
-    query, keys, values = rows[:, :, d : 2 * d], windows[:, :, 2 * d : 3 * d], windows[:, :, 3 * d :]
-    s = np.matmul(query, keys.transpose(0, 2, 1), out=room("s", n, BLOCK, 2 * BLOCK))
+    both.take(flat, axis=0, out=rows[BLOCK:], mode="clip")
+    windows = np.lib.stride_tricks.as_strided(rows, (n, 2 * BLOCK, 2 * d), (BLOCK * rows.strides[0], *rows.strides))
+    keys, values = windows[:, :, :d], windows[:, :, d:]
+    s = np.matmul(query_of, keys.transpose(0, 2, 1), out=room("s", n, BLOCK, 2 * BLOCK))
     s += near
     s[~has, :, :BLOCK] = -1e9
-    _exp(s, _longest(table[:, d : 2 * d]) * _longest(table[:, 2 * d : 3 * d]) + float(near.max()) < 80)
-    o = np.matmul(s, values, out=room("o", n, BLOCK, d + 1))
-    h = room("h", n, BLOCK, d + 1)
-    np.divide(o[:, :, :d], o[:, :, d:], out=h[:, :, :d])
-    h[:, :, :d] += rows[:, :, :d]
-    h[:, :, d] = 1
-    return {"rows": rows, "query": query, "keys": keys, "values": values, "e": s, "o": o, "h": h.reshape(-1, d + 1)}
+    _exp(s, _longest(query) * _longest(both[:, :d]) + float(near.max()) < 80)
+    scale = (1 / (s @ np.ones(2 * BLOCK, s.dtype))).reshape(-1, 1)
+    a = np.matmul(s, values, out=room("a", n, BLOCK, d)).reshape(-1, d)
+    a *= scale
+    h = np.add(a, x, out=room("h", ids.size, d))
+    return {"query": query_of, "keys": keys, "values": values, "e": s, "scale": scale, "a": a, "h": h}
+
+
+def _lifted(h: np.ndarray, up: np.ndarray, bias: np.ndarray, room: Rooms) -> np.ndarray:
+    """The hidden layer behind its rectifier. Bias and zeros are as wide as a block: numpy's loops over short rows or one number are slow."""
+    m = np.matmul(h, up, out=room("m", len(h), HIDDEN))
+    wide = m.reshape(-1, BLOCK * HIDDEN)
+    wide += np.tile(bias, BLOCK)
+    np.maximum(wide, np.zeros(BLOCK * HIDDEN, m.dtype), out=wide)
+    return m
 
 
 class Scorer:
     """The forward pass alone, of weights that stay."""
 
     def __init__(self, w: Weights):
-        self.table, self.near = _table(w), _near(w)
-        self.up, self.down = _bias(w["up"], w["up_bias"]), w["down"]
+        self.tables, self.near = _tables(w), _near(w)
+        self.up, self.up_bias, self.down = w["up"], w["up_bias"], w["down"]
         self.cls, self.tok = _bias(w["cls"], w["cls_bias"]), _bias(w["tok"], w["tok_bias"])
         self.place = w.place.astype(np.int32)
         self.most = [max(_longest(x.T) for x in logits) for logits in (self.cls[None], self.tok)]
-        self._room = Rooms(self.table.dtype)
+        self._room = Rooms(self.near.dtype)
 
     def hidden(self, ids: np.ndarray, has: np.ndarray) -> np.ndarray:
         """Rows of the last layer, with a one behind each, for blocks of input ids; valid until the next call."""
-        d = WIDTH
-        h = attended(self.table, self.near, ids, has, self._room)["h"]
-        m = np.matmul(h, self.up, out=self._room("m", len(h), HIDDEN))
-        np.maximum(m, 0, out=m)
-        np.add(h[:, :d], np.matmul(m, self.down, out=self._room("down", len(h), d)), out=h[:, :d])
-        return h
+        d, h = WIDTH, attended(self.tables, self.near, ids, has, self._room)["h"]
+        out = self._room("last", len(h), d + 1)
+        np.add(h, np.matmul(_lifted(h, self.up, self.up_bias, self._room), self.down, out=self._room("down", len(h), d)), out=out[:, :d])
+        out[:, d] = 1
+        return out
 
     def log_probability(self, g: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural logarithm of each target's probability; g: rows of hidden(), target: subwords."""
@@ -241,7 +249,9 @@ def gradients(w: Weights, ids: np.ndarray, target: np.ndarray, has: np.ndarray,
     loss = _missed(p, at + group, n, longest * _longest(cls.T) < 80)
     both = g.T @ p
     d["cls"], d["cls_bias"] = both[:-1], both[-1]
-    dg = np.matmul(p, w["cls"].T, out=room("dg", len(g), width))
+    rows = room("dg", len(g) + 1, width)
+    rows[-1] = 0  # what a place without a valid target takes
+    dg = np.matmul(p, w["cls"].T, out=rows[:-1])
     more, both = room("more", len(g), width), np.zeros_like(tok)
     used = [(k, cuts[k], cuts[k + 1]) for k in range(GROUPS) if cuts[k] < cuts[k + 1]]
     for k, a, b in used:
@@ -252,46 +262,51 @@ def gradients(w: Weights, ids: np.ndarray, target: np.ndarray, has: np.ndarray,
         np.matmul(p[a:b], w["tok"][k].T, out=more[a:b])
     d["tok"], d["tok_bias"] = both[:, :-1], both[:, -1]
     dg += more
-    full = room("full", ids.size, width)
-    full[:] = 0
-    full[flat] = dg
+    at = np.full(ids.size, len(g))
+    at[flat] = np.arange(len(g))
+    full = rows.take(at, axis=0, out=room("full", ids.size, width), mode="clip")
     m, h = c["m"], c["h"]
     d["down"] = m.T @ full
     dm = np.matmul(full, w["down"].T, out=room("dm", *m.shape))
     dm *= m > 0
-    both = h.T @ dm
-    d["up"], d["up_bias"] = both[:-1], both[-1]
+    d["up"], d["up_bias"] = h.T @ dm, np.ones(len(dm), dm.dtype) @ dm
     full += np.matmul(dm, w["up"].T, out=room("down", len(m), width))
-    # weights of attention are e / total: their total's part goes to the narrower side of each product
-    e, o, do = c["e"], c["o"], room("do", blocks, BLOCK, width + 1)
-    total = o[:, :, width]
-    np.divide(full.reshape(blocks, BLOCK, width), total[:, :, None], out=do[:, :, :width])
-    own = np.multiply(o[:, :, :width], do[:, :, :width], out=room("down", blocks, BLOCK, width))
-    np.divide(own @ np.full(width, -1, own.dtype), total, out=do[:, :, width])
+    # weights of attention are e / total: the mean over a row of what they change is taken off before they are multiplied by e
+    e, do = c["e"], np.multiply(full, c["scale"], out=room("do", *full.shape))
+    mean = np.multiply(c["a"], do, out=room("down", *do.shape)) @ np.ones(width, do.dtype)
+    do = do.reshape(blocks, BLOCK, width)
     ds = np.matmul(do, c["values"].transpose(0, 2, 1), out=room("ds", *e.shape))
+    ds -= mean.reshape(blocks, BLOCK, 1)
     ds *= e
     each = (np.ones(blocks, ds.dtype) @ ds.reshape(blocks, -1)).reshape(_AT.shape)
     d["near"] = np.bincount(_AT[_SEEN], weights=each[_SEEN], minlength=2 * BLOCK).astype(np.float32)
-    inward = room("inward", blocks, BLOCK, 3 * width)  # by query, key and value
-
-    def folded(a: np.ndarray, out: np.ndarray) -> None:
-        out[:] = a[:, BLOCK:]
-        out[:-1] += a[1:, :BLOCK]  # zeros where the block before is of another text
-
-    wide = room("wide", blocks, 2 * BLOCK, width)
-    folded(np.matmul(e.transpose(0, 2, 1), do[:, :, :width], out=wide), inward[:, :, 2 * width :])
-    folded(np.matmul(ds.transpose(0, 2, 1), c["query"], out=wide), inward[:, :, width : 2 * width])
-    np.matmul(ds, c["keys"], out=inward[:, :, :width])
-    inward = inward.reshape(-1, 3 * width)
-    both = c["rows"].reshape(ids.size, -1)[:, :width].T @ inward
-    d["query"], d["key"] = both[:, :width] * width**-0.5, both[:, width : 2 * width]
-    d["value"], d["out"] = both[:, 2 * width :] @ w["out"].T, w["value"].T @ both[:, 2 * width :]
-    full += np.matmul(inward, _inner(w).T, out=room("down", ids.size, width))
     order = np.argsort(ids.ravel().astype(np.uint16), kind="stable")
     sorted_ids = ids.ravel().take(order)
     opens = np.flatnonzero(np.append(True, sorted_ids[1:] != sorted_ids[:-1]))
+    present = sorted_ids[opens]
+
+    def by_token(rows: np.ndarray) -> np.ndarray:
+        """Summed over the places of each token: queries, keys and values are the token's, so the rest is done once a token."""
+        return np.add.reduceat(rows.reshape(-1, width).take(order, axis=0, out=room("sorted", ids.size, width), mode="clip"), opens, axis=0)
+
+    def folded(wide: np.ndarray) -> np.ndarray:
+        out = room("folded", blocks, BLOCK, width)
+        out[:] = wide[:, BLOCK:]
+        out[:-1] += wide[1:, :BLOCK]  # zeros where the block before is of another text
+        return out
+
+    wide, own = room("wide", blocks, 2 * BLOCK, width), by_token(full)
+    inward = [  # by query, key and value
+        by_token(np.matmul(ds, c["keys"], out=room("do by query", *do.shape))),
+        by_token(folded(np.matmul(ds.transpose(0, 2, 1), c["query"], out=wide))),
+        by_token(folded(np.matmul(e.transpose(0, 2, 1), do, out=wide))),
+    ]
+    inward = np.concatenate(inward, axis=1)
+    both = w["embed"][present].T @ inward
+    d["query"], d["key"] = both[:, :width] * width**-0.5, both[:, width : 2 * width]
+    d["value"], d["out"] = both[:, 2 * width :] @ w["out"].T, w["value"].T @ both[:, 2 * width :]
     d["embed"] = np.zeros_like(w["embed"])
-    d["embed"][sorted_ids[opens]] = np.add.reduceat(full.take(order, axis=0, out=room("down", ids.size, width), mode="clip"), opens, axis=0)
+    d["embed"][present] = own + inward @ _inner(w).T
     return loss / n, d
 
 
@@ -389,18 +404,28 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def encoded(rows: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, text_key, held_out, ids) for (doc_id, text_key, held_out, text); ids: the subwords of all words, 16 bits each."""
+def encoded(rows: DataFrame, tokenizer: str, known: Callable[[], dict[bytes, float]] = dict) -> DataFrame:
+    """(doc_id, text_key, held_out, ids, n_words, n_head, head_sum) for (doc_id, text_key, held_out, text).
+
+    ids: the subwords of all words, 16 bits each; n_head: how many words known() holds, head_sum: the sum of its values for them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Subwords(tokenizer)
+        own, values = Subwords(tokenizer), known()
         for batch in batches:
             for part in byte_slices(batch, most=8 << 20):
-                ids, count = own.encode([b" " + b" ".join(x) if x else b"" for x in _words(part.column(3))])
+                words = _words(part.column(3))
+                ids, count = own.encode([b" " + b" ".join(x) if x else b"" for x in words])
                 payload = binary_array(np.ascontiguousarray(ids, "<u2"), np.concatenate([[0], np.cumsum(count)]) * 2)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), payload], names=["doc_id", "text_key", "held_out", "ids"])
+                number = np.fromiter(map(len, words), np.int64, len(words))
+                found = np.fromiter(map(values.get, chain.from_iterable(words), repeat(-1.0)), np.float64, int(number.sum()))
+                has = found >= 0
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), part.column(2), payload, pa.array(number), pa.array(sums(has.astype(np.int64), number)), pa.array(sums(np.where(has, found, 0.0), number))],
+                    names=["doc_id", "text_key", "held_out", "ids", "n_words", "n_head", "head_sum"],
+                )
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, held_out boolean, ids binary")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, held_out boolean, ids binary, n_words long, n_head long, head_sum double")
 
 
 def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -527,13 +552,12 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     ends = learn.select("doc_id").count()
     train_tokens, kinds = (total["n"] or 0) + ends, total["v"] + (ends > 0)
     keyed = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "held_out", "text")
-    table = written(encoded(keyed, tokenizer), "lm-ids")
-    weights = spark.sparkContext.broadcast(train(table.where(~F.col("held_out")), counts, train_tokens, ends, tokenizer))
     floor = float(np.log10(train_tokens + kinds + 1))
     frequent = (F.col("c") * HEAD >= train_tokens) & (F.octet_length("word") <= LONG_WORD)
     head = {bytes(r["word"]): r["c"] for r in counts.where(frequent).toLocalIterator()}  # HEAD words at most
     shared = spark.sparkContext.broadcast(head)
-    end_score, end_known = float(np.log10(ends + 1)) - floor, int(ends > 0)
+    table = written(encoded(keyed, tokenizer, lambda: {k: float(np.log10(c + 1)) for k, c in shared.value.items()}), "lm-ids")
+    weights = spark.sparkContext.broadcast(train(table.where(~F.col("held_out")), counts, train_tokens, ends, tokenizer))
 
     def modelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Scorer(weights.value)
@@ -541,21 +565,6 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             for part in byte_slices(batch, "ids", 4 << 20):
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(text_scores(model, *_ids(part.column(3))))], names=["doc_id", "text_key", "held_out", "score"])
 
-    def by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {k: float(np.log10(c + 1)) for k, c in shared.value.items()}
-        for batch in batches:
-            for part in byte_slices(batch, most=4 << 20):
-                words = _words(part.column(2))
-                number = np.fromiter(map(len, words), np.int64, len(words))
-                found = np.fromiter(map(known.get, (x for own_words in words for x in own_words), repeat(-1.0)), np.float64, int(number.sum()))
-                has = found >= 0
-                sums = lambda a: np.diff(np.concatenate([[0], np.cumsum(a)])[np.concatenate([[0], np.cumsum(number)])])
-                n_head = sums(has.astype(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(number + 1), pa.array(n_head + end_known), pa.array(number - n_head), pa.array(sums(np.where(has, found, 0.0)) - n_head * floor + end_score)],
-                    names=["doc_id", "text_key", "n_tokens", "n_head", "n_tail", "head_score"],
-                )
-
     def by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
@@ -572,7 +581,11 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(found, pa.binary()), pa.array(times, pa.int64())], names=["doc_id", "text_key", "word", "times"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    texts = keyed.select("doc_id", "text_key", "text").mapInArrow(by_text, f"doc_id {kind}, text_key long, n_tokens long, n_head long, n_tail long, head_score double")
+    n_tail, end_score = F.col("n_words") - F.col("n_head"), float(np.log10(ends + 1)) - floor
+    texts = table.select(
+        "doc_id", "text_key", (F.col("n_words") + 1).alias("n_tokens"), (F.col("n_head") + int(ends > 0)).alias("n_head"), n_tail.alias("n_tail"),
+        (F.col("head_sum") - F.col("n_head") * floor + end_score).alias("head_score"),
+    )
     rare = keyed.select("doc_id", "text_key", "text").mapInArrow(by_word, f"doc_id {kind}, text_key long, word binary, times long")
     found = rare.join(counts.where(~frequent), "word", "left")
     c = F.coalesce("c", F.lit(0))
@@ -580,7 +593,7 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         F.sum("times").alias("all"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * (F.log10(c + 1) - floor)).alias("sum")
     )
     tail = tail.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), (F.col("known") / F.col("all")).alias("__known"), (F.col("sum") / F.col("all")).alias("__mean"))
-    scores = table.mapInArrow(modelled, f"doc_id {kind}, text_key long, held_out boolean, score double").dropDuplicates(["doc_id", "text_key"])
+    scores = table.select("doc_id", "text_key", "held_out", "ids").mapInArrow(modelled, f"doc_id {kind}, text_key long, held_out boolean, score double").dropDuplicates(["doc_id", "text_key"])
     scores = scores.select(F.col("doc_id").alias("__own"), F.col("text_key").alias("__text"), "held_out", "score")
     out = texts.join(scores, texts["doc_id"].eqNullSafe(scores["__own"]) & (texts["text_key"] == scores["__text"]))
     out = out.join(tail, out["doc_id"].eqNullSafe(tail["__id"]) & (out["text_key"] == tail["__key"]), "left")  # rows that repeat share a tail, each by its own count

@@ -461,6 +461,16 @@ def test_word_scores(docs, tokenizer):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
+def test_head_words_are_counted_while_texts_are_encoded(spark, tokenizer):
+    """Their sums lie beside the ids, so that texts needn't be read and cut once more for them."""
+    rows = spark.createDataFrame([(1, "The cat the dog"), (2, ""), (3, "dog dog fox")], "doc_id long, text string").repartition(1)
+    keyed = rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(False).alias("held_out"), "text")
+    got = lm_scoring.encoded(keyed, tokenizer, lambda: {b"the": 2.0, b"dog": 0.5}).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_head"], r["head_sum"]) for r in got} == {1: (4, 3, 4.5), 2: (0, 0, 0.0), 3: (3, 2, 1.0)}
+    plan = lm_scoring.score(rows, tokenizer)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # the model's pass over ids and the one over the texts' rare words
+
+
 def _tokens(seed=0, texts=40):
     rng = np.random.default_rng(seed)
     count = rng.integers(0, 90, texts)
