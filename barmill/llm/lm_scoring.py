@@ -415,11 +415,12 @@ def encoded(rows: DataFrame, tokenizer: str, known: Callable[[], dict[bytes, flo
         for batch in batches:
             for part in byte_slices(batch, most=8 << 20):
                 words = _words(part.column(3))
-                ids, count = own.encode([b" " + b" ".join(x) if x else b"" for x in words])
-                payload = binary_array(np.ascontiguousarray(ids, "<u2"), np.concatenate([[0], np.cumsum(count)]) * 2)
                 number = np.fromiter(map(len, words), np.int64, len(words))
                 found = np.fromiter(map(values.get, chain.from_iterable(words), repeat(-1.0)), np.float64, int(number.sum()))
-                has = found >= 0
+                has, texts = found >= 0, [b" " + b" ".join(x) if x else b"" for x in words]
+                del words  # larger than the texts
+                ids, count = own.encode(texts)
+                payload = binary_array(np.ascontiguousarray(ids, "<u2"), np.concatenate([[0], np.cumsum(count)]) * 2)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), payload, pa.array(number), pa.array(sums(has.astype(np.int64), number)), pa.array(sums(np.where(has, found, 0.0), number))],
                     names=["doc_id", "text_key", "held_out", "ids", "n_words", "n_head", "head_sum"],
@@ -556,14 +557,6 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     frequent = (F.col("c") * HEAD >= train_tokens) & (F.octet_length("word") <= LONG_WORD)
     head = {bytes(r["word"]): r["c"] for r in counts.where(frequent).toLocalIterator()}  # HEAD words at most
     shared = spark.sparkContext.broadcast(head)
-    table = written(encoded(keyed, tokenizer, lambda: {k: float(np.log10(c + 1)) for k, c in shared.value.items()}), "lm-ids")
-    weights = spark.sparkContext.broadcast(train(table.where(~F.col("held_out")), counts, train_tokens, ends, tokenizer))
-
-    def modelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Scorer(weights.value)
-        for batch in batches:
-            for part in byte_slices(batch, "ids", 4 << 20):
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(text_scores(model, *_ids(part.column(3))))], names=["doc_id", "text_key", "held_out", "score"])
 
     def by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
@@ -581,18 +574,28 @@ def score(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(found, pa.binary()), pa.array(times, pa.int64())], names=["doc_id", "text_key", "word", "times"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    n_tail, end_score = F.col("n_words") - F.col("n_head"), float(np.log10(ends + 1)) - floor
-    texts = table.select(
-        "doc_id", "text_key", (F.col("n_words") + 1).alias("n_tokens"), (F.col("n_head") + int(ends > 0)).alias("n_head"), n_tail.alias("n_tail"),
-        (F.col("head_sum") - F.col("n_head") * floor + end_score).alias("head_score"),
-    )
     rare = keyed.select("doc_id", "text_key", "text").mapInArrow(by_word, f"doc_id {kind}, text_key long, word binary, times long")
     found = rare.join(counts.where(~frequent), "word", "left")
     c = F.coalesce("c", F.lit(0))
     tail = found.groupBy("doc_id", "text_key").agg(
         F.sum("times").alias("all"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * (F.log10(c + 1) - floor)).alias("sum")
     )
-    tail = tail.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), (F.col("known") / F.col("all")).alias("__known"), (F.col("sum") / F.col("all")).alias("__mean"))
+    tail = written(tail.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), (F.col("known") / F.col("all")).alias("__known"), (F.col("sum") / F.col("all")).alias("__mean")), "lm-tail")  # before there are ids, so that its shuffle and theirs needn't lie on disk at once
+
+    table = written(encoded(keyed, tokenizer, lambda: {k: float(np.log10(c + 1)) for k, c in shared.value.items()}), "lm-ids")
+    weights = spark.sparkContext.broadcast(train(table.where(~F.col("held_out")), counts, train_tokens, ends, tokenizer))
+
+    def modelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Scorer(weights.value)
+        for batch in batches:
+            for part in byte_slices(batch, "ids", 4 << 20):
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(text_scores(model, *_ids(part.column(3))))], names=["doc_id", "text_key", "held_out", "score"])
+
+    n_tail, end_score = F.col("n_words") - F.col("n_head"), float(np.log10(ends + 1)) - floor
+    texts = table.select(
+        "doc_id", "text_key", (F.col("n_words") + 1).alias("n_tokens"), (F.col("n_head") + int(ends > 0)).alias("n_head"), n_tail.alias("n_tail"),
+        (F.col("head_sum") - F.col("n_head") * floor + end_score).alias("head_score"),
+    )
     scores = table.select("doc_id", "text_key", "held_out", "ids").mapInArrow(modelled, f"doc_id {kind}, text_key long, held_out boolean, score double").dropDuplicates(["doc_id", "text_key"])
     scores = scores.select(F.col("doc_id").alias("__own"), F.col("text_key").alias("__text"), "held_out", "score")
     out = texts.join(scores, texts["doc_id"].eqNullSafe(scores["__own"]) & (texts["text_key"] == scores["__text"]))
